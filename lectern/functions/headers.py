@@ -15,10 +15,10 @@ HEADER_FIELDS = {
     "encoding": ("Character set encoding:", r"Character set encoding:\s*(\w+[-\w]*)"),
 }
 
-# The words that introduce an author, in the order they are tried.
-# ("written by" is tried last elsewhere, but can never win: "by" matches wherever it does.)
-AUTHOR_CUES = ["by[{space}]+", "Author:[{space}]*"]
-AUTHOR_NAME = r"[\p{L}\p{N}_.{space}]+"
+# The words that introduce an author, and the white space after them, in the
+# order they are tried. ("written by" comes last, but "by" already matches wherever it does.)
+AUTHOR_CUES = [("by", f"[{UNICODE_SPACE}]+"), ("Author:", f"[{UNICODE_SPACE}]*")]
+AUTHOR_NAME = rf"[\p{{L}}\p{{N}}_.{UNICODE_SPACE}]+"
 
 # Fixed value: the first run of four digits is the date; longer date forms hold one too.
 DATE = r"\p{Nd}{4}"
@@ -37,38 +37,44 @@ def may_hold_header(text: Column) -> Column:
     return found
 
 
-def author(text: Column) -> Column:
-    """The author named by the first cue that matches anywhere, else ``Unknown``.
+def cue_matches(text: Column) -> list[Column]:
+    """The first match of each author cue with its name, or ``""``."""
+    return [
+        F.regexp_extract(text, f"(?i){cue}{space}{AUTHOR_NAME}", 0) for cue, space in AUTHOR_CUES
+    ]
 
-    A cue that matches only blanks ends the search. The whole match is taken in one
-    pass; cutting the cue's word off it and trimming leaves the name.
+
+def author(matches: list[Column]) -> Column:
+    """The author named by the first cue that matched, else ``Unknown``.
+
+    A cue followed by blanks only ends the search. Cutting the cue's word off its match
+    and trimming leaves the name, so each pattern runs over a text once.
     """
-    found = F.lit("")
-    for cue in reversed(AUTHOR_CUES):
-        pattern = "(?i)" + (cue + AUTHOR_NAME).replace("{space}", UNICODE_SPACE)
-        word = cue.split("[")[0]
-        match = F.regexp_extract(text, pattern, 0)
-        found = F.when(match != "", F.substring(match, len(word) + 1, 2**31 - 1)).otherwise(found)
-    name = trim_unicode(found)
-    return F.when(name == "", "Unknown").otherwise(name)
+    named = F.lit("")
+    for match, (cue, _) in reversed(list(zip(matches, AUTHOR_CUES))):
+        named = F.when(match != "", F.substring(match, len(cue) + 1, 2**31 - 1)).otherwise(named)
+    return or_unknown(trim_unicode(named))
 
 
 def first_date(text: Column) -> Column:
-    date = F.regexp_extract(text, DATE, 0)
-    return F.when(date == "", "Unknown").otherwise(date)
+    """The first run of four digits, or ``""``."""
+    return F.regexp_extract(text, DATE, 0)
+
+
+def or_unknown(value: Column) -> Column:
+    return F.coalesce(F.nullif(value, F.lit("")), F.lit("Unknown"))
 
 
 def parse_date(text: Column) -> Column:
     """A date from ``yyyy``, ``Month d, yyyy``, ``m/d/yyyy`` or ``yyyy-m-d``, else null.
 
     The shapes exclude each other, and guard against longer years that a Spark date
-    pattern would accept. There is no year 0.
+    pattern would accept.
     """
     squeezed = F.regexp_replace(text, r"\s+", " ")
-    parsed = (
+    return (
         F.when(squeezed.rlike(r"\A[0-9]{4}\z"), F.try_to_date(squeezed, "yyyy"))
         .when(squeezed.rlike(r"\A\p{L}+ [0-9]{1,2}, [0-9]{4}\z"), F.try_to_date(squeezed, "MMMM d, yyyy"))
         .when(squeezed.rlike(r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z"), F.try_to_date(squeezed, "M/d/yyyy"))
         .when(squeezed.rlike(r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), F.try_to_date(squeezed, "yyyy-M-d"))
     )
-    return F.when(F.year(parsed) >= 1, parsed)
