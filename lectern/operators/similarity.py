@@ -24,25 +24,20 @@ BLOCK_WORDS = 1024
 PLACES = 4
 
 
-def vocabulary(weights: DataFrame) -> DataFrame:
-    """``(word, index)``: the distinct words in order, numbered from 0.
+def vocabulary(words: DataFrame) -> DataFrame:
+    """``(word, index)``: the distinct words of a column ``word``, in order, numbered from 0."""
+    return _numbered(words.select("word").distinct())
+
+
+def _numbered(words: DataFrame) -> DataFrame:
+    """Add ``index``, a word's place in order, to a table of distinct words.
 
     The words are range-sorted once and checkpointed, which fixes the partitions. A
     word's number is its place in its partition plus the sizes of the partitions before.
     Only those sizes, one row per partition, are gathered.
     """
-    return _numbered_words(weights).select("word", "index")
-
-
-def _numbered_words(weights: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(weights.sparkSession)
-    ordered = (
-        weights.groupBy("word")
-        .agg(F.max("doc_freq").alias("doc_freq"))
-        .repartitionByRange("word")
-        .sortWithinPartitions("word")
-        .checkpoint()
-    )
+    ensure_checkpoint_dir(words.sparkSession)
+    ordered = words.repartitionByRange("word").sortWithinPartitions("word").checkpoint()
     # monotonically_increasing_id holds the partition in its upper and the place in its lower 33 bits.
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("place", place)
@@ -52,14 +47,16 @@ def _numbered_words(weights: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("size"))
         .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
-    return placed.join(F.broadcast(offsets), "part").select(
-        "word", "doc_freq", (F.col("offset") + F.col("place")).alias("index")
+    return (
+        placed.join(F.broadcast(offsets), "part")
+        .withColumn("index", F.col("offset") + F.col("place"))
+        .drop("part", "place", "offset")
     )
 
 
-def vocabulary_size(weights: DataFrame) -> DataFrame:
-    """One row: the number of dimensions."""
-    return weights.agg(F.count_distinct("word").alias("dimensions"))
+def vocabulary_size(words: DataFrame) -> DataFrame:
+    """One row: the number of distinct words, which are the vectors' dimensions."""
+    return words.agg(F.count_distinct("word").alias("dimensions"))
 
 
 def tfidf_vectors(weights: DataFrame, key: str) -> DataFrame:
@@ -67,7 +64,7 @@ def tfidf_vectors(weights: DataFrame, key: str) -> DataFrame:
 
     A vector is as long as its document has distinct words.
     """
-    numbered = _numbered_words(weights)
+    numbered = _numbered(weights.groupBy("word").agg(F.max("doc_freq").alias("doc_freq")))
     size = numbered.agg(F.count("*").cast("int")).scalar()
     entries = join_per_key(
         weights.select(key, "word", "tfidf"), numbered, "word", weight="doc_freq", spread=key

@@ -16,9 +16,14 @@ from lectern.operators.skew import join_per_key
 from lectern.operators.wordcount import exploded
 
 
+def token_words(tokens: DataFrame, *keep: str) -> DataFrame:
+    """One row ``(*keep, word)`` per token."""
+    return exploded(tokens, F.col("filtered_words"), *keep)
+
+
 def term_counts(tokens: DataFrame, key: str) -> DataFrame:
     """``(key, word, term_count)``."""
-    words = exploded(tokens.where(F.col(key).isNotNull()), F.col("filtered_words"), key)
+    words = token_words(tokens.where(F.col(key).isNotNull()), key)
     return words.groupBy(key, "word").agg(F.count("*").alias("term_count"))
 
 

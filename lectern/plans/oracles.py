@@ -493,21 +493,20 @@ NETWORK = {
 
 # Sources and sinks. A written text ends in one more line end than the table's.
 
+VOLUMES = """volumes AS (SELECT *, octet_length(encode(text)) AS size_bytes FROM (
+  SELECT CAST(doc_id // 100 AS VARCHAR) AS file_name,
+    concat(string_agg(text, chr(10) ORDER BY doc_id), chr(10)) AS text
+  FROM documents GROUP BY doc_id // 100))"""
+
 SOURCES = {
     "scan_lines": with_ctes(TEXT_LINES, select="SELECT value FROM lines"),
-    "scan_documents": with_ctes(
-        BOOKS,
-        select="""SELECT file_name, concat(text, chr(10)) AS text,
-          octet_length(encode(text)) + 1 AS size_bytes FROM books""",
-    ),
+    "scan_documents": with_ctes(VOLUMES, select="SELECT * FROM volumes"),
     "with_file_name": with_ctes(
-        BOOKS,
-        select="SELECT file_name, len(string_split(text, chr(10))) AS lines FROM books",
+        VOLUMES,
+        select="SELECT file_name, len(string_split(text, chr(10))) - 1 AS lines FROM volumes",
     ),
     "source_listing": with_ctes(
-        BOOKS,
-        select="""SELECT file_name, round((octet_length(encode(text)) + 1) / 1048576, 2) AS size_mb
-          FROM books""",
+        VOLUMES, select="SELECT file_name, round(size_bytes / 1048576, 2) AS size_mb FROM volumes"
     ),
     "write_csv": METADATA["header_metadata"],
     "write_parquet": with_ctes(

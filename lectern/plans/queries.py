@@ -34,17 +34,17 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.scan_documents(spark, views.book_folder(spark, sf_dir), views.BOOK_FOLDER_KEY)
+    return text.scan_documents(spark, views.volume_folder(spark, sf_dir), views.VOLUME_KEY)
 
 
 def with_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.schema("value string").text(views.book_folder(spark, sf_dir))
-    keyed = text.with_file_name(lines, views.BOOK_FOLDER_KEY)
+    lines = text.scan_lines(spark, views.volume_folder(spark, sf_dir))
+    keyed = text.with_file_name(lines, views.VOLUME_KEY)
     return keyed.groupBy("file_name").agg(F.count("*").alias("lines"))
 
 
 def source_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text.source_listing(spark, views.book_folder(spark, sf_dir), views.BOOK_FOLDER_KEY)
+    return text.source_listing(spark, views.volume_folder(spark, sf_dir), views.VOLUME_KEY)
 
 
 def write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +189,10 @@ def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.tf_idf(doc_tokens(spark, sf_dir), "doc_id")
 
 
-def source_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.tf_idf(cleaning.clean_tokens(documents(spark, sf_dir), "source"), "source")
+def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """The weights written out once, for queries that pass over them several times."""
+    tokens = cleaning.clean_tokens(documents(spark, sf_dir), key)
+    return views.materialized(terms.tf_idf(tokens, key), "weights")
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,15 +244,15 @@ def top_terms_by_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.vocabulary(doc_weights(spark, sf_dir))
+    return similarity.vocabulary(terms.token_words(doc_tokens(spark, sf_dir)))
 
 
 def vocabulary_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.vocabulary_size(doc_weights(spark, sf_dir))
+    return similarity.vocabulary_size(terms.token_words(doc_tokens(spark, sf_dir)))
 
 
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = views.materialized(doc_weights(spark, sf_dir), "weights")
+    weights = kept_weights(spark, sf_dir, "doc_id")
     shown = F.transform("values", lambda value: value.cast("decimal(18,6)").cast("string"))
     return similarity.tfidf_vectors(weights, "doc_id").select(
         "doc_id",
@@ -261,17 +263,17 @@ def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairwise_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = source_weights(spark, sf_dir)
+    weights = kept_weights(spark, sf_dir, "source")
     return rounded(similarity.pairwise_cosine(weights, "source", include_zero=True), similarity=4)
 
 
 def most_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = source_weights(spark, sf_dir)
+    weights = kept_weights(spark, sf_dir, "source")
     return similarity.most_similar_pairs(similarity.pairwise_cosine(weights, "source"))
 
 
 def similarity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = source_weights(spark, sf_dir)
+    weights = kept_weights(spark, sf_dir, "source")
     pairs = similarity.pairwise_cosine(weights, "source")
     return rounded(
         similarity.similarity_stats(pairs, weights, "source"),
@@ -282,18 +284,18 @@ def similarity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def least_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = source_weights(spark, sf_dir)
+    weights = kept_weights(spark, sf_dir, "source")
     pairs = similarity.pairwise_cosine(weights, "source", include_zero=True)
     return similarity.least_similar_pairs(pairs)
 
 
 def vector_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = similarity.vector_stats(doc_weights(spark, sf_dir), "doc_id")
+    stats = similarity.vector_stats(kept_weights(spark, sf_dir, "doc_id"), "doc_id")
     return rounded(stats, mean_tfidf=6, max_tfidf=6, sparsity=6)
 
 
 def find_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = views.materialized(doc_weights(spark, sf_dir), "weights")
+    weights = kept_weights(spark, sf_dir, "doc_id")
     return similarity.find_similar(weights, "doc_id", FIND_SIMILAR_TARGET)
 
 

@@ -16,7 +16,9 @@ from lectern.sources.tables import scan_spread, scan_table
 TITLES = 200
 AUTHORS = 97
 
-BOOK_FOLDER_KEY = r"file_name=([^/]+)/"
+# Documents to a file, where a query reads files whole.
+VOLUME = 100
+VOLUME_KEY = r"volume=([^/]+)/"
 
 _folders: dict[tuple[str, str, str], str] = {}
 
@@ -86,13 +88,24 @@ def text_folder(spark: SparkSession, sf_dir: str) -> str:
     return _written(spark, sf_dir, "lines", write)
 
 
-def book_folder(spark: SparkSession, sf_dir: str) -> str:
-    """``books`` as one ``.txt`` file each, in a folder that bears the book's name."""
+def volume_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The texts of ``documents`` as one ``.txt`` file per ``VOLUME`` documents, in order.
+
+    Spark names files itself, so a volume's number is in the name of its folder.
+    """
 
     def write(path: str) -> None:
-        books(spark, sf_dir).write.partitionBy("file_name").text(path)
+        (
+            documents(spark, sf_dir)
+            .select("doc_id", "text", F.expr(f"doc_id div {VOLUME}").alias("volume"))
+            .repartition("volume")
+            .sortWithinPartitions("volume", "doc_id")
+            .select("volume", "text")
+            .write.partitionBy("volume")
+            .text(path)
+        )
 
-    return _written(spark, sf_dir, "books", write)
+    return _written(spark, sf_dir, "volumes", write)
 
 
 def materialized(frame: DataFrame, label: str) -> DataFrame:
