@@ -48,10 +48,11 @@ def regex_split(line: Column) -> Column:
 
     An empty line is one empty token; a line of blanks only has none.
     """
+    trimmed = F.rtrim(line, F.lit("\t\n\x0b\f\r "))
     return (
         F.when(line == "", F.array(F.lit("")))
-        .when(line.rlike(r"\A\s+\z"), F.array().cast("array<string>"))
-        .otherwise(F.split(F.regexp_replace(line, r"\s+\z", ""), r"\s+"))
+        .when(trimmed == "", F.array().cast("array<string>"))
+        .otherwise(F.split(trimmed, r"\s+"))
     )
 
 

@@ -1,10 +1,16 @@
-"""Term weights over ``(key, filtered_words)``, one or more rows per document.
-
-Everything starts from one aggregate, the count of each word in each document. Totals
-per document and document counts per word are summed from its result, not from the
-tokens again. Spark then tokenizes and shuffles once, provided that each use of the
-aggregate asks for the same columns and null checks; hence the ``count_if`` below,
-which reads ``term_count`` where ``count`` would let the optimizer prune it.
+"""Term weights over ``(key, filtered_words)``.
+
+A document may come as several rows, as when the key is a source. Everything then starts
+from one shuffled aggregate, the count of each word in each document. Totals per document
+and document counts per word are summed from its result, not from the tokens again. Spark
+tokenizes and shuffles once, provided that each use of the aggregate asks for the same
+columns and null checks; hence ``_rows`` below, which reads ``term_count`` where ``count``
+would let the optimizer prune it.
+
+With ``one_row_each`` the caller vouches that each document is one row. Its words are then
+counted within the row, and neither the counts nor the totals need a shuffle. Tokens are
+made twice by the operators that also need ``doc_freq``, which costs less than moving every
+count; written tokens spare that too.
 """
 
 from __future__ import annotations
@@ -21,53 +27,110 @@ def token_words(tokens: DataFrame, *keep: str) -> DataFrame:
     return exploded(tokens, F.col("filtered_words"), *keep)
 
 
-def term_counts(tokens: DataFrame, key: str) -> DataFrame:
+def term_counts(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
     """``(key, word, term_count)``."""
+    if one_row_each:
+        counted = _counted_in_row(tokens, key)
+        return _each(counted, F.inline_outer("counts"), key)
     words = token_words(tokens.where(F.col(key).isNotNull()), key)
     return words.groupBy(key, "word").agg(F.count("*").alias("term_count"))
 
 
+def _counted_in_row(tokens: DataFrame, key: str) -> DataFrame:
+    """``(key, total_terms, counts)``, with ``counts`` an array of ``(word, term_count)`` by word.
+
+    Sorting a row's words puts repeats side by side; a word's count is the distance from
+    its first place to that of the next word. The three steps are three projections, so
+    that each array is made once.
+    """
+    ordered = tokens.where(F.col(key).isNotNull()).select(
+        key, F.sort_array("filtered_words").alias("ordered")
+    )
+    placed = F.transform("ordered", lambda word, i: F.struct(word.alias("word"), i.alias("place")))
+    firsts = ordered.select(
+        key,
+        F.size("ordered").cast("long").alias("total_terms"),
+        F.filter(
+            placed, lambda at: ~at["word"].eqNullSafe(F.get("ordered", at["place"] - 1))
+        ).alias("firsts"),
+    )
+    next_place = lambda i: F.coalesce(F.get("firsts", i + 1)["place"], F.col("total_terms"))
+    counts = F.transform(
+        "firsts",
+        lambda at, i: F.struct(
+            at["word"].alias("word"), (next_place(i) - at["place"]).alias("term_count")
+        ),
+    )
+    return firsts.select(key, "total_terms", counts.alias("counts"))
+
+
+def _each(frame: DataFrame, generator: Column, *keep: str) -> DataFrame:
+    return frame.select(*keep, generator).where("word IS NOT NULL")
+
+
 def document_count(tokens: DataFrame, key: str) -> Column:
     """The number of distinct documents, those left without tokens included, as a scalar."""
     return tokens.select(key).distinct().agg(F.count("*")).scalar()
 
 
-def term_frequency(tokens: DataFrame, key: str) -> DataFrame:
+def term_frequency(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
     """``(key, word, term_count, total_terms, tf)``."""
-    return _term_frequency(term_counts(tokens, key), key).select(
-        key, "word", "term_count", "total_terms", "tf"
+    if one_row_each:
+        counted = _counted_in_row(tokens, key)
+        joined = _each(counted, F.inline_outer("counts"), key, "total_terms")
+    else:
+        counts = term_counts(tokens, key)
+        totals = counts.groupBy(key).agg(
+            F.sum("term_count").alias("total_terms"), _rows().alias("words")
+        )
+        joined = join_per_key(counts, totals, key, weight="words", spread="word")
+    return joined.select(
+        key,
+        "word",
+        "term_count",
+        "total_terms",
+        (F.col("term_count") / F.col("total_terms")).alias("tf"),
     )
 
 
-def _term_frequency(counts: DataFrame, key: str) -> DataFrame:
-    totals = counts.groupBy(key).agg(
-        F.sum("term_count").alias("total_terms"), _rows().alias("_words")
-    )
-    joined = join_per_key(counts, totals, key, weight="_words", spread="word").drop("_words")
-    return joined.withColumn("tf", F.col("term_count") / F.col("total_terms"))
-
-
-def top_terms_by_tf(tokens: DataFrame, key: str, n: int = 10) -> DataFrame:
+def top_terms_by_tf(
+    tokens: DataFrame, key: str, n: int = 10, one_row_each: bool = False
+) -> DataFrame:
     """The ``n`` words of highest ``tf`` in each document, ties by word, with their ``rank``.
 
     Within a document ``tf`` orders words as ``term_count`` does, so the counts are cut to
-    ``n`` per document before the totals are joined on.
+    ``n`` per document before anything is joined to them.
     """
-    counts = term_counts(tokens, key)
-    totals = counts.groupBy(key).agg(F.sum("term_count").alias("total_terms"))
-    return (
-        _top_per_document(counts, key, "term_count", n)
-        .join(totals, key)
-        .withColumn("tf", F.col("term_count") / F.col("total_terms"))
-        .select(key, "rank", "word", "term_count", "total_terms", "tf")
+    if one_row_each:
+        ranked = F.sort_array(
+            F.transform("counts", lambda c: F.struct((-c["term_count"]).alias("minus_count"), c["word"].alias("word")))
+        )
+        best = F.transform(
+            F.slice(ranked, 1, n),
+            lambda c, i: F.struct(
+                (i + 1).alias("rank"), c["word"].alias("word"), (-c["minus_count"]).alias("term_count")
+            ),
+        )
+        joined = _each(_counted_in_row(tokens, key), F.inline_outer(best), key, "total_terms")
+    else:
+        counts = term_counts(tokens, key)
+        totals = counts.groupBy(key).agg(F.sum("term_count").alias("total_terms"))
+        joined = _top_per_document(counts, key, "term_count", n).join(totals, key)
+    return joined.select(
+        key,
+        "rank",
+        "word",
+        "term_count",
+        "total_terms",
+        (F.col("term_count") / F.col("total_terms")).alias("tf"),
     )
 
 
-def idf_stats(tokens: DataFrame, key: str) -> DataFrame:
+def idf_stats(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
     """``(word, doc_freq, total_times_used, docs_containing_percent, idf_score)``."""
     documents = document_count(tokens, key)
     return (
-        _word_totals(term_counts(tokens, key))
+        _word_totals(term_counts(tokens, key, one_row_each))
         .withColumn("docs_containing_percent", F.col("doc_freq") / documents * 100)
         .withColumn("idf_score", F.log(documents / F.col("doc_freq")))
     )
@@ -83,17 +146,15 @@ def rarest_shared_words(idf: DataFrame, n: int = 10) -> DataFrame:
     return idf.where("doc_freq > 1").orderBy("doc_freq", "word").limit(n)
 
 
-def tf_idf(tokens: DataFrame, key: str) -> DataFrame:
+def tf_idf(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
     """``(key, word, doc_freq, tf, idf, tfidf)``, scores at full precision."""
-    counts = term_counts(tokens, key)
     words = (
-        _word_totals(counts)
+        _word_totals(term_counts(tokens, key, one_row_each))
         .select("word", "doc_freq")
         .withColumn("idf", F.log(document_count(tokens, key) / F.col("doc_freq")))
     )
-    weighted = join_per_key(
-        _term_frequency(counts, key), words, "word", weight="doc_freq", spread=key
-    )
+    frequencies = term_frequency(tokens, key, one_row_each)
+    weighted = join_per_key(frequencies, words, "word", weight="doc_freq", spread=key)
     return weighted.select(
         key, "word", "doc_freq", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )

@@ -186,25 +186,26 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.tf_idf(doc_tokens(spark, sf_dir), "doc_id")
+    return terms.tf_idf(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True)
 
 
 def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """The weights written out once, for queries that pass over them several times."""
     tokens = cleaning.clean_tokens(documents(spark, sf_dir), key)
-    return views.materialized(terms.tf_idf(tokens, key), "weights")
+    weights = terms.tf_idf(tokens, key, one_row_each=key == "doc_id")
+    return views.materialized(weights, "weights")
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(terms.term_frequency(doc_tokens(spark, sf_dir), "doc_id"), tf=6)
+    return rounded(terms.term_frequency(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True), tf=6)
 
 
 def top_terms_by_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(terms.top_terms_by_tf(doc_tokens(spark, sf_dir), "doc_id"), tf=6)
+    return rounded(terms.top_terms_by_tf(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True), tf=6)
 
 
 def _idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.idf_stats(doc_tokens(spark, sf_dir), "doc_id")
+    return terms.idf_stats(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True)
 
 
 def _rounded_idf(frame: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import terms
+from lectern.operators import cleaning, terms
 from lectern.operators.skew import join_per_key
 
 DOCUMENTS = {
@@ -69,11 +69,29 @@ def test_ranking_cuts_each_task_before_the_shuffle(tokens):
     assert "row_number(), 10, Partial" in plan
 
 
+@pytest.mark.parametrize(
+    "operator", [terms.term_counts, terms.term_frequency, terms.top_terms_by_tf, terms.idf_stats, terms.tf_idf]
+)
+def test_counting_in_the_row_gives_the_same(spark, sf_dir, operator):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tokens = cleaning.clean_tokens(documents, "doc_id")
+    plain = operator(tokens, "doc_id")
+    in_row = operator(tokens, "doc_id", one_row_each=True)
+    assert in_row.columns == plain.columns
+    assert in_row.dtypes == plain.dtypes
+    assert sorted(in_row.collect()) == sorted(plain.collect())
+
+
+def test_counting_in_the_row_moves_nothing(tokens):
+    for operator in (terms.term_counts, terms.term_frequency, terms.top_terms_by_tf):
+        plan = operator(tokens, "doc", one_row_each=True)._jdf.queryExecution().toString()
+        assert "Exchange" not in plan
+
+
 def test_tokens_are_cleaned_and_shuffled_once(spark, sf_dir):
     """All uses of the word counts read one shuffle."""
-    from lectern.plans.queries import QUERIES
-
-    frame = QUERIES["tf_idf"](spark, sf_dir)
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    frame = terms.tf_idf(cleaning.clean_tokens(documents, "doc_id"), "doc_id")
     frame.collect()
     plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     shuffles = [
