@@ -19,6 +19,9 @@ RARE_DOC_FREQ = 128
 BLOCK_DOCUMENTS = 512
 BLOCK_WORDS = 1024
 
+# A target document of at most this many words is broadcast.
+MAX_TARGET_WORDS = 200_000
+
 # Similarities are ranked as published, to four places, so that equal texts tie whatever
 # the order in which their products were summed.
 PLACES = 4
@@ -265,13 +268,16 @@ def find_similar(weights: DataFrame, key: str, target: object, top_n: int = 5) -
     """The ``top_n`` documents nearest ``target`` by cosine, ties by key.
 
     A document that shares no word with the target scores 0. Raises ``ValueError`` when
-    the target has no weights. One pass gives products and norms together; the target's
-    own words are the small side, and Spark broadcasts them if they measure small.
+    the target has no weights. One pass gives products and norms together. The target's
+    words are counted first, and broadcast unless there are more than ``MAX_TARGET_WORDS``.
     """
     is_target = F.col(key) == F.lit(target)
-    if weights.where(is_target).isEmpty():
-        raise ValueError(f"{target!r} not found")
     wanted = weights.where(is_target).select("word", F.col("tfidf").alias("wanted"))
+    words = wanted.limit(MAX_TARGET_WORDS + 1).count()
+    if words == 0:
+        raise ValueError(f"{target!r} not found")
+    if words <= MAX_TARGET_WORDS:
+        wanted = F.broadcast(wanted)
     square = F.col("tfidf") ** 2
     wanted_norm = wanted.agg(F.sqrt(F.sum(F.col("wanted") ** 2))).scalar()
     norms = F.sqrt(F.sum(square)) * wanted_norm

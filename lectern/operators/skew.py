@@ -25,6 +25,10 @@ def join_per_key(
     of about that size. The keys to cut are broadcast: the heaviest ones, and never more
     than ``max_hot_keys`` of them, so the broadcast has a fixed bound. The limit bears on
     balance only, not on the result. The other keys are not copied.
+
+    The hint keeps Spark from broadcasting ``rows``, whose size it underestimates after an
+    explode, and from sorting them: the other side has one row per key and part, so each
+    of its partitions is a small hash table.
     """
     hot = (
         per_key.where(F.col(weight) > rows_per_salt)
@@ -34,9 +38,10 @@ def join_per_key(
     )
     salts = F.coalesce("_salts", F.lit(1))
     salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(spread), salts).cast("int")
+        "_salt", F.coalesce(F.pmod(F.xxhash64(spread), salts), F.lit(0)).cast("int")
     )
     salted_keys = per_key.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return salted_rows.drop("_salts").join(salted_keys.drop("_salts"), [key, "_salt"]).drop("_salt")
+    salted_keys = salted_keys.drop("_salts").hint("shuffle_hash")
+    return salted_rows.drop("_salts").join(salted_keys, [key, "_salt"]).drop("_salt")

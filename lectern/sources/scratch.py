@@ -11,15 +11,15 @@ _local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names.
+    """The shared folder that ``spark.checkpoint.dir`` names, or the context's checkpoint folder.
 
-    Where it is unset, a fresh temporary folder serves a local master; a cluster must
+    Where neither is set, a fresh temporary folder serves a local master; a cluster must
     name one, since a folder on one machine is lost with that machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_roots:

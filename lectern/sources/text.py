@@ -16,12 +16,11 @@ TXT = "*.txt"
 def scan_lines(spark: SparkSession, path: Paths) -> DataFrame:
     """One row ``(value)`` per line of every ``.txt`` file.
 
-    Raises ``ValueError`` when there is no such file. The check takes one file's listing
-    entry; the names are listed only where all files, if any, are empty.
+    Raises ``ValueError`` when there is no such file. One line found settles that; the
+    names are gathered only where no file holds any.
     """
     lines = spark.read.option("pathGlobFilter", TXT).text(path)
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", TXT).load(path)
-    if listing.select("path").isEmpty() and not lines.inputFiles():
+    if lines.isEmpty() and not lines.inputFiles():
         raise ValueError(f"no .txt file in {path}")
     return lines
 
