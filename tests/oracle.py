@@ -27,8 +27,7 @@ def _plain(value):
     return value
 
 
-def mismatch(spark, connection, query, sql: str, sf_dir: str) -> str | None:
-    frame = query(spark, sf_dir)
+def mismatch(connection, frame, sql: str) -> str | None:
     got_names, got = rows_of(frame.columns, [tuple(row) for row in frame.collect()])
     result = connection.execute(sql)
     want_names, want = rows_of([column[0] for column in result.description], result.fetchall())
