@@ -105,7 +105,7 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def remove_stop_words(words: Column, stop_words: list[str] | None = None) -> Column:
-    """Drop stop words from a token array, ignoring case and keeping repeats."""
-    listed = [word.lower() for word in stop_words or english_stop_words()]
-    return F.filter(words, lambda word: ~F.lower(word).isin(listed))
+def remove_stop_words(words: str) -> Column:
+    """The token array of a column without stop words, ignoring case and keeping repeats."""
+    listed = ", ".join("'" + word.replace("'", "\\'") + "'" for word in english_stop_words())
+    return F.expr(f"filter(`{words}`, word -> lower(word) NOT IN ({listed}))")

@@ -25,7 +25,7 @@ def tokenize(cleaned: DataFrame, text: str = "cleaned_text") -> DataFrame:
 
 def remove_stop_words(tokenized: DataFrame, words: str = "words") -> DataFrame:
     """Add ``filtered_words``: ``words`` without English stop words."""
-    return tokenized.withColumn("filtered_words", tk.remove_stop_words(F.col(words)))
+    return tokenized.withColumn("filtered_words", tk.remove_stop_words(words))
 
 
 def filter_effect_stats(filtered: DataFrame) -> DataFrame:
@@ -39,4 +39,6 @@ def filter_effect_stats(filtered: DataFrame) -> DataFrame:
 def clean_tokens(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``(key, filtered_words)``: the four steps above in one, without the text between them."""
     words = tk.letter_words(tk.strip_boilerplate(F.col(text)))
-    return documents.select(key, tk.remove_stop_words(words).alias("filtered_words"))
+    return documents.select(key, words.alias("words")).select(
+        key, tk.remove_stop_words("words").alias("filtered_words")
+    )

@@ -46,22 +46,15 @@ def _counted_in_row(tokens: DataFrame, key: str) -> DataFrame:
     ordered = tokens.where(F.col(key).isNotNull()).select(
         key, F.sort_array("filtered_words").alias("ordered")
     )
-    placed = F.transform("ordered", lambda word, i: F.struct(word.alias("word"), i.alias("place")))
+    placed = "transform(ordered, (word, i) -> struct(word, i AS place))"
     firsts = ordered.select(
         key,
         F.size("ordered").cast("long").alias("total_terms"),
-        F.filter(
-            placed, lambda at: ~at["word"].eqNullSafe(F.get("ordered", at["place"] - 1))
-        ).alias("firsts"),
+        F.expr(f"filter({placed}, at -> NOT at.word <=> get(ordered, at.place - 1))").alias("firsts"),
     )
-    next_place = lambda i: F.coalesce(F.get("firsts", i + 1)["place"], F.col("total_terms"))
-    counts = F.transform(
-        "firsts",
-        lambda at, i: F.struct(
-            at["word"].alias("word"), (next_place(i) - at["place"]).alias("term_count")
-        ),
-    )
-    return firsts.select(key, "total_terms", counts.alias("counts"))
+    next_place = "coalesce(get(firsts, i + 1).place, total_terms)"
+    counts = f"transform(firsts, (at, i) -> struct(at.word, {next_place} - at.place AS term_count))"
+    return firsts.select(key, "total_terms", F.expr(counts).alias("counts"))
 
 
 def _each(frame: DataFrame, generator: Column, *keep: str) -> DataFrame:
@@ -102,14 +95,10 @@ def top_terms_by_tf(
     ``n`` per document before anything is joined to them.
     """
     if one_row_each:
-        ranked = F.sort_array(
-            F.transform("counts", lambda c: F.struct((-c["term_count"]).alias("minus_count"), c["word"].alias("word")))
-        )
-        best = F.transform(
-            F.slice(ranked, 1, n),
-            lambda c, i: F.struct(
-                (i + 1).alias("rank"), c["word"].alias("word"), (-c["minus_count"]).alias("term_count")
-            ),
+        ranked = "sort_array(transform(counts, c -> struct(-c.term_count AS minus_count, c.word)))"
+        best = F.expr(
+            f"transform(slice({ranked}, 1, {n}), (c, i) -> "
+            "struct(i + 1 AS rank, c.word, -c.minus_count AS term_count))"
         )
         joined = _each(_counted_in_row(tokens, key), F.inline_outer(best), key, "total_terms")
     else:
