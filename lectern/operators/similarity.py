@@ -112,7 +112,9 @@ def pairwise_cosine(
     norm1 = norms.select(F.col(key).alias("book1"), F.col("norm").alias("norm1"))
     norm2 = norms.select(F.col(key).alias("book2"), F.col("norm").alias("norm2"))
     how = "left" if include_zero else "inner"
-    similarity = F.coalesce(F.col("dot") / (F.col("norm1") * F.col("norm2")), F.lit(0.0))
+    # Rounding can lift the cosine of equal directions a little above 1.
+    cosine = F.least(F.col("dot") / (F.col("norm1") * F.col("norm2")), F.lit(1.0))
+    similarity = F.when(F.col("norm1").isNull() | F.col("norm2").isNull(), 0.0).otherwise(cosine)
     return (
         dots.groupBy("book1", "book2")
         .agg(F.sum("dot").alias("dot"))
@@ -282,7 +284,7 @@ def find_similar(weights: DataFrame, key: str, target: object, top_n: int = 5) -
     wanted_norm = wanted.agg(F.sqrt(F.sum(F.col("wanted") ** 2))).scalar()
     norms = F.sqrt(F.sum(square)) * wanted_norm
     dot = F.coalesce(F.sum(F.col("tfidf") * F.col("wanted")), F.lit(0.0))
-    similarity = F.when(norms == 0, 0.0).otherwise(dot / norms)
+    similarity = F.when(norms == 0, 0.0).otherwise(F.least(dot / norms, F.lit(1.0)))
     scored = (
         weights.where(~is_target)
         .select(key, "word", "tfidf")
