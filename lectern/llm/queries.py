@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, exact_dedup, langid, licenses, packing, quality, secrets, sharding, simhash
+from lectern.llm import bpe, exact_dedup, langid, licenses, packing, quality, secrets, sharding, simhash, suffix_dedup
 from lectern.llm.common import documents_of
 
 SHARDS = 40
@@ -54,6 +54,10 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.col(f"counts.{name}") for name in names], "base_failed", "kept")
 
 
+def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents_of(spark, sf_dir))
+
+
 def near(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents_of(spark, sf_dir))
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -72,6 +76,7 @@ QUERIES = {
     "op5_hilbert_shards": sharded,
     "op6_language_id": language,
     "op7_quality": judged,
+    "op8_suffix_dedup": suffixes,
     "op9_simhash": near,
     "op10_bpe": encoded,
 }
