@@ -92,14 +92,14 @@ def random_windows(candidate: str) -> list[tuple[int, int]]:
     chars, groups, total = Counter(), Counter(), 0.0
     spans: list[tuple[int, int]] = []
     for at, char in enumerate(candidate):
-        chars[char] += 1
-        total += _TERMS[chars[char]] - _TERMS[chars[char] - 1]
-        groups[_group(char)] += 1
         if at >= WINDOW:
             out = candidate[at - WINDOW]
             chars[out] -= 1
             total += _TERMS[chars[out]] - _TERMS[chars[out] + 1]
             groups[_group(out)] -= 1
+        chars[char] += 1
+        total += _TERMS[chars[char]] - _TERMS[chars[char] - 1]
+        groups[_group(char)] += 1
         if at < WINDOW - 1:
             continue
         entropy = math.log2(WINDOW) - total / WINDOW
