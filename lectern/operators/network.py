@@ -1,9 +1,9 @@
 """Authors, their dates, and the influence network between them.
 
 An edge runs from an author to another one whose date is one to ``years_threshold`` years
-later. There is one edge for each such pair of dates, so edges grow with the square of the
-dates. Only ``influence_edges`` makes them. The statistics need just the number of edges
-per author and gap, which ``author_gaps`` works out from dates counted per year.
+later. There is one edge for each such pair of dates. ``influence_edges`` counts them per pair of
+authors, which still grows with the square of the authors. The statistics need just the number
+of edges per author and gap, which ``author_gaps`` works out from dates counted per year.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from lectern.sources.text import megabytes
 
 YEARS_THRESHOLD = 5
 
-# Authors of one year that one part of the edge join takes.
+# Authors of one year that one part of the edge join takes, on either side.
 AUTHORS_PER_SALT = 1000
 
 
@@ -59,44 +59,70 @@ def _active_years(dates: DataFrame) -> DataFrame:
     return dates.groupBy("author", F.year("date").alias("year")).agg(F.count("*").alias("dates"))
 
 
+def _year_parts(years: DataFrame, authors_per_salt: int) -> DataFrame:
+    """``(year, parts)``: how many parts a year's authors make. Fewer than 10,000 rows."""
+    # Counting where there are dates, not rows, lets this read the shuffle that the join reads.
+    authors = F.count_if(F.col("dates") > 0)
+    parts = F.greatest(F.lit(1), F.ceil(authors / authors_per_salt)).cast("int")
+    return years.groupBy("year").agg(parts.alias("parts"))
+
+
+def _split_sides(years: DataFrame, years_threshold: int, authors_per_salt: int) -> tuple[DataFrame, DataFrame]:
+    """The sides of the edge join, keyed by ``(later_year, year_difference, salt1, salt2)``.
+
+    Both years are cut into parts of their own size, and each part of the one meets each part of
+    the other. An author is copied once per year in reach and part of that year, so that a crowded
+    year costs its own neighbours only.
+    """
+    parts = _year_parts(years, authors_per_salt)
+    from_parts = F.broadcast(parts.select(F.col("year").alias("earlier_year"), F.col("parts").alias("parts1")))
+    to_parts = F.broadcast(parts.select(F.col("year").alias("later_year"), F.col("parts").alias("parts2")))
+    gap = F.explode(F.sequence(F.lit(1), F.lit(years_threshold))).alias("year_difference")
+
+    def met(side: DataFrame) -> DataFrame:
+        return side.join(from_parts, "earlier_year").join(to_parts, "later_year")
+
+    def own(name: str, count: str):
+        return F.pmod(F.xxhash64(name), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    keys = ["later_year", "year_difference", "salt1", "salt2"]
+    earlier = years.select(
+        F.col("author").alias("influencer"), F.col("dates").alias("dates1"), F.col("year").alias("earlier_year"), gap
+    ).withColumn("later_year", F.col("earlier_year") + F.col("year_difference"))
+    later = years.select(
+        F.col("author").alias("influenced"), F.col("dates").alias("dates2"), F.col("year").alias("later_year"), gap
+    ).withColumn("earlier_year", F.col("later_year") - F.col("year_difference"))
+    return (
+        met(earlier)
+        .withColumn("salt1", own("influencer", "parts1"))
+        .withColumn("salt2", every("parts2"))
+        .select(*keys, "influencer", "dates1"),
+        met(later)
+        .withColumn("salt2", own("influenced", "parts2"))
+        .withColumn("salt1", every("parts1"))
+        .select(*keys, "influenced", "dates2"),
+    )
+
+
 def influence_edges(
     dates: DataFrame,
     years_threshold: int = YEARS_THRESHOLD,
     authors_per_salt: int = AUTHORS_PER_SALT,
 ) -> DataFrame:
-    """``(influencer, influenced, year_difference)``, once per pair of dates.
+    """``(influencer, influenced, year_difference, edges)``: how many pairs of dates there are.
 
-    The interval join is an equi-join: an earlier year is copied to each year it reaches.
-    Authors meet as one row per year, and repeats are written out at the end. A year with
-    many authors is cut into parts of ``authors_per_salt`` influencers.
+    The interval join is an equi-join on the later year and the gap, of one row per author and
+    year. A year with many authors is cut into parts of ``authors_per_salt``, on both sides.
     """
-    years = _active_years(dates)
-    # Counting where there are dates, not rows, lets this read the shuffle that the join reads.
-    authors = years.groupBy("year").agg(F.count_if(F.col("dates") > 0).alias("authors"))
-    crowd = authors.agg(F.max("authors")).scalar()
-    salts = F.greatest(F.lit(1), F.ceil(crowd / authors_per_salt)).cast("int")
-    earlier = (
-        years.select(
-            F.col("author").alias("influencer"),
-            F.col("dates").alias("earlier_dates"),
-            "year",
-            F.explode(F.sequence(F.lit(1), F.lit(years_threshold))).alias("year_difference"),
-        )
-        .withColumn("year", F.col("year") + F.col("year_difference"))
-        .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("influencer"), salts), F.lit(0)).cast("int"))
-    )
-    later = years.select(
-        F.col("author").alias("influenced"),
-        F.col("dates").alias("later_dates"),
-        "year",
-        F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
-    )
-    repeats = F.sequence(F.lit(1).cast("long"), F.col("earlier_dates") * F.col("later_dates"))
+    earlier, later = _split_sides(_active_years(dates), years_threshold, authors_per_salt)
     return (
-        earlier.join(later, ["year", "salt"])
+        earlier.join(later, ["later_year", "year_difference", "salt1", "salt2"])
         .where("influencer <> influenced")
-        .select("influencer", "influenced", "year_difference", F.explode_outer(repeats))
-        .drop("col")
+        .groupBy("influencer", "influenced", "year_difference")
+        .agg(F.sum(F.col("dates1") * F.col("dates2")).alias("edges"))
     )
 
 
@@ -132,6 +158,7 @@ def gaps_of_edges(edges: DataFrame) -> DataFrame:
     """The same table from edges that a caller already has."""
     ends = edges.select(
         "year_difference",
+        "edges",
         F.inline(
             F.array(
                 F.struct(F.col("influencer").alias("author"), F.lit(1).alias("out_end")),
@@ -140,7 +167,8 @@ def gaps_of_edges(edges: DataFrame) -> DataFrame:
         ),
     )
     return ends.groupBy("author", "year_difference").agg(
-        F.sum("out_end").alias("out_edges"), F.sum(1 - F.col("out_end")).alias("in_edges")
+        F.sum(F.col("edges") * F.col("out_end")).alias("out_edges"),
+        F.sum(F.col("edges") * (1 - F.col("out_end"))).alias("in_edges"),
     )
 
 

@@ -1,60 +1,33 @@
 """Vocabulary, sparse vectors and cosine similarity over ``tf_idf`` weights.
 
-Weights are rows ``(key, word, doc_freq, tfidf, ...)``. A word in every document weighs
-zero and is dropped from products, which changes nothing.
+Weights are rows ``(key, word, doc_freq, tfidf, ...)``; write them first, since operators pass
+over them several times. A word in every document weighs zero and is dropped from products,
+which changes nothing. No weight is negative, so no similarity is.
+
+Similarities are published to four places, and so compared, ranked and cut off.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lectern.operators.skew import join_per_key
-from lectern.sources.scratch import ensure_checkpoint_dir
-
-# A word in at most this many documents is multiplied pair by pair, one in more block by block.
-RARE_DOC_FREQ = 128
-BLOCK_DOCUMENTS = 512
-BLOCK_WORDS = 1024
+from lectern.operators.numbering import numbered
 
 # A target document of at most this many words is broadcast.
 MAX_TARGET_WORDS = 200_000
 
-# Similarities are ranked as published, to four places, so that equal texts tie whatever
-# the order in which their products were summed.
 PLACES = 4
+LEAST_PUBLISHED = 10**-PLACES
+
+# Documents that are first compared with all others in the search for the least similar pairs.
+FIRST_DOCUMENTS = 32
 
 
 def vocabulary(words: DataFrame) -> DataFrame:
     """``(word, index)``: the distinct words of a column ``word``, in order, numbered from 0."""
-    return _numbered(words.select("word").distinct())
-
-
-def _numbered(words: DataFrame) -> DataFrame:
-    """Add ``index``, a word's place in order, to a table of distinct words.
-
-    The words are range-sorted once and checkpointed, which fixes the partitions. A
-    word's number is its place in its partition plus the sizes of the partitions before.
-    Only those sizes, one row per partition, are gathered.
-    """
-    ensure_checkpoint_dir(words.sparkSession)
-    ordered = words.repartitionByRange("word").sortWithinPartitions("word").checkpoint()
-    # monotonically_increasing_id holds the partition in its upper and the place in its lower 33 bits.
-    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("place", place)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("part")
-        .agg(F.count("*").alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    return (
-        placed.join(F.broadcast(offsets), "part")
-        .withColumn("index", F.col("offset") + F.col("place"))
-        .drop("part", "place", "offset")
-    )
+    return numbered(words.select("word").distinct(), "word")
 
 
 def vocabulary_size(words: DataFrame) -> DataFrame:
@@ -65,16 +38,12 @@ def vocabulary_size(words: DataFrame) -> DataFrame:
 def tfidf_vectors(weights: DataFrame, key: str) -> DataFrame:
     """``(key, size, indices, values)``: one sparse vector per document, indices ascending.
 
-    A vector is as long as its document has distinct words.
+    Takes weights made ``with_index``. A vector is as long as its document has distinct words.
     """
-    numbered = _numbered(weights.groupBy("word").agg(F.max("doc_freq").alias("doc_freq")))
-    size = numbered.agg(F.count("*").cast("int")).scalar()
-    entries = join_per_key(
-        weights.select(key, "word", "tfidf"), numbered, "word", weight="doc_freq", spread=key
-    )
+    size = weights.agg((F.coalesce(F.max("index"), F.lit(-1)) + 1).cast("int")).scalar()
     entry = F.struct(F.col("index").cast("int").alias("index"), F.col("tfidf").alias("value"))
     return (
-        entries.groupBy(key)
+        weights.groupBy(key)
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
         .select(
             key,
@@ -85,166 +54,171 @@ def tfidf_vectors(weights: DataFrame, key: str) -> DataFrame:
     )
 
 
-def pairwise_cosine(
-    weights: DataFrame,
-    key: str,
-    include_zero: bool = False,
-    rare_doc_freq: int = RARE_DOC_FREQ,
-    block_documents: int = BLOCK_DOCUMENTS,
-    block_words: int = BLOCK_WORDS,
-) -> DataFrame:
-    """``(book1, book2, similarity)`` for the pairs ``book1 < book2`` that share a word.
-
-    With ``include_zero`` all other pairs follow with similarity 0. That result grows with
-    the square of the number of documents, whatever computes it.
-
-    A word in few documents meets itself in an equi-join, at most ``rare_doc_freq`` rows
-    for each of its own. Words in more documents would pair quadratically there; they go
-    through matrix products of document blocks by word blocks, each of a fixed size.
-    """
-    present = weights.where("tfidf != 0")
-    dots = _rare_dots(present.where(F.col("doc_freq").between(2, rare_doc_freq)), key).unionByName(
-        _common_dots(present, key, rare_doc_freq, block_documents, block_words)
-    )
-    if include_zero:
-        dots = dots.unionByName(_zero_dots(weights, key, block_documents))
+def _unit_weights(weights: DataFrame, key: str) -> DataFrame:
+    """``(key, word, doc_freq, unit)``: the weights of vectors scaled to length 1."""
+    present = weights.where("tfidf != 0").select(key, "word", "doc_freq", "tfidf")
     norms = present.groupBy(key).agg(F.sqrt(F.sum(F.col("tfidf") ** 2)).alias("norm"))
-    norm1 = norms.select(F.col(key).alias("book1"), F.col("norm").alias("norm1"))
-    norm2 = norms.select(F.col(key).alias("book2"), F.col("norm").alias("norm2"))
-    how = "left" if include_zero else "inner"
-    # Rounding can lift the cosine of equal directions a little above 1.
-    cosine = F.least(F.col("dot") / (F.col("norm1") * F.col("norm2")), F.lit(1.0))
-    similarity = F.when(F.col("norm1").isNull() | F.col("norm2").isNull(), 0.0).otherwise(cosine)
-    return (
-        dots.groupBy("book1", "book2")
-        .agg(F.sum("dot").alias("dot"))
-        .join(norm1, "book1", how)
-        .join(norm2, "book2", how)
-        .select("book1", "book2", similarity.alias("similarity"))
+    return present.join(norms, key).select(
+        key, "word", "doc_freq", (F.col("tfidf") / F.col("norm")).alias("unit")
     )
 
 
-def _rare_dots(rare: DataFrame, key: str) -> DataFrame:
-    left = rare.select("word", F.col(key).alias("book1"), F.col("tfidf").alias("value1"))
-    right = rare.select("word", F.col(key).alias("book2"), F.col("tfidf").alias("value2"))
-    return (
-        left.join(right, "word")
-        .where("book1 < book2")
-        .groupBy("book1", "book2")
-        .agg(F.sum(F.col("value1") * F.col("value2")).alias("dot"))
+def _named(units: DataFrame, key: str, number: int, *keep: str) -> DataFrame:
+    return units.select(
+        "word", F.col(key).alias(f"book{number}"), *[F.col(c).alias(f"{c}{number}") for c in keep]
     )
 
 
-def _blocks(documents: DataFrame, key: str, block_documents: int) -> Column:
-    """How many blocks of about ``block_documents`` the documents make; affects speed only."""
-    size = documents.agg(F.approx_count_distinct(key)).scalar()
-    return F.greatest(F.lit(1), F.ceil(size / block_documents)).cast("int")
-
-
-def _paired_with_blocks(frame: DataFrame, key: str, blocks: Column) -> DataFrame:
-    """Copy each row to every pair ``(low, high)`` of blocks that holds its own ``block``."""
-    return (
-        frame.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-    )
-
+def pairwise_cosine(weights: DataFrame, key: str, min_similarity: float = 0.5) -> DataFrame:
+    """``(book1, book2, similarity)`` of the pairs ``book1 < book2`` of at least ``min_similarity``.
 
-def _common_dots(
-    present: DataFrame, key: str, rare_doc_freq: int, block_documents: int, block_words: int
-) -> DataFrame:
-    common = present.where(F.col("doc_freq") > rare_doc_freq).select(key, "word", "tfidf")
-    word_blocks = _blocks(common, "word", block_words)
-    rows = _paired_with_blocks(common, key, _blocks(common, key, block_documents)).withColumn(
-        "word_block", F.pmod(F.xxhash64("word"), word_blocks).cast("int")
+    The threshold is part of the question; without it the answer grows with the square of the
+    documents. It also bounds the work. Words are taken from the rarest on. What is left of a unit
+    vector once the length of the rest is below the threshold cannot reach it alone, so two
+    similar documents share a word in the parts before. Only those parts meet, in an
+    equi-join; pairs whose shared part and greatest possible rest stay below the threshold go
+    at once, and the others are computed in full.
+    """
+    if not min_similarity > 0:
+        raise ValueError("min_similarity must be above 0")
+    # Half a published place, so that rounding up to the threshold is not lost.
+    least = F.lit(max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4))
+    units = _unit_weights(weights, key)
+    onward = Window.partitionBy(key).orderBy("doc_freq", "word").rowsBetween(0, Window.unboundedFollowing)
+    square = F.col("unit") ** 2
+    leading = (
+        units.withColumn("left", F.sum(square).over(onward))
+        .where(F.col("left") >= least * least * (1 - 1e-9))
+        .withColumn("rest", F.sqrt(F.greatest(F.col("left") - square, F.lit(0.0))))
     )
-
-    def multiply(block: pd.DataFrame) -> pd.DataFrame:
-        documents, row = np.unique(block[key].to_numpy(), return_inverse=True)
-        words, column = np.unique(block["word"].to_numpy(), return_inverse=True)
-        matrix = np.zeros((len(documents), len(words)))
-        matrix[row, column] = block["tfidf"].to_numpy()
-        in_low = np.zeros(len(documents), dtype=bool)
-        in_low[row] = block["block"].to_numpy() == block["low"].iat[0]
-        if block["low"].iat[0] == block["high"].iat[0]:
-            first = second = np.arange(len(documents))
-            product = np.triu(matrix @ matrix.T, k=1)
-        else:
-            first, second = np.flatnonzero(in_low), np.flatnonzero(~in_low)
-            product = matrix[first] @ matrix[second].T
-        i, j = np.nonzero(product)
-        return pd.DataFrame(
-            {"a": documents[first[i]], "b": documents[second[j]], "dot": product[i, j]}
-        )
-
-    key_type = present.schema[key].dataType.simpleString()
-    products = (
-        rows.select("low", "high", "word_block", "block", key, "word", "tfidf")
-        .groupBy("low", "high", "word_block")
-        .applyInPandas(multiply, f"a {key_type}, b {key_type}, dot double")
+    bound = F.sum(F.col("unit1") * F.col("unit2")) + F.greatest(F.min("rest1"), F.min("rest2"))
+    # A document's last leading word has the least rest; where a pair does not share it, the rest
+    # at the last shared one is greater, and the bound only weaker.
+    met = (
+        _named(leading, key, 1, "unit", "rest")
+        .join(_named(leading, key, 2, "unit", "rest"), "word")
+        .where("book1 < book2")
+        .groupBy("book1", "book2")
+        .agg(bound.alias("bound"))
+        .where(F.col("bound") >= least * (1 - 1e-9))
+        .select("book1", "book2")
     )
-    return products.select(
-        F.least("a", "b").alias("book1"), F.greatest("a", "b").alias("book2"), "dot"
+    dots = (
+        met.join(_named(units, key, 1, "unit"), "book1")
+        .join(_named(units, key, 2, "unit"), ["book2", "word"])
+        .groupBy("book1", "book2")
+        .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"))
     )
+    # Rounding can lift the cosine of equal directions a little above 1.
+    cosine = dots.select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
+    return cosine.where(F.round("similarity", PLACES) >= min_similarity)
 
 
-def _zero_dots(weights: DataFrame, key: str, block_documents: int) -> DataFrame:
-    """Every pair of documents once, by an equi-join of blocks of bounded size."""
-    documents = weights.select(key).distinct()
-    paired = _paired_with_blocks(documents, key, _blocks(documents, key, block_documents))
-    left = paired.where("block = low").select("low", "high", F.col(key).alias("a"))
-    right = paired.where("block = high").select("low", "high", F.col(key).alias("b"))
-    return (
-        left.join(right, ["low", "high"])
-        .where("low < high OR a < b")
-        .select(
-            F.least("a", "b").alias("book1"),
-            F.greatest("a", "b").alias("book2"),
-            F.lit(0.0).alias("dot"),
+def similar_documents(weights: DataFrame, key: str, min_similarity: float = 0.8) -> DataFrame:
+    """``(key, class_id, links)``, one row per document with weights.
+
+    Documents with the same vector make a class, named by its first one; links counts all other
+    documents of at least ``min_similarity``. Only the classes' first documents are paired, so copies,
+    however many, cost one row each.
+    """
+    mixed = [F.xxhash64("word", "tfidf"), F.xxhash64("tfidf", "word")]
+    signs = (
+        weights.groupBy(key)
+        .agg(
+            F.count_if(F.col("tfidf") != 0).alias("words"),
+            *[F.bit_xor(F.when(F.col("tfidf") != 0, m)).alias(f"sign{i}") for i, m in enumerate(mixed)],
         )
+        # A document without any weight is like no other.
+        .withColumn("sign1", F.when(F.col("words") > 0, F.col("sign1")).otherwise(F.xxhash64(key)))
+    )
+    sign = ["words", "sign0", "sign1"]
+    classes = signs.groupBy(*sign).agg(F.min(key).alias("class_id"), F.count("*").alias("members"))
+    first = classes.select(F.col("class_id").alias(key))
+    pairs = pairwise_cosine(weights.join(first, key, "left_semi"), key, min_similarity)
+    ends = pairs.select(F.inline(F.array(
+        F.struct(F.col("book1").alias("class_id"), F.col("book2").alias("other")),
+        F.struct(F.col("book2").alias("class_id"), F.col("book1").alias("other")),
+    )))
+    sizes = classes.select(F.col("class_id").alias("other"), "members")
+    linked = ends.join(sizes, "other").groupBy("class_id").agg(F.sum("members").alias("outside"))
+    inside = F.when(F.col("words") > 0, F.col("members") - 1).otherwise(F.lit(0))
+    links = classes.join(linked, "class_id", "left").select(
+        *sign, "class_id", (inside + F.coalesce("outside", F.lit(0))).cast("long").alias("links")
     )
+    same = [signs[c].eqNullSafe(links[c]) for c in sign]
+    return signs.join(links, same[0] & same[1] & same[2]).select(key, "class_id", "links")
 
 
 def _published(similarities: DataFrame) -> DataFrame:
     return similarities.withColumn("similarity", F.round("similarity", PLACES))
 
 
-def most_similar_pairs(similarities: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` highest pairs, ties by names."""
-    return _published(similarities).orderBy(F.desc("similarity"), "book1", "book2").limit(n)
+def most_similar_pairs(
+    weights: DataFrame, key: str, n: int = 10, min_similarity: float = 0.5
+) -> DataFrame:
+    """The ``n`` highest pairs, ties by names; fewer where fewer are above 0.
 
+    Looks for pairs of at least ``min_similarity``, and lowers that only while they are fewer than ``n``.
+    """
+    threshold = min_similarity
+    while True:
+        best = _published(pairwise_cosine(weights, key, threshold))
+        best = best.orderBy(F.desc("similarity"), "book1", "book2").limit(n)
+        rows = best.collect()
+        if len(rows) == n or threshold <= LEAST_PUBLISHED:
+            return weights.sparkSession.createDataFrame(rows, best.schema)
+        threshold = threshold / 4 if threshold > 0.01 else LEAST_PUBLISHED
+
+
+def least_similar_pairs(
+    weights: DataFrame, key: str, n: int = 10, first_documents: int = FIRST_DOCUMENTS
+) -> DataFrame:
+    """The ``n`` lowest pairs, ties by names.
 
-def least_similar_pairs(similarities: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` lowest pairs, ties by names. Give it the pairs at 0 too."""
-    return _published(similarities).orderBy("similarity", "book1", "book2").limit(n)
+    Pairs at 0 lead, in order of their names. So the first documents by name, as a stated set of
+    queries, are compared with all others; if that gives ``n`` pairs at 0, no other pair
+    can come before them. Otherwise the set is doubled.
+    """
+    spark = weights.sparkSession
+    units = _unit_weights(weights, key)
+    keys = weights.select(key).distinct()
+    while True:
+        names = [row[0] for row in keys.orderBy(key).limit(first_documents).collect()]
+        array = F.array(*[F.lit(name) for name in names]).cast(T.ArrayType(weights.schema[key].dataType))
+        wanted = units.where(F.array_contains(array, F.col(key)))
+        dots = (
+            _named(wanted, key, 1, "unit")
+            .join(_named(units, key, 2, "unit"), "word")
+            .where("book1 < book2")
+            .groupBy("book1", "book2")
+            .agg(F.least(F.sum(F.col("unit1") * F.col("unit2")), F.lit(1.0)).alias("similarity"))
+        )
+        pairs = keys.select(F.explode(array).alias("book1"), F.col(key).alias("book2")).where("book1 < book2")
+        lowest = _published(pairs.join(dots, ["book1", "book2"], "left").na.fill(0.0, ["similarity"]))
+        lowest = lowest.orderBy("similarity", "book1", "book2").limit(n)
+        rows = lowest.collect()
+        if len(names) < first_documents or (len(rows) == n and rows[-1].similarity == 0):
+            return spark.createDataFrame(rows, lowest.schema)
+        first_documents *= 2
 
 
-def similarity_stats(similarities: DataFrame, weights: DataFrame, key: str) -> DataFrame:
+def similarity_stats(weights: DataFrame, key: str, min_similarity: float = 0.5) -> DataFrame:
     """One row: average, least and greatest similarity over all pairs of documents.
 
-    Takes the pairs above 0; the others only count in the divisor, and are never made.
+    No pair is made for the average: over unit vectors, the products of all pairs and of
+    each with itself sum to the square of the summed vectors, word by word.
     """
-    documents = weights.agg(F.count_distinct(key)).scalar()
-    return (
-        similarities.agg(
-            F.sum("similarity").alias("total"),
-            F.count("*").alias("positive"),
-            F.min("similarity").alias("least"),
-            F.max("similarity").alias("greatest"),
-        )
-        .withColumn("documents", documents)
-        .withColumn("pairs", F.expr("documents * (documents - 1) div 2"))
-        .select(
-            F.when(F.col("pairs") > 0, F.coalesce("total", F.lit(0.0)) / F.col("pairs")).alias(
-                "average_similarity"
-            ),
-            F.when(F.col("positive") < F.col("pairs"), 0.0)
-            .otherwise(F.col("least"))
-            .alias("min_similarity"),
-            F.when(F.col("pairs") > 0, F.coalesce("greatest", F.lit(0.0))).alias("max_similarity"),
-        )
+    units = _unit_weights(weights, key)
+    squares = units.groupBy("word").agg((F.sum("unit") ** 2).alias("square"))
+    total = squares.agg(F.coalesce(F.sum("square"), F.lit(0.0))).scalar()
+    own = units.agg(F.coalesce(F.sum(F.col("unit") ** 2), F.lit(0.0))).scalar()
+    least = least_similar_pairs(weights, key, 1).agg(F.min("similarity")).scalar()
+    greatest = most_similar_pairs(weights, key, 1, min_similarity).agg(F.max("similarity")).scalar()
+    pairs = F.col("documents") * (F.col("documents") - 1) / 2
+    return weights.agg(F.count_distinct(key).alias("documents")).select(
+        F.when(pairs > 0, F.greatest((total - own) / 2, F.lit(0.0)) / pairs).alias("average_similarity"),
+        least.alias("min_similarity"),
+        F.when(pairs > 0, F.coalesce(greatest, F.lit(0.0))).alias("max_similarity"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000
-MAX_HOT_KEYS = 100_000
+MOST_HOT_KEYS = 100_000
 
 
 def join_per_key(
@@ -16,25 +16,26 @@ def join_per_key(
     weight: str,
     spread: str,
     rows_per_salt: int = ROWS_PER_SALT,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    most_hot_keys: int = MOST_HOT_KEYS,
 ) -> DataFrame:
     """Inner join of ``rows`` to ``per_key`` on ``key``, with the heavy keys salted.
 
     ``per_key`` holds one row per key, and in ``weight`` the number of ``rows`` of it.
-    A key of more than ``rows_per_salt`` rows is cut, by a hash of ``spread``, into parts
-    of about that size. The keys to cut are broadcast: the heaviest ones, and never more
-    than ``max_hot_keys`` of them, so the broadcast has a fixed bound. The limit bears on
-    balance only, not on the result. The other keys are not copied.
+    A key of more than ``rows_per_salt`` rows, or of more than the ``most_hot_keys``-th part of
+    all rows where that is more, is cut by a hash of ``spread`` into parts of about that size.
+    By counting, no more than ``most_hot_keys`` keys can be so heavy: that bounds the broadcast,
+    and none of them is left out. The other keys are not copied.
 
     The hint keeps Spark from broadcasting ``rows``, whose size it underestimates after an
-    explode, and from sorting them: the other side has one row per key and part, so each
-    of its partitions is a small hash table.
+    explode. A merge join spills where a hash table over a large vocabulary would not.
     """
+    total = per_key.agg(F.sum(weight)).scalar()
+    size = F.greatest(F.lit(rows_per_salt), F.ceil(F.coalesce(total, F.lit(0)) / most_hot_keys))
     hot = (
-        per_key.where(F.col(weight) > rows_per_salt)
-        .orderBy(F.desc(weight), key)
-        .limit(max_hot_keys)
-        .select(key, F.ceil(F.col(weight) / rows_per_salt).cast("int").alias("_salts"))
+        per_key.select(key, weight)
+        .withColumn("_size", size)
+        .where(F.col(weight) > F.col("_size"))
+        .select(key, F.ceil(F.col(weight) / F.col("_size")).cast("int").alias("_salts"))
     )
     salts = F.coalesce("_salts", F.lit(1))
     salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn(
@@ -43,5 +44,5 @@ def join_per_key(
     salted_keys = per_key.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    salted_keys = salted_keys.drop("_salts").hint("shuffle_hash")
+    salted_keys = salted_keys.drop("_salts").hint("merge")
     return salted_rows.drop("_salts").join(salted_keys, [key, "_salt"]).drop("_salt")

@@ -7,10 +7,11 @@ tokenizes and shuffles once, provided that each use of the aggregate asks for th
 columns and null checks; hence ``_rows`` below, which reads ``term_count`` where ``count``
 would let the optimizer prune it.
 
-With ``one_row_each`` the caller vouches that each document is one row. Its words are then
-counted within the row, and neither the counts nor the totals need a shuffle. Tokens are
-made twice by the operators that also need ``doc_freq``, which costs less than moving every
-count; written tokens spare that too.
+With ``one_row_each`` the caller says that each document is one row. Its words are then
+counted within the row, and neither the counts nor the totals need a shuffle. The keys are
+counted beside it, and a key that repeats ends the job with an error: its words would be
+counted apart. Tokens are read twice by the operators that also need ``doc_freq``; give them
+written tokens, so that texts are cleaned once.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.numbering import numbered
 from lectern.operators.skew import join_per_key
 from lectern.operators.wordcount import exploded
 
@@ -43,7 +45,7 @@ def _counted_in_row(tokens: DataFrame, key: str) -> DataFrame:
     its first place to that of the next word. The three steps are three projections, so
     that each array is made once.
     """
-    ordered = tokens.where(F.col(key).isNotNull()).select(
+    ordered = tokens.where(F.col(key).isNotNull() & _keys_are_unique(tokens, key)).select(
         key, F.sort_array("filtered_words").alias("ordered")
     )
     placed = "transform(ordered, (word, i) -> struct(word, i AS place))"
@@ -61,9 +63,17 @@ def _each(frame: DataFrame, generator: Column, *keep: str) -> DataFrame:
     return frame.select(*keep, generator).where("word IS NOT NULL")
 
 
-def document_count(tokens: DataFrame, key: str) -> Column:
+def _keys_are_unique(tokens: DataFrame, key: str) -> Column:
+    """True, as a scalar, or an error that names a key of several rows; null keys do not count."""
+    repeated = tokens.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1")
+    message = F.concat(F.lit(f"one_row_each: several rows have the {key} "), F.max(F.col(key).cast("string")))
+    return repeated.agg(F.when(F.count("*") > 0, F.raise_error(message)).otherwise(F.lit(True))).scalar()
+
+
+def document_count(tokens: DataFrame, key: str, one_row_each: bool = False) -> Column:
     """The number of distinct documents, those left without tokens included, as a scalar."""
-    return tokens.select(key).distinct().agg(F.count("*")).scalar()
+    keys = tokens.select(key)
+    return (keys if one_row_each else keys.distinct()).agg(F.count("*")).scalar()
 
 
 def term_frequency(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
@@ -117,7 +127,7 @@ def top_terms_by_tf(
 
 def idf_stats(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
     """``(word, doc_freq, total_times_used, docs_containing_percent, idf_score)``."""
-    documents = document_count(tokens, key)
+    documents = document_count(tokens, key, one_row_each)
     return (
         _word_totals(term_counts(tokens, key, one_row_each))
         .withColumn("docs_containing_percent", F.col("doc_freq") / documents * 100)
@@ -135,17 +145,29 @@ def rarest_shared_words(idf: DataFrame, n: int = 10) -> DataFrame:
     return idf.where("doc_freq > 1").orderBy("doc_freq", "word").limit(n)
 
 
-def tf_idf(tokens: DataFrame, key: str, one_row_each: bool = False) -> DataFrame:
-    """``(key, word, doc_freq, tf, idf, tfidf)``, scores at full precision."""
-    words = (
-        _word_totals(term_counts(tokens, key, one_row_each))
-        .select("word", "doc_freq")
-        .withColumn("idf", F.log(document_count(tokens, key) / F.col("doc_freq")))
-    )
+def tf_idf(
+    tokens: DataFrame, key: str, one_row_each: bool = False, with_index: bool = False
+) -> DataFrame:
+    """``(key, word, doc_freq, tf, idf, tfidf)``, scores at full precision.
+
+    With ``with_index`` also ``index``, the word's place in the vocabulary: words are numbered
+    before they are joined to the documents, so that vectors need no shuffle of their own.
+    """
+    documents = document_count(tokens, key, one_row_each)
+    words = _word_totals(term_counts(tokens, key, one_row_each)).select("word", "doc_freq")
+    if with_index:
+        words = numbered(words, "word")
+    words = words.withColumn("idf", F.log(documents / F.col("doc_freq")))
     frequencies = term_frequency(tokens, key, one_row_each)
     weighted = join_per_key(frequencies, words, "word", weight="doc_freq", spread=key)
     return weighted.select(
-        key, "word", "doc_freq", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
+        key,
+        "word",
+        "doc_freq",
+        "tf",
+        "idf",
+        (F.col("tf") * F.col("idf")).alias("tfidf"),
+        *(["index"] if with_index else []),
     )
 
 

@@ -36,18 +36,20 @@ SPACES = quoted(UNICODE_SPACES)
 
 # Views
 
-HEADER = """concat('Title: ', p.p_name, chr(10),
-    'Release Date: ', strftime(o.o_orderdate, '%B %-d, %Y'), chr(10),
-    'Language: ', d.lang, chr(10), 'Character set encoding: UTF-8', chr(10),
-    'Author: Customer ', CAST(o.o_custkey % 97 AS VARCHAR), chr(10),
-    '*** START OF THIS BOOK ***', chr(10))"""
+def books(credit: str) -> str:
+    return f"""books AS (SELECT concat('book', d.doc_id) AS file_name,
+    concat('Title: ', p.p_name, chr(10),
+      'Release Date: ', strftime(o.o_orderdate, '%B %-d, %Y'), chr(10),
+      'Language: ', d.lang, chr(10), 'Character set encoding: UTF-8', chr(10),
+      '{credit} Customer ', CAST(o.o_custkey AS VARCHAR), ';', chr(10),
+      '*** START OF THIS BOOK ***', chr(10), d.text) AS text
+  FROM documents d
+  LEFT JOIN orders o ON o.o_orderkey = d.doc_id
+  LEFT JOIN part p ON p.p_partkey = d.doc_id)"""
 
-HEADED = """FROM documents d
-  JOIN orders o ON o.o_orderkey = d.doc_id
-  JOIN part p ON p.p_partkey = d.doc_id % 200"""
 
-BOOKS = f"books AS (SELECT concat('book', d.doc_id) AS file_name, concat({HEADER}, d.text) AS text {HEADED})"
-BOOK_HEADERS = f"books AS (SELECT concat('book', d.doc_id) AS file_name, {HEADER} AS text {HEADED})"
+BOOKS = books("Author:")
+BOOKS_BY = books("by")
 
 BOOKS_MARKED = """marked AS (SELECT doc_id, CASE CAST(doc_id % 3 AS INT)
     WHEN 0 THEN concat('Front matter', chr(10), '*** START OF THIS BOOK ***', chr(10), text, chr(10),
@@ -354,7 +356,25 @@ SIMILARITY = {
           string_agg(CAST(CAST(tfidf AS DECIMAL(18, 6)) AS VARCHAR), ',' ORDER BY index) AS "values"
           FROM weights JOIN vocabulary USING (word) GROUP BY doc_id""",
     ),
-    "pairwise_cosine": with_ctes(*BY_SOURCE, *PAIRS, select="SELECT * FROM published"),
+    "pairwise_cosine": with_ctes(
+        *BY_SOURCE, *PAIRS, select="SELECT * FROM published WHERE similarity >= 0.05"
+    ),
+    "similar_documents": with_ctes(
+        *BY_DOC,
+        """vectors AS (SELECT doc_id, list((word, tfidf) ORDER BY word) FILTER (WHERE tfidf <> 0) AS vector
+          FROM weights GROUP BY doc_id)""",
+        """classes AS (SELECT doc_id,
+          CASE WHEN vector IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY vector) END AS class_id
+          FROM vectors)""",
+        "norms AS (SELECT doc_id, sqrt(sum(tfidf * tfidf)) AS norm FROM weights GROUP BY doc_id)",
+        """units AS (SELECT doc_id, word, tfidf / norm AS unit FROM weights JOIN norms USING (doc_id)
+          WHERE tfidf <> 0)""",
+        """links AS (SELECT a.doc_id, b.doc_id AS other
+          FROM units a JOIN units b ON a.word = b.word AND a.doc_id <> b.doc_id
+          GROUP BY ALL HAVING round(sum(a.unit * b.unit), 4) >= 0.8)""",
+        select="""SELECT doc_id, class_id, count(other) AS links
+          FROM classes LEFT JOIN links USING (doc_id) GROUP BY ALL""",
+    ),
     "most_similar_pairs": with_ctes(
         *BY_SOURCE,
         *PAIRS,
@@ -418,7 +438,7 @@ EDGES = """edges AS (SELECT a.author AS influencer, b.author AS influenced,
   FROM known a JOIN known b ON a.author <> b.author
     AND year(b.date) - year(a.date) BETWEEN 1 AND 5)"""
 
-NETWORK_CTES = [BOOK_HEADERS, RECORDS, DATES, EDGES]
+NETWORK_CTES = [BOOKS_BY, RECORDS, DATES, EDGES]
 
 DEGREES = """degrees AS (SELECT author, CAST(sum(incoming) AS BIGINT) AS in_degree,
     CAST(sum(outgoing) AS BIGINT) AS out_degree, CAST(sum(incoming + outgoing) AS BIGINT) AS total_degree
@@ -434,8 +454,12 @@ def end_stats(name: str, count: str) -> str:
 
 NETWORK = {
     "author_date": with_ctes(BOOKS, RECORDS, select="SELECT * FROM records"),
-    "author_dates": with_ctes(BOOK_HEADERS, RECORDS, DATES, select="SELECT * FROM known"),
-    "influence_edges": with_ctes(*NETWORK_CTES, select="SELECT * FROM edges"),
+    "author_dates": with_ctes(BOOKS_BY, RECORDS, DATES, select="SELECT * FROM known"),
+    "influence_edges": with_ctes(
+        *NETWORK_CTES,
+        select="""SELECT influencer, influenced, year_difference, count(*) AS edges
+          FROM edges GROUP BY influencer, influenced, year_difference""",
+    ),
     "influencer_stats": with_ctes(*NETWORK_CTES, select=end_stats("influencer", "influence_count")),
     "influenced_stats": with_ctes(*NETWORK_CTES, select=end_stats("influenced", "times_influenced")),
     "year_gap_stats": with_ctes(
@@ -501,6 +525,9 @@ VOLUMES = """volumes AS (SELECT *, octet_length(encode(text)) AS size_bytes FROM
 SOURCES = {
     "scan_lines": with_ctes(TEXT_LINES, select="SELECT value FROM lines"),
     "scan_documents": with_ctes(VOLUMES, select="SELECT * FROM volumes"),
+    "skipped_documents": """SELECT CAST(doc_id // 100 AS VARCHAR) AS file_name,
+        CAST(sum(octet_length(encode(text)) + 3) AS BIGINT) AS size_bytes
+      FROM documents WHERE (doc_id // 100) % 2 = 1 GROUP BY 1""",
     "with_file_name": with_ctes(
         VOLUMES,
         select="SELECT file_name, len(string_split(text, chr(10))) - 1 AS lines FROM volumes",

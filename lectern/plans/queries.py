@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators import cleaning, metadata, network, similarity, terms, wordcount
 from lectern.plans import views
-from lectern.plans.views import book_headers, books, books_marked, documents
+from lectern.plans.views import books, books_by, books_marked, documents, kept_tokens, kept_weights
 from lectern.sources import sinks, text
 from lectern.sources.scratch import scratch_path
 
@@ -21,6 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT_SIZES_MB = (1, 2, 4, 8)
 FIND_SIMILAR_TARGET = 0
 
+# Sources share little but common words; documents are alike from here on.
+SOURCE_SIMILARITY = 0.05
+DOCUMENT_SIMILARITY = 0.8
+
 
 def rounded(frame: DataFrame, **places: int) -> DataFrame:
     return frame.withColumns({name: F.round(name, digits) for name, digits in places.items()})
@@ -47,6 +51,10 @@ def source_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.source_listing(spark, views.volume_folder(spark, sf_dir), views.VOLUME_KEY)
 
 
+def skipped_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.skipped_documents(spark, views.volume_folder(spark, sf_dir, broken=True), views.VOLUME_KEY)
+
+
 def write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metadata-csv")
     result = metadata.header_metadata(books(spark, sf_dir))
@@ -186,14 +194,7 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.tf_idf(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True)
-
-
-def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    """The weights written out once, for queries that pass over them several times."""
-    tokens = cleaning.clean_tokens(documents(spark, sf_dir), key)
-    weights = terms.tf_idf(tokens, key, one_row_each=key == "doc_id")
-    return views.materialized(weights, "weights")
+    return terms.tf_idf(kept_tokens(spark, sf_dir, "doc_id"), "doc_id", one_row_each=True)
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,30 +265,27 @@ def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairwise_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = kept_weights(spark, sf_dir, "source")
-    return rounded(similarity.pairwise_cosine(weights, "source", include_zero=True), similarity=4)
+    pairs = similarity.pairwise_cosine(kept_weights(spark, sf_dir, "source"), "source", SOURCE_SIMILARITY)
+    return rounded(pairs, similarity=4)
+
+
+def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.similar_documents(kept_weights(spark, sf_dir, "doc_id"), "doc_id", DOCUMENT_SIMILARITY)
 
 
 def most_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = kept_weights(spark, sf_dir, "source")
-    return similarity.most_similar_pairs(similarity.pairwise_cosine(weights, "source"))
+    return similarity.most_similar_pairs(weights, "source", min_similarity=SOURCE_SIMILARITY)
 
 
 def similarity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = kept_weights(spark, sf_dir, "source")
-    pairs = similarity.pairwise_cosine(weights, "source")
-    return rounded(
-        similarity.similarity_stats(pairs, weights, "source"),
-        average_similarity=4,
-        min_similarity=4,
-        max_similarity=4,
-    )
+    stats = similarity.similarity_stats(weights, "source", SOURCE_SIMILARITY)
+    return rounded(stats, average_similarity=4, min_similarity=4, max_similarity=4)
 
 
 def least_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = kept_weights(spark, sf_dir, "source")
-    pairs = similarity.pairwise_cosine(weights, "source", include_zero=True)
-    return similarity.least_similar_pairs(pairs)
+    return similarity.least_similar_pairs(kept_weights(spark, sf_dir, "source"), "source")
 
 
 def vector_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +306,7 @@ def author_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def author_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return network.author_dates(network.author_date(book_headers(spark, sf_dir)))
+    return network.author_dates(network.author_date(books_by(spark, sf_dir)))
 
 
 def influence_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,7 +331,7 @@ def _over_degrees(operator: Callable[[DataFrame], DataFrame], **places: int) ->
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in [
-        scan_lines, scan_documents, with_file_name, source_listing,
+        scan_lines, scan_documents, skipped_documents, with_file_name, source_listing,
         write_csv, write_parquet, write_tsv_sorted, scan_with_split_size,
         word_count, word_frequency_split, word_count_no_punct, clean_word_count,
         top_words, unique_word_count, token_pairs, word_count_by_split,
@@ -343,7 +341,7 @@ QUERIES: dict[str, Query] = {
         term_frequency, top_terms_by_tf, idf_stats, most_common_words, rarest_shared_words,
         tf_idf, top_tfidf_overall, top_terms_by_tfidf,
         vocabulary, vocabulary_size, tfidf_vectors, pairwise_cosine, most_similar_pairs,
-        similarity_stats, least_similar_pairs, vector_stats, find_similar,
+        similar_documents, similarity_stats, least_similar_pairs, vector_stats, find_similar,
         author_date, author_dates, influence_edges,
     ]
 } | {

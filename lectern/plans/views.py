@@ -1,63 +1,71 @@
 """Inputs of the registered queries, all built from whole driver tables.
 
 ``documents`` has no book headers and no boilerplate, so three views add them. Folders of
-text files are written by Spark once per application and table folder.
+text files, clean tokens and term weights are written to shared scratch space once per
+application, and anew when the table's files change; ``scratch.release`` removes them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.operators import cleaning, terms
 from lectern.sources.scratch import scratch_path
-from lectern.sources.tables import scan_spread, scan_table
-
-# Distinct titles and authors that the views hand out.
-TITLES = 200
-AUTHORS = 97
+from lectern.sources.tables import scan_table, table_state
 
 # Documents to a file, where a query reads files whole.
 VOLUME = 100
 VOLUME_KEY = r"volume=([^/]+)/"
 
-_folders: dict[tuple[str, str, str], str] = {}
+# Of so many volumes, the one with number BROKEN is written with bytes that are not UTF-8.
+BROKEN_OF = 2
+BROKEN = 1
+
+_kept: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_spread(spark, f"{sf_dir}/documents.parquet")
+    return scan_table(spark, f"{sf_dir}/documents.parquet")
+
 
+def _headed(spark: SparkSession, sf_dir: str, credit: str) -> DataFrame:
+    """Documents with a title by ``p_partkey`` and a date and author by ``o_orderkey``, where there are any."""
+    orders = scan_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate", "o_custkey")
+    part = scan_table(spark, f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+
+    def known(column: Column) -> Column:
+        return F.coalesce(column, F.lit(""))
 
-def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = scan_table(spark, f"{sf_dir}/orders.parquet")
-    # At most TITLES rows, since p_partkey is the table's key.
-    part = scan_table(spark, f"{sf_dir}/part.parquet").where(F.col("p_partkey") < TITLES)
     return (
         documents(spark, sf_dir)
-        .join(orders, F.col("o_orderkey") == F.col("doc_id"))
-        .join(F.broadcast(part), F.col("p_partkey") == F.col("doc_id") % TITLES)
-        .withColumn("file_name", F.concat(F.lit("book"), F.col("doc_id").cast("string")))
-        .withColumn(
-            "header",
+        .join(orders, F.col("o_orderkey") == F.col("doc_id"), "left")
+        .join(part, F.col("p_partkey") == F.col("doc_id"), "left")
+        .select(
+            F.concat(F.lit("book"), F.col("doc_id").cast("string")).alias("file_name"),
             F.concat(
-                F.lit("Title: "), "p_name",
-                F.lit("\nRelease Date: "), F.date_format("o_orderdate", "MMMM d, yyyy"),
-                F.lit("\nLanguage: "), "lang",
-                F.lit("\nCharacter set encoding: UTF-8"),
-                F.lit("\nAuthor: Customer "), (F.col("o_custkey") % AUTHORS).cast("string"),
-                F.lit("\n*** START OF THIS BOOK ***\n"),
-            ),
+                F.lit("Title: "), known(F.col("p_name")),
+                F.lit("\nRelease Date: "), known(F.date_format("o_orderdate", "MMMM d, yyyy")),
+                F.lit("\nLanguage: "), known(F.col("lang")),
+                F.lit("\nCharacter set encoding: UTF-8\n"),
+                F.lit(f"{credit} Customer "), known(F.col("o_custkey").cast("string")),
+                F.lit(";\n*** START OF THIS BOOK ***\n"),
+                known(F.col("text")),
+            ).alias("text"),
         )
-    )
+    )
 
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(file_name, text)``: each document under a book header."""
-    return _headed(spark, sf_dir).select("file_name", F.concat("header", "text").alias("text"))
+    return _headed(spark, sf_dir, "Author:")
 
 
-def book_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(file_name, text)``: the headers of ``books`` alone."""
-    return _headed(spark, sf_dir).select("file_name", F.col("header").alias("text"))
+def books_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``books``, the author named by the cue that is tried first, before any in the text."""
+    return _headed(spark, sf_dir, "by")
 
 
 def books_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,14 +93,19 @@ def text_folder(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         documents(spark, sf_dir).select("text").write.text(path)
 
-    return _written(spark, sf_dir, "lines", write)
+    return kept(spark, sf_dir, "lines", write)
 
 
-def volume_folder(spark: SparkSession, sf_dir: str) -> str:
+def volume_folder(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
     """The texts of ``documents`` as one ``.txt`` file per ``VOLUME`` documents, in order.
 
-    Spark names files itself, so a volume's number is in the name of its folder.
+    Spark names files itself, so a volume's number is in the name of its folder. With ``broken``,
+    every text of some volumes begins with two bytes that are not UTF-8.
     """
+    text = F.col("text")
+    if broken:
+        spoilt = F.concat(F.unhex(F.lit("C328")), text.cast("binary")).cast("string")
+        text = F.when(F.col("volume") % BROKEN_OF == BROKEN, spoilt).otherwise(text)
 
     def write(path: str) -> None:
         (
@@ -100,25 +113,45 @@ def volume_folder(spark: SparkSession, sf_dir: str) -> str:
             .select("doc_id", "text", F.expr(f"doc_id div {VOLUME}").alias("volume"))
             .repartition("volume")
             .sortWithinPartitions("volume", "doc_id")
-            .select("volume", "text")
+            .select("volume", text.alias("text"))
             .write.partitionBy("volume")
             .text(path)
         )
 
-    return _written(spark, sf_dir, "volumes", write)
+    return kept(spark, sf_dir, "broken-volumes" if broken else "volumes", write)
+
+
+def kept_tokens(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Clean tokens, written once: every operator that reads them twice reads no text."""
 
+    def write(path: str) -> None:
+        cleaning.clean_tokens(documents(spark, sf_dir), key).write.parquet(path)
+
+    return scan_table(spark, kept(spark, sf_dir, f"tokens-{key}", write))
+
+
+def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Term weights with the words' numbers, written once for all queries that pass over them."""
 
-def materialized(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written to shared scratch space and read back, for results used repeatedly."""
-    path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return scan_table(frame.sparkSession, path)
+    def write(path: str) -> None:
+        tokens = kept_tokens(spark, sf_dir, key)
+        terms.tf_idf(tokens, key, one_row_each=key == "doc_id", with_index=True).write.parquet(path)
+
+    return scan_table(spark, kept(spark, sf_dir, f"weights-{key}", write))
 
 
-def _written(spark: SparkSession, sf_dir: str, label: str, write) -> str:
+def kept(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
+    """The folder that ``write`` has made for this application and the table's present files."""
     slot = (spark.sparkContext.applicationId, sf_dir, label)
-    if slot not in _folders:
+    state = table_state(spark, f"{sf_dir}/documents.parquet")
+    if slot not in _kept or _kept[slot][0] != state:
         path = scratch_path(spark, label)
         write(path)
-        _folders[slot] = path
-    return _folders[slot]
+        _kept[slot] = (state, path)
+    return _kept[slot][1]
+
+
+def forget(spark: SparkSession) -> None:
+    """Make everything anew next time; for use with ``scratch.release``."""
+    for slot in [slot for slot in _kept if slot[0] == spark.sparkContext.applicationId]:
+        del _kept[slot]

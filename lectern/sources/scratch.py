@@ -1,35 +1,47 @@
-"""Where written tables and checkpoints go."""
+"""Where written tables and checkpoints go, and how they are removed."""
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_roots: dict[str, str] = {}
+_handed_out: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names, or the context's checkpoint folder.
 
-    Where neither is set, a fresh temporary folder serves a local master; a cluster must
-    name one, since a folder on one machine is lost with that machine.
+    A local master that names neither writes below its warehouse. A cluster must name one,
+    since a folder on one machine is lost with that machine.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lectern-")
-    return _local_roots[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the root that no one has used."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the root that no one has used; ``release`` removes what is written there."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every folder that this application has written to scratch space.
+
+    Call it when no result that reads them is needed any more.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    for name in _handed_out.pop(spark.sparkContext.applicationId, []):
+        path = hadoop(name)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -1,25 +1,17 @@
-"""Parquet tables, spread over the cores when they are too small to spread themselves."""
+"""Parquet tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-ROW_GROUP_BYTES = 128 * 1024 * 1024
+from pyspark.sql import functions as F
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def scan_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a table for row-by-row work that is heavy per byte, such as tokenizing.
-
-    A parquet row group is never split, so a file or two keep most cores idle. Only an
-    input of fewer files than cores, and less than one row group per core, is
-    repartitioned; a larger one is read as it lies, without a shuffle.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    files = spark.read.format("binaryFile").load(path).select("length").limit(cores).collect()
-    table = scan_table(spark, path)
-    small = sum(file.length for file in files) < cores * ROW_GROUP_BYTES
-    return table.repartition(cores) if len(files) < cores and small else table
+def table_state(spark: SparkSession, path: str) -> tuple:
+    """What changes when a table's files do: their number, and a mix of names, sizes and times."""
+    files = spark.read.format("binaryFile").load(path)
+    mixed = F.xxhash64("path", "modificationTime", "length")
+    return tuple(files.select("path", "modificationTime", "length").agg(F.count("*"), F.bit_xor(mixed)).first())

@@ -68,17 +68,40 @@ def brute(dated):
     )
 
 
+def counted(edges):
+    rows = edges.collect()
+    found = Counter({(r.influencer, r.influenced, r.year_difference): r.edges for r in rows})
+    assert len(found) == len(rows)
+    return found
+
+
 @pytest.mark.parametrize("authors_per_salt", [1000, 2])
 def test_edges_equal_brute_force(dates, brute, authors_per_salt):
-    edges = network.influence_edges(dates, authors_per_salt=authors_per_salt)
-    assert Counter(tuple(row) for row in edges.collect()) == brute
+    assert counted(network.influence_edges(dates, authors_per_salt=authors_per_salt)) == brute
 
 
 def test_threshold(dates, brute):
     edges = network.influence_edges(dates, years_threshold=2)
-    assert Counter(tuple(r) for r in edges.collect()) == Counter(
-        {edge: n for edge, n in brute.items() if edge[2] <= 2}
-    )
+    assert counted(edges) == Counter({edge: n for edge, n in brute.items() if edge[2] <= 2})
+
+
+def test_a_crowded_year_costs_its_own_neighbours_only(spark):
+    rows = [(f"c{i}", datetime.date(1950, 1, 1)) for i in range(60)]
+    rows += [(f"q{year}{i}", datetime.date(year, 1, 1)) for year in range(1900, 1931) for i in range(3)]
+    rows += [("near", datetime.date(1952, 1, 1))]
+    years = network._active_years(spark.createDataFrame(rows, "author string, date date"))
+    earlier, later = network._split_sides(years, 5, 10)
+    first = Counter(r.influencer for r in earlier.collect())
+    second = Counter(r.influenced for r in later.collect())
+    # A quiet author is copied once for each year in reach that has authors, and no more.
+    assert first["q19001"] == 5 and second["q19251"] == 5 and second["q19001"] == 0
+    # The neighbour of the crowded year meets each of its six parts; their members meet it once.
+    assert second["near"] == 6 and first["c1"] == 1
+    parts = Counter((r.later_year, r.year_difference, r.salt1, r.salt2) for r in earlier.collect())
+    assert max(parts.values()) < 30
+    want = Counter((f"c{i}", "near", 2) for i in range(60))
+    got = counted(network.influence_edges(spark.createDataFrame(rows, "author string, date date"), authors_per_salt=10))
+    assert {edge: n for edge, n in got.items() if edge[1] == "near"} == want
 
 
 def test_gaps_need_no_edges(dates):

@@ -25,7 +25,7 @@ def tokens(spark, documents):
 
 @pytest.fixture(scope="module")
 def weights(tokens):
-    return terms.tf_idf(tokens, "doc").persist()
+    return terms.tf_idf(tokens, "doc", with_index=True).persist()
 
 
 @pytest.fixture(scope="module")
@@ -56,43 +56,67 @@ def pairs(frame):
     return found
 
 
-@pytest.mark.parametrize("rare, block_documents, block_words", [(128, 512, 1024), (1, 4, 8), (3, 5, 1000), (4, 100, 6)])
-@pytest.mark.parametrize("include_zero", [False, True])
-def test_cosine_equals_brute_force(weights, brute, rare, block_documents, block_words, include_zero):
-    got = pairs(similarity.pairwise_cosine(weights, "doc", include_zero, rare, block_documents, block_words))
-    want = {pair: value for pair, value in brute.items() if include_zero or value > 0}
-    assert got.keys() == want.keys()
+@pytest.mark.parametrize("least", [0.0001, 0.01, 0.1, 0.3, 0.5, 0.8, 0.95, 1.0])
+def test_cosine_equals_brute_force(weights, brute, least):
+    got = pairs(similarity.pairwise_cosine(weights, "doc", least))
+    want = {pair: value for pair, value in brute.items() if round(value, 4) >= least}
+    assert got.keys() == want.keys() and want
     assert all(got[pair] == pytest.approx(want[pair], abs=1e-12) for pair in want)
-    assert all(0 <= value <= 1 for value in got.values())
+    assert all(0 < value <= 1 for value in got.values())
+
+
+def test_cosine_needs_a_threshold(weights):
+    with pytest.raises(ValueError):
+        similarity.pairwise_cosine(weights, "doc", 0)
 
 
 def test_a_number_can_be_the_key(spark, documents, brute):
     names = sorted(documents)
     rows = [(names.index(doc), words) for doc, words in documents.items()]
     frame = spark.createDataFrame(rows, "doc bigint, filtered_words array<string>")
-    got = pairs(similarity.pairwise_cosine(terms.tf_idf(frame, "doc"), "doc", rare_doc_freq=2, block_documents=4))
-    want = {(names.index(a), names.index(b)): value for (a, b), value in brute.items() if value > 0}
+    weights = terms.tf_idf(frame, "doc")
+    got = pairs(similarity.pairwise_cosine(weights, "doc", 0.0001))
+    want = {(names.index(a), names.index(b)): value for (a, b), value in brute.items() if round(value, 4) > 0}
     assert got == pytest.approx(want)
+    assert similarity.least_similar_pairs(weights, "doc", 3).count() == 3
+
+
+def test_parts_before_the_rest_are_all_that_meets(spark):
+    """Documents that share only their commonest words are no candidates at a high threshold."""
+    rows = [(f"d{i:03d}", ["common", "usual", f"own{i}", f"self{i}"]) for i in range(200)]
+    frame = spark.createDataFrame(rows + [("other", ["lone"])], "doc string, filtered_words array<string>")
+    weights = terms.tf_idf(frame, "doc").persist()
+    joined = similarity.pairwise_cosine(weights, "doc", 0.5)
+    assert joined.count() == 0
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_rankings(weights, brute):
-    ranked = similarity.pairwise_cosine(weights, "doc")
-    top = [(r.book1, r.book2) for r in similarity.most_similar_pairs(ranked, 4).collect()]
-    assert top == sorted(brute, key=lambda pair: (-round(brute[pair], 4), pair))[:4]
+    for start in (0.9, 0.05):
+        top = [(r.book1, r.book2) for r in similarity.most_similar_pairs(weights, "doc", 4, start).collect()]
+        assert top == sorted(brute, key=lambda pair: (-round(brute[pair], 4), pair))[:4]
     assert top[:3] == [("copy1", "copy2"), ("copy1", "d15"), ("copy2", "d15")]
-    whole = similarity.pairwise_cosine(weights, "doc", include_zero=True)
-    low = [(r.book1, r.book2) for r in similarity.least_similar_pairs(whole, 25).collect()]
-    assert low == sorted(brute, key=lambda pair: (round(brute[pair], 4), pair))[:25]
+    for first in (1, 3, 100):
+        low = [(r.book1, r.book2) for r in similarity.least_similar_pairs(weights, "doc", 25, first).collect()]
+        assert low == sorted(brute, key=lambda pair: (round(brute[pair], 4), pair))[:25]
+
+
+def test_all_pairs_rank_when_too_few_are_at_zero(weights, brute):
+    got = [(r.book1, r.book2, r.similarity) for r in similarity.least_similar_pairs(weights, "doc", 1000, 2).collect()]
+    assert got == sorted(((*p, round(v, 4)) for p, v in brute.items()), key=lambda r: (r[2], *r[:2]))
+    positive = [p for p, v in brute.items() if round(v, 4) > 0]
+    assert similarity.most_similar_pairs(weights, "doc", 1000).count() == len(positive)
 
 
-def test_stats_count_the_pairs_at_zero(weights, brute):
-    got = similarity.similarity_stats(similarity.pairwise_cosine(weights, "doc"), weights, "doc").first()
+def test_stats_need_no_pairs(weights, brute):
+    got = similarity.similarity_stats(weights, "doc").first()
     assert tuple(got) == pytest.approx((sum(brute.values()) / len(brute), 0.0, 1.0))
 
 
 def test_stats_of_one_document(tokens):
     lone = terms.tf_idf(tokens.where("doc = 'd01'"), "doc")
-    got = similarity.similarity_stats(similarity.pairwise_cosine(lone, "doc"), lone, "doc").first()
+    got = similarity.similarity_stats(lone, "doc").first()
     assert (got.average_similarity, got.max_similarity) == (None, None)
 
 
@@ -100,9 +124,11 @@ def test_documents_of_zero_norm_score_zero(spark):
     rows = [("a", ["x", "x"]), ("b", ["x"]), ("c", ["x", "y"])]
     frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
     weights = terms.tf_idf(frame, "doc")
-    assert pairs(similarity.pairwise_cosine(weights, "doc")) == {}
-    whole = pairs(similarity.pairwise_cosine(weights, "doc", include_zero=True))
+    assert pairs(similarity.pairwise_cosine(weights, "doc", 0.0001)) == {}
+    whole = pairs(similarity.least_similar_pairs(weights, "doc"))
     assert whole == {("a", "b"): 0.0, ("a", "c"): 0.0, ("b", "c"): 0.0}
+    links = {tuple(r) for r in similarity.similar_documents(weights, "doc").collect()}
+    assert links == {("a", "a", 0), ("b", "b", 0), ("c", "c", 0)}
     stats = {r.doc: tuple(r)[1:] for r in similarity.vector_stats(weights, "doc").collect()}
     assert stats["a"] == (0, 0.0, 0.0, 100.0)
     assert stats["c"] == (1, pytest.approx(math.log(3) / 2), pytest.approx(math.log(3) / 2), 50.0)
@@ -110,6 +136,15 @@ def test_documents_of_zero_norm_score_zero(spark):
     assert [tuple(r) for r in near] == [("b", 0.0), ("c", 0.0)]
 
 
+@pytest.mark.parametrize("least", [0.2, 0.8])
+def test_classes_and_links(weights, brute, least):
+    got = {r.doc: (r.class_id, r.links) for r in similarity.similar_documents(weights, "doc", least).collect()}
+    docs = {d for pair in brute for d in pair}
+    want = {d: sum(round(v, 4) >= least for pair, v in brute.items() if d in pair) for d in docs}
+    assert {d: n for d, (_, n) in got.items()} == want
+    assert [got[d][0] for d in ("copy1", "copy2", "d15", "d14")] == ["copy1", "copy1", "copy1", "d14"]
+
+
 def test_vocabulary_is_numbered_in_order(tokens, documents):
     words = terms.token_words(tokens)
     got = {r.word: r["index"] for r in similarity.vocabulary(words).collect()}

@@ -1,10 +1,9 @@
-import uuid
-
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lectern.operators import network, wordcount
+from lectern.plans import views
 from lectern.sources import scratch, sinks, tables, text
 
 
@@ -108,17 +107,53 @@ def test_scratch_is_the_shared_folder_of_the_session(spark):
     assert scratch.scratch_path(spark, "a") != scratch.scratch_path(spark, "a")
 
 
-def test_only_small_tables_are_spread(spark, tmp_path):
-    path = str(tmp_path / uuid.uuid4().hex)
-    spark.range(100).coalesce(1).write.parquet(path)
-    assert tables.scan_spread(spark, path).rdd.getNumPartitions() == 8
-    spark.range(100).repartition(9).write.mode("overwrite").parquet(path)
-    plan = tables.scan_spread(spark, path)._jdf.queryExecution().toString()
-    assert "Exchange" not in plan
+def test_a_cluster_has_to_name_a_shared_folder(monkeypatch):
+    class Session:
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        scratch.scratch_root(Session)
+
+
+def test_release_removes_what_was_handed_out(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_handed_out", {})
+    path = scratch.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    scratch.release(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
 
 
-def test_spread_tables_still_prune(spark, sf_dir):
-    frame = tables.scan_spread(spark, f"{sf_dir}/documents.parquet").where(F.col("doc_id") > 3)
+def test_tables_are_read_as_they_lie(spark, sf_dir):
+    frame = tables.scan_table(spark, f"{sf_dir}/documents.parquet").where(F.col("doc_id") > 3)
     plan = frame.select("source")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
     assert "ReadSchema: struct<doc_id:bigint,source:string>" in plan
     assert "GreaterThan(doc_id,3)" in plan
+
+
+def test_kept_tables_are_made_once_and_anew_when_the_table_changes(spark, tmp_path):
+    table = str(tmp_path / "documents.parquet")
+    made = []
+
+    def write(path):
+        made.append(path)
+        spark.range(1).write.parquet(path)
+
+    def kept():
+        return views.kept(spark, str(tmp_path), "probe", write)
+
+    spark.range(5).write.parquet(table)
+    assert kept() == kept() and len(made) == 1
+    spark.range(6).write.mode("append").parquet(table)
+    kept()
+    assert len(made) == 2
+    views.forget(spark)
+    kept()
+    assert len(made) == 3

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lectern.operators import cleaning, terms
 from lectern.operators.skew import join_per_key
+from lectern.plans.queries import QUERIES
+from lectern.sources import text
 
 DOCUMENTS = {
     "d1": "apple apple bread common".split(),
@@ -82,10 +84,42 @@ def test_counting_in_the_row_gives_the_same(spark, sf_dir, operator):
     assert sorted(in_row.collect()) == sorted(plain.collect())
 
 
-def test_counting_in_the_row_moves_nothing(tokens):
+def test_counting_in_the_row_moves_no_words(tokens):
     for operator in (terms.term_counts, terms.term_frequency, terms.top_terms_by_tf):
-        plan = operator(tokens, "doc", one_row_each=True)._jdf.queryExecution().toString()
-        assert "Exchange" not in plan
+        plan = operator(tokens, "doc", one_row_each=True)._jdf.queryExecution().sparkPlan().toString()
+        # The check of the keys is a subquery, whose lines begin with a colon.
+        main = [line for line in plan.splitlines() if not line.lstrip(" +-").startswith(":")]
+        assert not any(step in line for line in main for step in ("Exchange", "Aggregate", "Join", "Sort "))
+
+
+@pytest.mark.parametrize("operator", [terms.term_frequency, terms.top_terms_by_tf, terms.idf_stats, terms.tf_idf])
+def test_a_repeated_key_is_an_error_where_each_document_should_be_one_row(spark, tokens, operator):
+    with pytest.raises(Exception, match="one_row_each: several rows have the doc d1"):
+        operator(tokens, "doc", one_row_each=True).collect()
+
+
+def test_two_folders_with_one_file_name(spark, tmp_path):
+    for folder, words in (("a", "alpha beta"), ("b", "alpha alpha")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "same.txt").write_text(words)
+    books = text.scan_documents(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    tokens = cleaning.clean_tokens(books, "file_name")
+    with pytest.raises(Exception, match="several rows have the file_name same.txt"):
+        terms.tf_idf(tokens, "file_name", one_row_each=True).collect()
+    counts = {r.word: r.term_count for r in terms.term_counts(tokens, "file_name").collect()}
+    assert counts == {"alpha": 3, "beta": 1}
+
+
+def test_written_tokens_are_the_only_scan(spark, sf_dir):
+    weights = QUERIES["tf_idf"](spark, sf_dir)
+    weights.collect()
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "text:string" not in plan
+
+
+def test_index_is_the_place_in_the_vocabulary(tokens):
+    rows = terms.tf_idf(tokens, "doc", with_index=True).collect()
+    assert {(r.word, r["index"]) for r in rows} == {("apple", 0), ("bread", 1), ("cider", 2), ("common", 3)}
 
 
 def test_tokens_are_cleaned_and_shuffled_once(spark, sf_dir):
@@ -101,14 +135,15 @@ def test_tokens_are_cleaned_and_shuffled_once(spark, sf_dir):
     assert len(shuffles) == 1
 
 
-@pytest.mark.parametrize("rows_per_salt, max_hot_keys", [(1_000_000, 100), (10, 100), (7, 1), (1, 2)])
-def test_skewed_join_equals_plain_join(spark, rows_per_salt, max_hot_keys):
+@pytest.mark.parametrize("rows_per_salt, most_hot_keys", [(1_000_000, 100), (10, 100), (7, 1), (1, 2), (1, 10**6)])
+def test_skewed_join_equals_plain_join(spark, rows_per_salt, most_hot_keys):
     # A third of the rows belong to one key.
     rows = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("key"), F.col("id").alias("item")
     )
     keys = rows.groupBy("key").agg(F.count("*").alias("weight"), F.max("item").alias("last"))
-    got = join_per_key(rows, keys, "key", "weight", "item", rows_per_salt, max_hot_keys)
+    got = join_per_key(rows, keys, "key", "weight", "item", rows_per_salt, most_hot_keys)
+    assert "ShuffledHashJoin" not in got._jdf.queryExecution().toString()
     want = rows.join(keys, "key")
     assert got.columns == want.columns
     assert sorted(got.collect()) == sorted(want.collect())
