@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import bpe, exact_dedup, langid, licenses, packing, quality, secrets, sharding, simhash, suffix_dedup
 from lectern.llm.common import documents_of
+from lectern.llm.oracles import oracles
 
 SHARDS = 40
 
@@ -81,16 +82,4 @@ QUERIES = {
     "op10_bpe": encoded,
 }
 
-ORACLES = {
-    "op2_exact_dedup": r"""
-        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
-        FROM (
-            SELECT doc_id, content, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size
-            FROM (
-                SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content
-                FROM documents
-            )
-            WINDOW same AS (PARTITION BY content)
-        )
-    """,
-}
+ORACLES = oracles(SHARDS)
