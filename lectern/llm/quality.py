@@ -81,12 +81,17 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-@F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in COUNTS]))
-def counts_of(texts: pa.Array) -> pa.Array:
+def _counts_of(texts: pa.Array) -> pa.Array:
     rows = np.array([measure(text) for text in texts.to_pylist()], np.int64).reshape(-1, len(COUNTS))
     return pa.StructArray.from_arrays([pa.array(column) for column in rows.T], names=list(COUNTS))
 
 
+# Not marked deterministic, or the optimizer would measure texts once for every rate and filter.
+counts_of = F.arrow_udf(
+    _counts_of, T.StructType([T.StructField(name, T.LongType()) for name in COUNTS])
+).asNondeterministic()
+
+
 def base_failed(counts: str = "counts") -> Column:
     words, repeats = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
     return (words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * words)
