@@ -42,7 +42,7 @@ SHINGLE_BLOCK = 65_536
 
 # Cosets: 2 ** 8 at least; more when a coset's fingerprints would pass this number.
 COSET_BITS = 8
-COSET_FINGERPRINTS = 1 << 22
+COSET_FINGERPRINTS = 1 << 23
 VARIANT_BLOCK = 1 << 20
 
 
