@@ -40,8 +40,7 @@ def normalise(text: bytes) -> bytes:
 KEY = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("digest", T.BinaryType())])
 
 
-@F.arrow_udf(KEY)
-def content_key(texts: pa.Array) -> pa.Array:
+def _content_key(texts: pa.Array) -> pa.Array:
     """Length and SHA-256 of the normalised text."""
     contents = [normalise(text_bytes(text)) for text in texts.to_pylist()]
     return pa.StructArray.from_arrays(
@@ -53,6 +52,10 @@ def content_key(texts: pa.Array) -> pa.Array:
     )
 
 
+# Not marked deterministic, or the optimizer would compute it once more for the join's null check.
+content_key = F.arrow_udf(_content_key, KEY).asNondeterministic()
+
+
 def text_owners(
     documents: DataFrame,
     id_column: str = "doc_id",
