@@ -36,6 +36,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,9 @@ from lectern.llm.loser_tree import Run, front_code, merge_runs
 MATCH_BYTES = 100
 HOT_ANCHORS = 1_000_000
 BLOCK_BYTES = 1 << 20
+
+# A task takes the texts of one group at a time, about this many bytes.
+GROUP_BYTES = 256 * 1024 * 1024
 LAST = (1 << 63) - 1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -402,7 +406,7 @@ def _merge(shape: Shape):
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         out, runs, owners, sets = [], [], [], []
-        order = pa.compute.sort_indices(rows, [("kind", "ascending"), ("q", "ascending")])
+        order = pc.sort_indices(rows, [("kind", "ascending"), ("q", "ascending")])
         for kind, q, blob in zip(*(rows.column(n).take(order).to_pylist() for n in ("kind", "q", "blob")), strict=True):
             if kind == "repeated":
                 out.append((q, blob))
@@ -530,12 +534,14 @@ def remove_repeats(
     Texts are dealt out by document once; cutting the suffixes and the last step share that exchange.
     """
     spark = documents.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shape = shape_of(match)
     identifier = F.col(id_column).cast("long")
-    counted = documents.agg(F.count("*").alias("n"), F.count_distinct(identifier).alias("ids")).first()
-    unique = counted.n == counted.ids
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    counted = documents.agg(
+        F.count("*").alias("n"), F.count_distinct(identifier).alias("ids"), F.sum(F.octet_length(text)).alias("bytes")
+    ).first()
+    unique = counted.n == counted.ids
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(counted.bytes or 0) // GROUP_BYTES))
     named = documents.select(
         identifier.alias("doc_id"),
         F.coalesce(identifier, F.lit(LAST)).alias("doc"),
