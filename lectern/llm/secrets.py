@@ -150,8 +150,9 @@ def _apart(extra: list[Span], base: list[Span]) -> list[Span]:
 
 
 FOUND = T.StructType(
-    [T.StructField(name, T.LongType()) for name in ("n_assign", "n_access", "n_hex", "n_entropy")]
+    [T.StructField(name, T.LongType()) for name in ("n_assign", "n_access", "n_hex")]
     + [T.StructField(name, T.StringType()) for name in ("base_sha256", "spans")]
+    + [T.StructField("n_entropy", T.LongType())]
 )
 
 
@@ -163,9 +164,9 @@ def secrets_of(texts: pa.Array) -> pa.Array:
         counts = Counter(span.order for span in spans)
         base = ",".join(span.text() for span in spans if span.order < 3)
         every = ",".join(span.text() for span in spans)
-        rows.append((counts[0], counts[1], counts[2], counts[3], hex_digest(base.encode()), every))
+        rows.append((counts[0], counts[1], counts[2], hex_digest(base.encode()), every, counts[3]))
     columns = list(zip(*rows, strict=True)) or [[]] * 6
-    kinds = [pa.int64()] * 4 + [pa.string()] * 2
+    kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
     return pa.StructArray.from_arrays(
         [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names=FOUND.names
     )
@@ -192,7 +193,7 @@ def masked_of(texts: pa.Array) -> pa.Array:
 def secret_spans(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``(doc_id, n_assign, n_access, n_hex, n_entropy, base_sha256, spans)`` per document."""
+    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy)`` per document."""
     found = documents.select(F.col(id_column).alias("doc_id"), secrets_of(F.col(text_column)).alias("found"))
     return found.select("doc_id", "found.*")
 

@@ -61,6 +61,20 @@ def test_survivors_keep_their_columns(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "x y", None, "digest"), (5, None, 2.0, None)]
 
 
+def test_survivors_of_any_type(spark):
+    made = """SELECT * FROM VALUES
+        (2L, 'a b', timestamp'2020-01-02 03:04:05', 1.25BD, array(1, null), map('k', 1), named_struct('x', null)),
+        (1L, 'a  b', null, null, null, null, null),
+        (3L, 'c', timestamp'1999-01-01 00:00:00', -2.50BD, array(), map(), named_struct('x', 'y'))
+        AS t(doc_id, text, at, price, list, row, nested)"""
+    frame = spark.sql(made)
+    out = without_exact_duplicates(frame)
+    assert out.schema == frame.schema
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        (tuple(r) for r in frame.collect() if r.doc_id != 2), key=str
+    )
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert exact_duplicates(frame).count() == 0
