@@ -112,17 +112,20 @@ def influence_edges(
     years_threshold: int = YEARS_THRESHOLD,
     authors_per_salt: int = AUTHORS_PER_SALT,
 ) -> DataFrame:
-    """``(influencer, influenced, year_difference, edges)``: how many pairs of dates there are.
+    """``(influencer, influenced, later_year, year_difference, edges)``: how many pairs of dates there are.
 
     The interval join is an equi-join on the later year and the gap, of one row per author and
-    year. A year with many authors is cut into parts of ``authors_per_salt``, on both sides.
+    year; nothing is shuffled after it. A year with many authors is cut into parts of
+    ``authors_per_salt``, on both sides.
     """
+    keys = ["later_year", "year_difference", "salt1", "salt2"]
     earlier, later = _split_sides(_active_years(dates), years_threshold, authors_per_salt)
     return (
-        earlier.join(later, ["later_year", "year_difference", "salt1", "salt2"])
+        earlier.join(later, keys)
         .where("influencer <> influenced")
-        .groupBy("influencer", "influenced", "year_difference")
-        .agg(F.sum(F.col("dates1") * F.col("dates2")).alias("edges"))
+        .select(
+            "influencer", "influenced", "later_year", "year_difference", (F.col("dates1") * F.col("dates2")).alias("edges")
+        )
     )
 
 

@@ -77,38 +77,53 @@ def pairwise_cosine(weights: DataFrame, key: str, min_similarity: float = 0.5) -
     vector once the length of the rest is below the threshold cannot reach it alone, so two
     similar documents share a word in the parts before. Only those parts meet, in an
     equi-join; pairs whose shared part and greatest possible rest stay below the threshold go
-    at once, and the others are computed in full.
+    at once. For the others, the products in the tails are added.
     """
     if not min_similarity > 0:
         raise ValueError("min_similarity must be above 0")
     # Half a published place, so that rounding up to the threshold is not lost.
-    least = F.lit(max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4))
+    least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
     units = _unit_weights(weights, key)
-    onward = Window.partitionBy(key).orderBy("doc_freq", "word").rowsBetween(0, Window.unboundedFollowing)
     square = F.col("unit") ** 2
-    leading = (
+    # From the end on, as Spark adds up a frame that grows, but starts anew on one that shrinks.
+    onward = Window.partitionBy(key).orderBy(F.desc("doc_freq"), F.desc("word"))
+    onward = onward.rowsBetween(Window.unboundedPreceding, 0)
+    cut = (
         units.withColumn("left", F.sum(square).over(onward))
-        .where(F.col("left") >= least * least * (1 - 1e-9))
+        .withColumn("leads", F.col("left") >= least * least)
         .withColumn("rest", F.sqrt(F.greatest(F.col("left") - square, F.lit(0.0))))
     )
-    bound = F.sum(F.col("unit1") * F.col("unit2")) + F.greatest(F.min("rest1"), F.min("rest2"))
-    # A document's last leading word has the least rest; where a pair does not share it, the rest
-    # at the last shared one is greater, and the bound only weaker.
+    tails = cut.where(~F.col("leads"))
+    # The length of all that follows a document's last leading word.
+    ends = Window.partitionBy(key)
+    leading = cut.where("leads").withColumn("end", F.min("rest").over(ends))
+    # Beyond the last leading word that a pair shares, it shares none before one of the two
+    # documents' ends. From there on, no product exceeds that of the lengths that are left.
+    shared = F.sum(F.col("unit1") * F.col("unit2"))
+    beyond = F.greatest(F.min("end1") * F.min("rest2"), F.min("rest1") * F.min("end2"))
     met = (
-        _named(leading, key, 1, "unit", "rest")
-        .join(_named(leading, key, 2, "unit", "rest"), "word")
+        _named(leading, key, 1, "unit", "rest", "end")
+        .join(_named(leading, key, 2, "unit", "rest", "end"), "word")
         .where("book1 < book2")
         .groupBy("book1", "book2")
-        .agg(bound.alias("bound"))
-        .where(F.col("bound") >= least * (1 - 1e-9))
-        .select("book1", "book2")
+        .agg(shared.alias("dot"), beyond.alias("beyond"))
+        .where(F.col("dot") + F.col("beyond") >= least)
+        .select("book1", "book2", "dot")
     )
-    dots = (
-        met.join(_named(units, key, 1, "unit"), "book1")
+    names = met.select("book1", "book2")
+    product = (F.col("unit1") * F.col("unit2")).alias("dot")
+    # What is still missing has a word in at least one tail.
+    first_tail = (
+        names.join(_named(tails, key, 1, "unit"), "book1")
         .join(_named(units, key, 2, "unit"), ["book2", "word"])
-        .groupBy("book1", "book2")
-        .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"))
+        .select("book1", "book2", product)
+    )
+    second_tail = (
+        names.join(_named(tails, key, 2, "unit"), "book2")
+        .join(_named(leading, key, 1, "unit"), ["book1", "word"])
+        .select("book1", "book2", product)
     )
+    dots = met.unionByName(first_tail).unionByName(second_tail).groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
     # Rounding can lift the cosine of equal directions a little above 1.
     cosine = dots.select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
     return cosine.where(F.round("similarity", PLACES) >= min_similarity)
@@ -167,7 +182,7 @@ def most_similar_pairs(
         rows = best.collect()
         if len(rows) == n or threshold <= LEAST_PUBLISHED:
             return weights.sparkSession.createDataFrame(rows, best.schema)
-        threshold = threshold / 4 if threshold > 0.01 else LEAST_PUBLISHED
+        threshold = threshold / 10 if threshold > 0.05 else LEAST_PUBLISHED
 
 
 def least_similar_pairs(

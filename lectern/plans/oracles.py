@@ -434,6 +434,7 @@ DATES = """dates AS (SELECT DISTINCT author, coalesce(
 known AS (SELECT author, date FROM dates WHERE date IS NOT NULL AND year(date) >= 1)"""
 
 EDGES = """edges AS (SELECT a.author AS influencer, b.author AS influenced,
+    CAST(year(b.date) AS INTEGER) AS later_year,
     CAST(year(b.date) - year(a.date) AS INTEGER) AS year_difference
   FROM known a JOIN known b ON a.author <> b.author
     AND year(b.date) - year(a.date) BETWEEN 1 AND 5)"""
@@ -457,8 +458,8 @@ NETWORK = {
     "author_dates": with_ctes(BOOKS_BY, RECORDS, DATES, select="SELECT * FROM known"),
     "influence_edges": with_ctes(
         *NETWORK_CTES,
-        select="""SELECT influencer, influenced, year_difference, count(*) AS edges
-          FROM edges GROUP BY influencer, influenced, year_difference""",
+        select="""SELECT influencer, influenced, later_year, year_difference, count(*) AS edges
+          FROM edges GROUP BY influencer, influenced, later_year, year_difference""",
     ),
     "influencer_stats": with_ctes(*NETWORK_CTES, select=end_stats("influencer", "influence_count")),
     "influenced_stats": with_ctes(*NETWORK_CTES, select=end_stats("influenced", "times_influenced")),

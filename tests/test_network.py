@@ -70,8 +70,10 @@ def brute(dated):
 
 def counted(edges):
     rows = edges.collect()
-    found = Counter({(r.influencer, r.influenced, r.year_difference): r.edges for r in rows})
-    assert len(found) == len(rows)
+    assert len({(r.influencer, r.influenced, r.later_year, r.year_difference) for r in rows}) == len(rows)
+    found = Counter()
+    for r in rows:
+        found[r.influencer, r.influenced, r.year_difference] += r.edges
     return found
 
 
