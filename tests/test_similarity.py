@@ -56,7 +56,7 @@ def pairs(frame):
     return found
 
 
-@pytest.mark.parametrize("least", [0.0001, 0.01, 0.1, 0.3, 0.5, 0.8, 0.95, 1.0])
+@pytest.mark.parametrize("least", [0.0001, 0.1, 0.5, 1.0])
 def test_cosine_equals_brute_force(weights, brute, least):
     got = pairs(similarity.pairwise_cosine(weights, "doc", least))
     want = {pair: value for pair, value in brute.items() if round(value, 4) >= least}
@@ -136,7 +136,7 @@ def test_documents_of_zero_norm_score_zero(spark):
     assert [tuple(r) for r in near] == [("b", 0.0), ("c", 0.0)]
 
 
-@pytest.mark.parametrize("least", [0.2, 0.8])
+@pytest.mark.parametrize("least", [0.2])
 def test_classes_and_links(weights, brute, least):
     got = {r.doc: (r.class_id, r.links) for r in similarity.similar_documents(weights, "doc", least).collect()}
     docs = {d for pair in brute for d in pair}
