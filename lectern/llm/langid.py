@@ -6,7 +6,8 @@ of them are scored in batches, and the text's scores are the means over its wind
 their bytes.
 
 The model learns from a bounded sample: for each language at most SAMPLE_DOCUMENTS documents,
-chosen by a hash of the identifier, and at most SAMPLE_WINDOWS windows of each. Everything else covers
+fewer where there are so many languages that they would pass SAMPLE_TOTAL together, chosen by a
+hash of the identifier, and at most SAMPLE_WINDOWS windows of each. Everything else covers
 all documents. Training is deterministic.
 
 Defined cases: a null text or one without letters is ``und`` with score 0. Rows with a null
@@ -33,6 +34,7 @@ FOLDS = 4
 HELD_OUT_FOLD = 2
 
 SAMPLE_DOCUMENTS = 250
+SAMPLE_TOTAL = 20_000
 SAMPLE_WINDOWS = 8
 MAX_LANGUAGES = 500
 
@@ -218,6 +220,7 @@ def training_sample(documents: DataFrame, documents_each: int = SAMPLE_DOCUMENTS
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counted:
         return known.select("lang", F.array().cast("array<binary>").alias("windows"))
+    documents_each = min(documents_each, SAMPLE_TOTAL // len(counted))
     rows = [(row.lang, min(1.0, 2 * documents_each / row.n)) for row in counted]
     shares = documents.sparkSession.createDataFrame(rows, "lang string, share double")
     mixed = F.xxhash64(F.lit("sample"), "doc_id")
@@ -235,7 +238,7 @@ def training_sample(documents: DataFrame, documents_each: int = SAMPLE_DOCUMENTS
 
 
 def fit(documents: DataFrame) -> Model:
-    """Train on the driver: at most MAX_LANGUAGES * SAMPLE_DOCUMENTS * SAMPLE_WINDOWS windows."""
+    """Train on the driver: at most SAMPLE_TOTAL * SAMPLE_WINDOWS windows, 41 MB."""
     rows = sorted((row.lang, bytes(window)) for row in training_sample(documents).collect() for window in row.windows)
     if not rows:
         return Model([], *[np.empty(0)] * 5)
