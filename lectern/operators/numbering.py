@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.sources.scratch import ensure_checkpoint_dir
+from lectern.sources.scratch import scratch_path
 
 
-def numbered(frame: DataFrame, key: str) -> DataFrame:
-    """Add ``index``, a row's place in the order of the distinct values of ``key``, from 0.
+def numbered(frame: DataFrame, order: Sequence[str], index: str = "index") -> DataFrame:
+    """Add ``index``: a row's place, from 0, when all rows are sorted by ``order``.
 
-    The rows are range-sorted once and checkpointed, which fixes the partitions. A row's
-    number is its place in its partition plus the sizes of the partitions before. Only those
-    sizes, one row per partition, are gathered.
+    The rows are range-sorted once and written, which fixes the partitions. A place is the
+    place in the partition plus the rows of the partitions before, so that only one row per
+    partition is gathered. Put a unique column last in ``order``: equal keys share a partition.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
-    ordered = frame.repartitionByRange(key).sortWithinPartitions(key).checkpoint()
+    spark = frame.sparkSession
     # monotonically_increasing_id holds the partition in its upper and the place in its lower 33 bits.
-    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("place", place)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.monotonically_increasing_id()
+    sorted_rows = (
+        frame.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.shiftright(number, 33).cast("int"))
+        .withColumn("_place", number.bitwiseAND((1 << 33) - 1))
+    )
+    path = scratch_path(spark, "numbered")
+    sorted_rows.write.parquet(path)
+    placed = spark.read.schema(sorted_rows.schema).parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("part")
-        .agg(F.count("*").alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+        placed.groupBy("_part")
+        .agg(F.count("*").alias("_size"))
+        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     )
-    # One row per partition.
+    # At most one row per partition.
     return (
-        placed.join(F.broadcast(offsets), "part")
-        .withColumn("index", F.col("offset") + F.col("place"))
-        .drop("part", "place", "offset")
+        placed.join(F.broadcast(offsets), "_part")
+        .withColumn(index, F.col("_before") + F.col("_place"))
+        .drop("_part", "_place", "_before")
     )

@@ -27,7 +27,7 @@ FIRST_DOCUMENTS = 32
 
 def vocabulary(words: DataFrame) -> DataFrame:
     """``(word, index)``: the distinct words of a column ``word``, in order, numbered from 0."""
-    return numbered(words.select("word").distinct(), "word")
+    return numbered(words.select("word").distinct(), ["word"])
 
 
 def vocabulary_size(words: DataFrame) -> DataFrame:

@@ -156,7 +156,7 @@ def tf_idf(
     documents = document_count(tokens, key, one_row_each)
     words = _word_totals(term_counts(tokens, key, one_row_each)).select("word", "doc_freq")
     if with_index:
-        words = numbered(words, "word")
+        words = numbered(words, ["word"])
     words = words.withColumn("idf", F.log(documents / F.col("doc_freq")))
     frequencies = term_frequency(tokens, key, one_row_each)
     weighted = join_per_key(frequencies, words, "word", weight="doc_freq", spread=key)

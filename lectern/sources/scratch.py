@@ -42,10 +42,3 @@ def release(spark: SparkSession) -> None:
     for name in _handed_out.pop(spark.sparkContext.applicationId, []):
         path = hadoop(name)
         path.getFileSystem(conf).delete(path, True)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint`` work; leaves a directory that is already set alone."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(spark))
