@@ -3,7 +3,8 @@
 Texts are equal when identical after each run of ASCII white space becomes one space. Each
 task first merges its own copies in a trie, so that a text of which there are millions of
 copies is shuffled once per task. The survivors meet by length and SHA-256 in a partition whose
-trie compares the full byte strings; its terminal nodes hold the smallest identifier.
+trie compares the full byte strings; its terminal nodes hold the smallest identifier. Were there
+two texts of one length and SHA-256, they would show as two owners of one digest.
 
 Defined cases: a null text counts as empty. A null identifier is larger than any other; a
 group of null identifiers only has a null ``keep_id``. Rows that repeat an identifier and its
@@ -13,7 +14,7 @@ text are one document. An empty table gives no rows. Other columns are not looke
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,69 +68,68 @@ def text_owners(
 
     With ``keep_rows``, also ``row``: the owner's whole row as a struct.
     """
+    # With rows, the text travels once, within its row, and is normalised again where it arrives.
     held = documents.select(
         F.col(id_column).cast("long").alias("id"),
-        F.lit(1).cast("long").alias("copies"),
-        F.col(text_column).alias("text"),
-        *([whole_row()] if keep_rows else []),
+        whole_row() if keep_rows else F.col(text_column).alias("text"),
     )
-    if keep_rows:
-        held = held.drop("text").withColumn("text", F.col("row").getField(text_column))
     partial = T.StructType(
         [
             T.StructField("n_bytes", T.LongType()),
             T.StructField("digest", T.BinaryType()),
             T.StructField("id", T.LongType()),
             T.StructField("copies", T.LongType()),
-            T.StructField("content", T.BinaryType()),
-            *([held.schema["row"]] if keep_rows else []),
+            held.schema["row"] if keep_rows else T.StructField("content", T.BinaryType()),
         ]
     )
     final = T.StructType([field for field in partial if field.name != "content"])
-    merged = held.mapInArrow(_merge_in_task(to_arrow_schema(partial), trie_bytes), partial)
+
+    def content_of(row: dict) -> bytes:
+        return normalise(text_bytes(row[text_column]))
+
+    merged = held.mapInArrow(_merge_in_task(to_arrow_schema(partial), trie_bytes, content_of), partial)
     owners = merged.repartition("n_bytes", "digest").mapInArrow(
-        _merge_partition(to_arrow_schema(final), trie_bytes), final
+        _merge_partition(to_arrow_schema(final), trie_bytes, content_of), final
     )
     return owners.withColumnsRenamed({"id": "keep_id", "copies": "group_size"})
 
 
-def _merge_in_task(schema: pa.Schema, budget: int):
+def _merge_in_task(schema: pa.Schema, budget: int, content_of: Callable[[dict], bytes]):
     """The task's distinct texts; a full trie is handed on and begun anew."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = RadixTrie(2**62)
-        for part in parts:
-            columns = part.to_pydict()
-            rows = columns.get("row") or [None] * part.num_rows
-            entries = zip(columns["id"], columns["text"], rows, strict=True)
-            for identifier, text, row in entries:
-                content = normalise(text_bytes(text))
-                digest = hashlib.sha256(content).digest()
-                trie.insert(content, Owner(identifier, 1, digest, row))
-                if trie.held > budget:
-                    yield from batches(_rows(trie, schema), schema, _weight)
-                    trie = RadixTrie(2**62)
+        for entry in _entries(parts):
+            row = entry.get("row")
+            content = content_of(row) if row is not None else normalise(text_bytes(entry["text"]))
+            trie.insert(content, Owner(entry["id"], 1, hashlib.sha256(content).digest(), row))
+            if trie.held > budget:
+                yield from batches(_rows(trie, schema), schema, _weight)
+                trie = RadixTrie(2**62)
         yield from batches(_rows(trie, schema), schema, _weight)
 
     return run
 
 
-def _merge_partition(schema: pa.Schema, budget: int):
+def _merge_partition(schema: pa.Schema, budget: int, content_of: Callable[[dict], bytes]):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = RadixTrie(budget)
-        for part in parts:
-            columns = part.to_pydict()
-            rows = columns.get("row") or [None] * part.num_rows
-            entries = zip(
-                columns["content"], columns["id"], columns["copies"], columns["digest"], rows, strict=True
-            )
-            for content, identifier, copies, digest, row in entries:
-                trie.insert(content, Owner(identifier, copies, digest, row))
+        for entry in _entries(parts):
+            row = entry.get("row")
+            content = content_of(row) if row is not None else entry["content"]
+            trie.insert(content, Owner(entry["id"], entry["copies"], entry["digest"], row))
         yield from batches(_rows(trie, schema), schema, _weight)
 
     return run
 
 
+def _entries(parts: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[dict]:
+    """Rows as dictionaries, a few at a time, so that a batch is not held twice."""
+    for part in parts:
+        for start in range(0, part.num_rows, step):
+            yield from part.slice(start, step).to_pylist()
+
+
 def _rows(trie: RadixTrie, schema: pa.Schema) -> Iterator[tuple]:
     for content, owner in trie.owners():
         row = [len(content), owner.digest, owner.identifier, owner.copies]
