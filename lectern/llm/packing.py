@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import numbered, written
+from lectern.llm.common import written
 from lectern.llm.tokens import VOCABULARY, encode
+from lectern.operators.numbering import numbered
 
 CAPACITY = 1024
 END_ID = 2
@@ -159,7 +160,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     pieces = written(pieces, "pieces")
     # At most ``capacity`` rows, whatever the size of the corpus.
     counts = {row.length: row.n for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    ranked = numbered(pieces, ["length", "doc_id", "piece"], "_rank", "ranked")
+    ranked = numbered(pieces, ["length", "doc_id", "piece"], "_rank")
     placed = ranked.withColumn("_place", _place(plan_bins(counts, capacity))("_rank"))
     return placed.select(*pieces.columns, "_place.*")
 

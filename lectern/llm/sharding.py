@@ -17,7 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import numbered
+from lectern.operators.numbering import numbered
 
 BITS = 8
 STRING_BYTES = 4
@@ -125,7 +125,7 @@ def hilbert_shards(
     cells = string_cells(frame, strings, bits) + [
         F.least(octave_cell(F.coalesce(F.col(c), F.lit(0)).cast("long")), F.lit((1 << bits) - 1)) for c in numbers
     ]
-    placed = numbered(frame.withColumn("hilbert", hilbert_index(cells, bits)), ["hilbert", *ties], "_at", "hilbert")
+    placed = numbered(frame.withColumn("hilbert", hilbert_index(cells, bits)), ["hilbert", *ties], "_at")
     total = placed.count()
     shard = F.expr(f"cast(_at * {shards} div {max(total, 1)}L as int)")
     first = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
