@@ -136,18 +136,28 @@ def crc32_sql(nibbles: str) -> str:
 def hilbert_sql(cells: list[str], rows: str, bits: int = BITS) -> str:
     """``rows`` with the column ``hilbert``, one subquery for each step along the bits."""
     names = [f"x{i}" for i in range(len(cells))]
-    sql = f"SELECT *, {', '.join(f'CAST({c} AS BIGINT) AS {n}' for c, n in zip(cells, names, strict=True))} FROM {rows}"
+    start = ", ".join(f"CAST({c} AS BIGINT) AS {n}" for c, n in zip(cells, names, strict=True))
+    sql = f"SELECT *, {start} FROM {rows}"
     for bit in reversed(range(1, bits)):
+        lower = (1 << bit) - 1
         for name in names:
-            sql = f"SELECT * REPLACE (CASE WHEN {name} & {1 << bit} <> 0 THEN xor(x0, {(1 << bit) - 1}) ELSE xor(x0, xor(x0, {name}) & {(1 << bit) - 1}) END AS x0" + (
-                "" if name == "x0" else f", CASE WHEN {name} & {1 << bit} <> 0 THEN {name} ELSE xor({name}, xor(x0, {name}) & {(1 << bit) - 1}) END AS {name}"
-            ) + f") FROM ({sql})"
+            isset = f"{name} & {1 << bit} <> 0"
+            swap = f"xor(x0, {name}) & {lower}"
+            turned = f"CASE WHEN {isset} THEN xor(x0, {lower}) ELSE xor(x0, {swap}) END AS x0"
+            if name != "x0":
+                turned += f", CASE WHEN {isset} THEN {name} ELSE xor({name}, {swap}) END AS {name}"
+            sql = f"SELECT * REPLACE ({turned}) FROM ({sql})"
     for before, name in zip(names, names[1:], strict=False):
         sql = f"SELECT * REPLACE (xor({name}, {before}) AS {name}) FROM ({sql})"
     sql = f"SELECT *, CAST(0 AS BIGINT) AS flip FROM ({sql})"
     for bit in reversed(range(1, bits)):
-        sql = f"SELECT * REPLACE (CASE WHEN {names[-1]} & {1 << bit} <> 0 THEN xor(flip, {(1 << bit) - 1}) ELSE flip END AS flip) FROM ({sql})"
-    places = [f"((xor({name}, flip) >> {bit}) & 1) * {1 << (bit * len(names) + len(names) - 1 - i)}" for bit in range(bits) for i, name in enumerate(names)]
+        flipped = f"CASE WHEN {names[-1]} & {1 << bit} <> 0 THEN xor(flip, {(1 << bit) - 1}) ELSE flip END"
+        sql = f"SELECT * REPLACE ({flipped} AS flip) FROM ({sql})"
+    places = []
+    for bit in range(bits):
+        for i, name in enumerate(names):
+            place = bit * len(names) + len(names) - 1 - i
+            places.append(f"((xor({name}, flip) >> {bit}) & 1) * {1 << place}")
     return f"SELECT *, {' + '.join(places)} AS hilbert FROM ({sql})"
 
 
@@ -164,11 +174,12 @@ def shards_sql(shards: int) -> str:
         padded = f"rpad(hex({data}[skip_{n} + 1 : skip_{n} + {STRING_BYTES}]), {2 * STRING_BYTES}, '0')"
         return f"CAST(concat('0x', {padded}) AS BIGINT)"
 
-    cells = [
-        f"({code(f'encode({n})', n)} - {code(f'lo_{n}', n)}) * {1 << BITS} // ({code(f'hi_{n}', n)} - {code(f'lo_{n}', n)} + 1)"
-        for n in names
-    ]
-    cells.append(f"least({(1 << BITS) - 1}, (length(bin(size)) - 1) * 4 + (((size << 2) >> CAST(length(bin(size)) - 1 AS INT)) & 3))")
+    cells = []
+    for n in names:
+        low, high = code(f"lo_{n}", n), code(f"hi_{n}", n)
+        cells.append(f"({code(f'encode({n})', n)} - {low}) * {1 << BITS} // ({high} - {low} + 1)")
+    exponent = "(length(bin(size)) - 1)"
+    cells.append(f"least({(1 << BITS) - 1}, {exponent} * 4 + (((size << 2) >> CAST({exponent} AS INT)) & 3))")
     return f"""
 WITH texts AS (
   SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, encode(coalesce(text, '')) AS data FROM documents

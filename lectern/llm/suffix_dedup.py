@@ -441,10 +441,8 @@ def repeated_windows(
     ``shared``: bytes in common with the suffix before; ``earliest``: places by identifier and start.
     """
     masks = np.zeros(len(shared), np.uint64)
-    group = np.cumsum(shared < shape.gram) - 1 if len(shared) else shared
-    if len(shared):
-        group -= group[0]
-    crowded = np.bincount(group)[group] > 1 if len(group) else group.astype(bool)
+    group = np.cumsum(shared < shape.gram)
+    crowded = np.bincount(group)[group] > 1
     rows = np.flatnonzero(crowded)
     if not len(rows):
         return masks
@@ -452,8 +450,10 @@ def repeated_windows(
     place = np.full(len(masks), -1)
     place[rows] = np.arange(len(rows))
     earliest = place[earliest[crowded[earliest]]]
-    by_left = np.argsort(np.ascontiguousarray(left).view(f"S{shape.reach}").ravel(), kind="stable") if shape.reach else np.arange(len(rows))
-    left_shared = front_code(left[by_left]).shared if shape.reach else np.zeros(len(rows), np.int64)
+    by_left, left_shared = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+    if shape.reach:
+        by_left = np.argsort(np.ascontiguousarray(left).view(f"S{shape.reach}").ravel(), kind="stable")
+        left_shared = front_code(left[by_left]).shared
     found = np.zeros(len(rows), np.uint64)
     left_class = np.zeros(len(rows), np.int64)
     for offset in range(shape.reach + 1):

@@ -1,6 +1,5 @@
 from collections import defaultdict
 
-import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline

@@ -85,9 +85,8 @@ def small_corpus():
 
 @pytest.mark.parametrize("match, hot", [(8, 10**6), (12, 10**6), (12, 3), (30, 5), (64, 10**6), (2, 10**6), (1, 10**6)])
 def test_against_brute_force(spark, match, hot):
-    rows = [(i, t) for i, t in small_corpus()]
     # Rows that share an identifier are ordered by a hash, which the brute force does not know.
-    rows = [r for n, r in enumerate(rows) if r not in rows[:n] and (r[0] is not None and r[0] not in [x[0] for x in rows[:n]])] + [(None, "tail")]
+    rows = [(i, t) for i, t in dict(small_corpus()).items() if i is not None] + [(None, "tail")]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = [tuple(r) for r in remove_repeats(frame, match=match, hot_anchors=hot).collect()]
     assert sorted(got, key=str) == brute(rows, match)
