@@ -5,7 +5,8 @@ characters slides over it; its counts change by one character in and one out, an
 entropy. What a window must reach depends on its character class: hexadecimal, one case with
 digits, or mixed case with digits. Windows of letters alone or digits alone never count, and
 neither does a candidate on the allow list (UUIDs, runs of the alphabet, paths of words).
-Overlapping windows make one span, of the kind ``entropy``, unless it touches one of a pattern.
+Overlapping windows make one span, of the kind ``entropy``. What a pattern covers is taken out of
+it; the stretches beside the pattern stay, except those of whole words and separators.
 
 Defined cases: a null or empty text has no spans. Repeated rows are scanned alike. Positions
 are code points, ends exclusive. An empty table gives no rows.
@@ -51,6 +52,9 @@ ALLOWED = (
     re.compile(r"(.{1,8})\1{2,}.{0,7}"),
 )
 
+# What may stand beside a pattern's span without being part of a secret: ``commit/``, ``my_``, ``--``.
+PLAIN = re.compile(r"([A-Z]?[a-z]{2,}|[A-Z]{2,}|[+/_=-]+)*")
+
 MASK = "[SECRET]"
 
 
@@ -134,18 +138,23 @@ def find_secrets(text: str | None) -> list[Span]:
                     base.append(Span(offset + match.start(), order, offset + match.end()))
         extra += [Span(offset + start, 3, offset + end) for start, end in random_windows(run)]
     base.sort()
-    return sorted(base + _apart(extra, base))
+    return sorted(base + _apart(extra, base, text))
 
 
-def _apart(extra: list[Span], base: list[Span]) -> list[Span]:
-    """Those that touch no base span; both are sorted by start."""
+def _apart(extra: list[Span], base: list[Span], text: str) -> list[Span]:
+    """Their stretches outside the base spans; both are sorted by start."""
     out, at, reach = [], 0, 0
     for span in extra:
+        pieces, start = [], max(span.start, reach)
         while at < len(base) and base[at].start < span.end:
+            pieces.append((start, base[at].start))
             reach = max(reach, base[at].end)
+            start = max(start, reach)
             at += 1
-        if reach <= span.start:
-            out.append(span)
+        for begin, end in [*pieces, (start, span.end)]:
+            whole = (begin, end) == (span.start, span.end)
+            if begin < end and (whole or not PLAIN.fullmatch(text, begin, end)):
+                out.append(Span(begin, 3, end))
     return out
 
 

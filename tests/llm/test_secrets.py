@@ -82,6 +82,31 @@ def test_entropy_and_allow_list():
         assert find_secrets(clean) == []
 
 
+def covered(text):
+    return {i for s in find_secrets(text) for i in range(s.start, s.end)}
+
+
+def test_secret_beside_a_pattern():
+    rng = random.Random(1)
+    payload = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=120))
+    digest = "".join(rng.choices("0123456789abcdef", k=40))
+    for text, secret in (
+        (f"cookie {payload}--{digest};", payload),
+        (f"{digest}/{RANDOM_KEY}", RANDOM_KEY),
+        (f"{RANDOM_KEY}-{digest}-{RANDOM_KEY[::-1]}", RANDOM_KEY[::-1]),
+    ):
+        assert covered(text) >= {i for part in (secret, digest) for i in range(text.index(part), text.index(part) + len(part))}
+        assert secret not in masked(text) and digest not in masked(text)
+        spans = [s for s in find_secrets(text)]
+        assert all(a.end <= b.start for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_words_beside_a_pattern_stay():
+    digest = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    assert masked(f"commit/{digest}--") == f"commit/{secrets.MASK}--"
+    assert masked(f"my_token={RANDOM_KEY}.x") == f"my_{secrets.MASK}"
+
+
 def test_masked():
     assert masked(f"a {RANDOM_KEY} b token: {'ab' * 20} c") == f"a {secrets.MASK} b {secrets.MASK} c"
     assert masked(None) is None and masked("clean") == "clean"
