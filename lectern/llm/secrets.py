@@ -3,10 +3,11 @@
 A candidate is a longest run of 16 or more letters, digits and ``+/_=-``. A window of 20
 characters slides over it; its counts change by one character in and one out, and so does its
 entropy. What a window must reach depends on its character class: hexadecimal, one case with
-digits, or mixed case with digits. Windows of letters alone or digits alone never count, and
-neither does a candidate on the allow list (UUIDs, runs of the alphabet, paths of words).
-Overlapping windows make one span, of the kind ``entropy``. What a pattern covers is taken out of
-it; the stretches beside the pattern stay, except those of whole words and separators.
+digits, or mixed case with digits. Windows with fewer digits, and candidates shorter than a window,
+which are one themselves, count by their share of the greatest entropy, unless their letters follow
+each other as in words. Windows of digits alone never count, and neither does a candidate on the
+allow list (UUIDs, runs of the alphabet, paths of words). make one span, of the kind ``entropy``. What a pattern covers is taken out of it; the stretches
+beside the pattern stay, except those of whole words and separators.
 
 Defined cases: a null or empty text has no spans. Repeated rows are scanned alike. Positions
 are code points, ends exclusive. An empty table gives no rows.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -45,6 +47,20 @@ WINDOW = 20
 # Least bits per character by class, and least digits; a random window has about 3.4 (hexadecimal) to 4.1.
 CLASSES = {"hex": (3.0, 4), "one_case": (3.6, 4), "mixed": (3.8, 2)}
 
+# Least share of the entropy of all different characters, whatever the digits and the window's length.
+SHARES = {"hex": 0.62, "one_case": 0.75, "mixed": 0.82}
+
+# The 130 commonest pairs of letters in English text, four in five of all; of random pairs they are one in five.
+PAIRS = frozenset(
+    """ab ac ad ag ai al am an ap ar as at ca ce ch ck cl co ct da de di du ea ec ed ee ef el em en ep er es et ex fa fi
+    fo fr ge gs ha he hi ho ic il im in io is it ke la le lf li ll lo ls lt lu ma me mo mp na nc nd ne ng ni no ns nt ob
+    oc od ol om on op or os ot ou pa pe pl po pr pt ra re rg ri rn ro rr rs rt ry se si sp ss st su ta te th ti to tr ts
+    tu ty ue ul um un ur us ut va ve wi xt yp""".split()
+)
+WORD_SHARE, WORD_PAIRS = 0.5, 4
+# Letters in the form of one long word, which prose of any language has.
+ONE_WORD_SHARE = 0.25
+
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(r"(?i:[0-9a-f]*0123456789abcdef[0-9a-f]*|.*abcdefghijklmnop.*)"),
@@ -89,31 +105,81 @@ def _group(char: str) -> str:
 _TERMS = [0.0] + [count * math.log2(count) for count in range(1, WINDOW + 1)]
 
 
-def random_windows(candidate: str) -> list[tuple[int, int]]:
-    """Spans of the candidate covered by windows of high entropy."""
-    if len(candidate) < WINDOW or any(rule.fullmatch(candidate) for rule in ALLOWED):
-        return []
+def _slide(candidate: str, size: int) -> Iterator[tuple[int, float, Counter]]:
+    """Each window's start, entropy, and counts by group of characters and of letter pairs."""
     chars, groups, total = Counter(), Counter(), 0.0
-    spans: list[tuple[int, int]] = []
+    pairs = [_pair(candidate[at : at + 2]) for at in range(len(candidate) - 1)]
     for at, char in enumerate(candidate):
-        if at >= WINDOW:
-            out = candidate[at - WINDOW]
+        if at >= size:
+            out = candidate[at - size]
             chars[out] -= 1
             total += _TERMS[chars[out]] - _TERMS[chars[out] + 1]
             groups[_group(out)] -= 1
+            groups[pairs[at - size]] -= 1
         chars[char] += 1
         total += _TERMS[chars[char]] - _TERMS[chars[char] - 1]
         groups[_group(char)] += 1
-        if at < WINDOW - 1:
-            continue
-        entropy = math.log2(WINDOW) - total / WINDOW
+        if at:
+            groups[pairs[at - 1]] += 1
+        if at >= size - 1:
+            yield at - size + 1, math.log2(size) - total / size, groups
+
+
+def _pair(pair: str) -> str:
+    if not pair.isalpha():
+        return "no_pair"
+    return "common_pair" if pair.lower() in PAIRS else "rare_pair"
+
+
+def _spans(starts: Iterable[int], size: int) -> list[tuple[int, int]]:
+    spans: list[tuple[int, int]] = []
+    for start in starts:
+        if spans and start <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], start + size)
+        else:
+            spans.append((start, start + size))
+    return spans
+
+
+def random_windows(candidate: str) -> list[tuple[int, int]]:
+    """Spans of the candidate covered by windows of high entropy and enough digits."""
+    if len(candidate) < WINDOW or any(rule.fullmatch(candidate) for rule in ALLOWED):
+        return []
+
+    def counts(entropy: float, groups: Counter) -> bool:
         kind = _class_of(groups)
-        if kind and entropy >= CLASSES[kind][0] and groups["digit"] >= CLASSES[kind][1]:
-            start = at - WINDOW + 1
-            if spans and start <= spans[-1][1]:
-                spans[-1] = (spans[-1][0], at + 1)
-            else:
-                spans.append((start, at + 1))
+        return bool(kind) and entropy >= CLASSES[kind][0] and groups["digit"] >= CLASSES[kind][1]
+
+    return _spans((at for at, *window in _slide(candidate, WINDOW) if counts(*window)), WINDOW)
+
+
+def unlike_words(candidate: str) -> list[tuple[int, int]]:
+    """Spans covered by windows of high entropy, few digits or none, whose letters make no words."""
+    if any(rule.fullmatch(candidate) for rule in ALLOWED):
+        return []
+    size = min(WINDOW, len(candidate))
+    most = math.log2(size)
+
+    def counts(entropy: float, groups: Counter) -> bool:
+        # A digit more, so that letters alone have a class too.
+        kind = _class_of(groups + Counter(digit=1))
+        common, rare = groups["common_pair"], groups["rare_pair"]
+        upper, lower = groups["up_hex"] + groups["up"], groups["low_hex"] + groups["low"]
+        one_word = upper + lower == size and min(upper, lower) <= 1
+        words = common >= max(WORD_PAIRS, (ONE_WORD_SHARE if one_word else WORD_SHARE) * (common + rare))
+        return bool(kind) and not words and entropy >= SHARES[kind] * most
+
+    return _spans((at for at, *window in _slide(candidate, size) if counts(*window)), size)
+
+
+def entropy_spans(candidate: str) -> list[tuple[int, int]]:
+    """Both rules' spans; those that touch are one."""
+    spans: list[tuple[int, int]] = []
+    for start, end in sorted(random_windows(candidate) + unlike_words(candidate)):
+        if spans and start <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+        else:
+            spans.append((start, end))
     return spans
 
 
@@ -136,7 +202,7 @@ def find_secrets(text: str | None) -> list[Span]:
             for match in pattern.finditer(run):
                 if match.end() - match.start() >= least:
                     base.append(Span(offset + match.start(), order, offset + match.end()))
-        extra += [Span(offset + start, 3, offset + end) for start, end in random_windows(run)]
+        extra += [Span(offset + start, 3, offset + end) for start, end in entropy_spans(run)]
     base.sort()
     return sorted(base + _apart(extra, base, text))
 

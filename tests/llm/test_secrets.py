@@ -82,6 +82,25 @@ def test_entropy_and_allow_list():
         assert find_secrets(clean) == []
 
 
+BASE32 = string.ascii_uppercase + "234567"
+BASE62 = string.ascii_letters + string.digits
+
+
+@pytest.mark.parametrize(
+    "alphabet, length, least",
+    [(BASE32, 16, 0.9), (BASE32, 20, 0.95), (BASE32, 40, 0.97), (BASE62, 16, 0.9), (BASE62, 20, 0.95), ("0123456789abcdef", 16, 0.9), (string.ascii_letters, 24, 0.95)],
+)
+def test_random_keys_are_found_at_any_length(alphabet, length, least):
+    rng = random.Random(length)
+    keys = ["".join(rng.choices(alphabet, k=length)) for _ in range(400)]
+    assert sum(masked(f"a {key} b") == f"a {secrets.MASK} b" for key in keys) >= least * len(keys)
+
+
+def test_words_are_not_keys():
+    for clean in ("internationalization", "getElementsByClassName", "configuration_settings2", "windows2000server", "Geschwindigkeitsbegrenzung", "einautzcherpfbezu", "2021-01-01T10-00-00", "=" * 30):
+        assert find_secrets(f"see {clean} there") == [], clean
+
+
 def covered(text):
     return {i for s in find_secrets(text) for i in range(s.start, s.end)}
 
