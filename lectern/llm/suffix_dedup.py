@@ -542,11 +542,13 @@ def remove_repeats(
     ).first()
     unique = counted.n == counted.ids
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(counted.bytes or 0) // GROUP_BYTES))
+    tie = F.lit(0).cast("long") if unique else F.xxhash64(text)
     named = documents.select(
         identifier.alias("doc_id"),
         F.coalesce(identifier, F.lit(LAST)).alias("doc"),
-        (F.lit(0).cast("long") if unique else F.xxhash64(text)).alias("tie"),
-        F.pmod(F.xxhash64(identifier), F.lit(partitions)).cast("int").alias("q"),
+        tie.alias("tie"),
+        # With the tie, so that rows without an identifier, or with the same one, are not one group.
+        F.pmod(F.xxhash64(identifier, tie), F.lit(partitions)).cast("int").alias("q"),
         text.cast("binary").alias("data"),
     )
     found = written(

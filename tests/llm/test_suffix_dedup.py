@@ -2,8 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from lectern.llm import suffix_dedup
 from lectern.llm.loser_tree import front_code, merge_runs
 from lectern.llm.suffix_dedup import anchors_of, covered_bytes, pack, remove_repeats, shape_of, unpack
 
@@ -101,6 +103,23 @@ def test_shared_identifiers(spark):
     assert len({tuple(r) for r in got if r.doc_id == 1 and r.n_bytes == 30}) == 1
 
 
+@pytest.mark.parametrize("identifier", [None, 7])
+def test_rows_of_one_identifier_are_dealt_out(spark, monkeypatch, identifier):
+    def rows_of_group(shape, keep_bytes):
+        def run(documents, removals):
+            n = documents.num_rows
+            ids = pa.array([None] * n, pa.int64())
+            return pa.table({"doc_id": ids, "n_bytes": [n] * n, "n_removed": ids, "n_spans": ids, "kept_sha256": pa.array([None] * n, pa.string())})
+
+        return run
+
+    rows = [(identifier, f"text number {i} of many") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "_finish", rows_of_group)
+    sizes = [r.n_bytes for r in remove_repeats(frame).collect()]
+    assert len(sizes) == 400 and max(sizes) < 300
+
+
 def test_long_text_and_extra_columns(spark):
     rng = random.Random(5)
     unit = "".join(rng.choices("abcdefghijklmnop ", k=5000))
