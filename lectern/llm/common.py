@@ -22,6 +22,10 @@ def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, f"{sf_dir}/documents.parquet")
 
 
+def embeddings_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_table(spark, f"{sf_dir}/embeddings.parquet")
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 

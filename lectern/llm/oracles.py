@@ -1,11 +1,12 @@
 """Queries of this folder once more, in the SQL of an embedded engine, where SQL can express them.
 
-Licence expressions, entropies, tokens, a trained model and XXH64 have none; those queries are
-tested against brute force.
+Licence expressions, entropies, tokens, a trained model, XXH64 and eigenvectors have none; those queries
+are tested against brute force.
 """
 
 from __future__ import annotations
 
+from lectern.llm.compression import ENTRIES, PARTS, ROUNDS
 from lectern.llm.quality import GROUP_DOCUMENTS, MAX_REPEAT_PERCENT, MIN_WORDS, RATES, SPREADS
 from lectern.llm.sharding import BITS, STRING_BYTES
 
@@ -202,10 +203,78 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * {shards} // total AS
 FROM ordered"""
 
 
+# Every line with its key and the documents that hold it.
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+),
+keyed AS (
+  SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+owned AS (SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS lost FROM keyed)
+SELECT doc_id, count(*) AS n_lines, CAST(count_if(lost) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM owned GROUP BY doc_id"""
+
+
+def codes_sql() -> str:
+    """All distances of all parts to all entries, round by round."""
+
+    def nearest(book: str) -> str:
+        apart = "list_sum(list_transform(list_zip(p.y, b.y), lambda pair: (pair[1] - pair[2]) * (pair[1] - pair[2])))"
+        return f"""SELECT r, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+          FROM (SELECT r, p.part, entry, CAST({apart} AS BIGINT) AS d FROM parts p JOIN {book} b ON p.part = b.part)
+          GROUP BY r, part"""
+
+    ctes = []
+    for number in range(1, ROUNDS + 1):
+        before = f"book{number - 1}"
+        ctes.append(f"""near{number} AS ({nearest(before)}),
+sums{number} AS (
+  SELECT part, entry, place, sum(value) AS total, count(*) AS n
+  FROM (SELECT part, entry, unnest(y) AS value, generate_subscripts(y, 1) AS place FROM parts JOIN near{number} USING (r, part))
+  GROUP BY ALL
+),
+means{number} AS (
+  SELECT part, entry, list((total - (total % n + n) % n) // n ORDER BY place) AS y FROM sums{number} GROUP BY ALL
+),
+book{number} AS (
+  SELECT part, entry, coalesce(m.y, b.y) AS y FROM {before} b LEFT JOIN means{number} m USING (part, entry)
+)""")
+    last = f"book{ROUNDS}"
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x,
+    row_number() OVER (ORDER BY vec_id) AS r
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+parts AS (
+  SELECT r, part, x[part * len(x) // {PARTS} + 1 : (part + 1) * len(x) // {PARTS}] AS y
+  FROM kept, (SELECT unnest(range({PARTS})) AS part)
+),
+book0 AS (SELECT part, r - 1 AS entry, y FROM parts WHERE r <= {ENTRIES}),
+{", ".join(ctes)},
+coded AS ({nearest(last)}),
+codes AS (
+  SELECT r, string_agg(lower(lpad(hex(entry), 2, '0')), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM coded GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(value AS VARCHAR), ',' ORDER BY part, entry, place))
+   FROM (SELECT part, entry, unnest(y) AS value, generate_subscripts(y, 1) AS place FROM {last})) AS codebooks_sha256
+FROM kept JOIN codes USING (r)"""
+
+
 def oracles(shards: int) -> dict[str, str]:
     return {
         "op2_exact_dedup": EXACT,
         "op5_hilbert_shards": shards_sql(shards),
         "op7_quality": quality_sql(),
         "op8_suffix_dedup": SUFFIXES,
+        "op11_vector_codes": codes_sql(),
+        "op12_line_dedup": LINES,
     }

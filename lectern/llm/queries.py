@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, exact_dedup, langid, licenses, packing, quality, secrets, sharding, simhash, suffix_dedup
-from lectern.llm.common import documents_of
+from lectern.llm import (
+    bpe,
+    compression,
+    exact_dedup,
+    langid,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    suffix_dedup,
+    whitening,
+)
+from lectern.llm.common import documents_of, embeddings_of
 from lectern.llm.oracles import oracles
 
 SHARDS = 40
@@ -69,6 +83,29 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents_of(spark, sf_dir))
 
 
+def compressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = compression.compress(embeddings_of(spark, sf_dir))
+    digits = F.transform("code", lambda index: F.lpad(F.lower(F.hex(index)), 2, "0"))
+    return compression.with_label_error(codes).select(
+        F.col("id").alias("vec_id"),
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(compression.codebooks_digest(codebooks)).alias("codebooks_sha256"),
+    )
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.without_repeated_lines(documents_of(spark, sf_dir))
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(embeddings_of(spark, sf_dir)).withColumnRenamed("id", "vec_id")
+    # Beyond a long, the contract's type has no value; the operator's column has.
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 QUERIES = {
     "op1_packing": packed,
     "op2_exact_dedup": exact,
@@ -80,6 +117,9 @@ QUERIES = {
     "op8_suffix_dedup": suffixes,
     "op9_simhash": near,
     "op10_bpe": encoded,
+    "op11_vector_codes": compressed,
+    "op12_line_dedup": lines,
+    "op13_whitening": whitened,
 }
 
 ORACLES = oracles(SHARDS)

@@ -19,6 +19,6 @@ def test_query_equals_oracle(spark, sf_dir, key):
 def test_every_operator_is_registered():
     names = entry.queries()
     numbers = sorted(int(re.match(r"op(\d+)_", key)[1]) for key in names if key.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     assert entry.oracle_sql().keys() <= names.keys()
