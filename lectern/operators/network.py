@@ -1,9 +1,12 @@
 """Authors, their dates, and the influence network between them.
 
 An edge runs from an author to another one whose date is one to ``years_threshold`` years
-later. There is one edge for each such pair of dates. ``influence_edges`` counts them per pair of
-authors, which still grows with the square of the authors. The statistics need just the number
-of edges per author and gap, which ``author_gaps`` works out from dates counted per year.
+later. There is one edge for each such pair of dates. Edges per pair of authors grow with the square of
+the authors, so the network is kept as classes: authors with the same number of dates in a year are
+alike, and two classes within reach are linked author by author, all to all. ``influence_classes`` has a
+row per pair of classes, ``influence_members`` one per author and year; ``edges_of_classes`` makes the
+edges from them, of all authors or of some. The statistics need just the number of edges per author and
+gap, which ``author_gaps`` works out from dates counted per year.
 """
 
 from __future__ import annotations
@@ -129,6 +132,104 @@ def influence_edges(
     )
 
 
+CLASS = ["earlier_year", "earlier_dates", "later_year", "later_dates"]
+
+
+def _reach(years: DataFrame, years_threshold: int, name: str, *carried: str) -> DataFrame:
+    """Rows ``(earlier_year, year_difference, later_year, ...)``, one for each later year within reach."""
+    gaps = F.explode(F.sequence(F.lit(1), F.lit(years_threshold))).alias("year_difference")
+    return years.select(*carried, F.col("year").alias("earlier_year"), F.col("dates").alias(name), gaps).withColumn(
+        "later_year", F.col("earlier_year") + F.col("year_difference")
+    )
+
+
+def influence_classes(dates: DataFrame, years_threshold: int = YEARS_THRESHOLD) -> DataFrame:
+    """``(earlier_year, earlier_dates, later_year, later_dates, year_difference, pairs, edges)``.
+
+    A class is the authors with so many dates in a year. Each author of the earlier class
+    influences each other author of the later one; ``pairs`` counts them, without an author's
+    own pair, and ``edges`` their pairs of dates. There are at most 366 classes a year, so that
+    rows do not grow with the authors. Work is linear in the author-year rows.
+    """
+    years = _active_years(dates)
+    classes = years.groupBy("year", "dates").agg(F.count("*").alias("authors"))
+    later = classes.select(
+        F.col("year").alias("later_year"), F.col("dates").alias("later_dates"), F.col("authors").alias("later_authors")
+    )
+    own_later = years.select("author", F.col("year").alias("later_year"), F.col("dates").alias("later_dates"))
+    # Authors of both classes, who do not influence themselves.
+    own = (
+        _reach(years, years_threshold, "earlier_dates", "author")
+        .join(own_later, ["author", "later_year"])
+        .groupBy(*CLASS)
+        .agg(F.count("*").alias("own"))
+    )
+    return (
+        _reach(classes, years_threshold, "earlier_dates", "authors")
+        .join(later, "later_year")
+        .join(own, CLASS, "left")
+        .withColumn("pairs", F.col("authors") * F.col("later_authors") - F.coalesce("own", F.lit(0)))
+        .where("pairs > 0")
+        .select(
+            *CLASS,
+            "year_difference",
+            "pairs",
+            (F.col("pairs") * F.col("earlier_dates") * F.col("later_dates")).alias("edges"),
+        )
+    )
+
+
+def influence_members(dates: DataFrame, years_threshold: int = YEARS_THRESHOLD) -> DataFrame:
+    """``(author, year, dates, out_links, in_links)``: every author and year with its class and links.
+
+    The class is ``(year, dates)``. A link leads to one other author in one other year within reach. Links are
+    counted from the authors per year, of which there are fewer than 10,000 rows.
+    """
+    years = _active_years(dates)
+    per_year = years.groupBy("year").agg(F.count("*").alias("authors"))
+    gaps = F.explode(F.array([F.lit(g) for g in range(-years_threshold, years_threshold + 1) if g])).alias("gap")
+    reached = years.select("author", "year", "dates", gaps).withColumn("other_year", F.col("year") + F.col("gap"))
+    own = years.select("author", F.col("year").alias("other_year"), F.lit(1).alias("own"))
+    links = F.coalesce("authors", F.lit(0)) - F.coalesce("own", F.lit(0))
+    return (
+        reached.join(F.broadcast(per_year.withColumnRenamed("year", "other_year")), "other_year", "left")
+        .join(own, ["author", "other_year"], "left")
+        .groupBy("author", "year", "dates")
+        .agg(
+            F.sum(F.when(F.col("gap") > 0, links).otherwise(0)).alias("out_links"),
+            F.sum(F.when(F.col("gap") < 0, links).otherwise(0)).alias("in_links"),
+        )
+    )
+
+
+def edges_of_classes(classes: DataFrame, members: DataFrame, authors: DataFrame | None = None) -> DataFrame:
+    """``influence_edges`` out of classes and members: of all authors, or from and to those in ``authors``.
+
+    Without ``authors`` the answer has a row for every pair; ask for the authors that matter.
+    """
+    earlier = members.select(
+        F.col("author").alias("influencer"), F.col("year").alias("earlier_year"), F.col("dates").alias("earlier_dates")
+    )
+    later = members.select(
+        F.col("author").alias("influenced"), F.col("year").alias("later_year"), F.col("dates").alias("later_dates")
+    )
+
+    def linked(earlier: DataFrame, later: DataFrame) -> DataFrame:
+        found = classes.join(earlier, ["earlier_year", "earlier_dates"]).join(later, ["later_year", "later_dates"])
+        edges = (F.col("earlier_dates") * F.col("later_dates")).alias("edges")
+        return found.where("influencer <> influenced").select(
+            "influencer", "influenced", "later_year", "year_difference", edges
+        )
+
+    if authors is None:
+        return linked(earlier, later)
+    wanted = authors.select("author").distinct()
+    to = later.join(wanted.withColumnRenamed("author", "influenced"), "influenced", "left_semi")
+    out = earlier.join(wanted.withColumnRenamed("author", "influencer"), "influencer", "left_semi")
+    others = earlier.join(wanted.withColumnRenamed("author", "influencer"), "influencer", "left_anti")
+    return linked(out, later).unionByName(linked(others, to))
+
+
 def author_gaps(dates: DataFrame, years_threshold: int = YEARS_THRESHOLD) -> DataFrame:
     """``(author, year_difference, out_edges, in_edges)`` without making any edge.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.operators.numbering import numbered
+from lectern.sources.scratch import written
 
 # A target document of at most this many words is broadcast.
 MAX_TARGET_WORDS = 200_000
@@ -24,6 +25,14 @@ LEAST_PUBLISHED = 10**-PLACES
 # Documents that are first compared with all others in the search for the least similar pairs.
 FIRST_DOCUMENTS = 32
 
+# Pairs worked out for each wanted one before the join for the most similar pairs.
+SEEDS = 4
+
+# A long posting list is cut into parts of this size, by bands of the length that is left.
+POSTINGS_PER_PART = 20_000
+MOST_PARTS = 200_000
+LEFT_BANDS = 64
+
 
 def vocabulary(words: DataFrame) -> DataFrame:
     """``(word, index)``: the distinct words of a column ``word``, in order, numbered from 0."""
@@ -69,75 +78,126 @@ def _named(units: DataFrame, key: str, number: int, *keep: str) -> DataFrame:
     )
 
 
-def pairwise_cosine(weights: DataFrame, key: str, min_similarity: float = 0.5) -> DataFrame:
-    """``(book1, book2, similarity)`` of the pairs ``book1 < book2`` of at least ``min_similarity``.
+def _suffixes(weights: DataFrame, key: str) -> DataFrame:
+    """``(key, word, unit, left, rest)``, written once.
 
-    The threshold is part of the question; without it the answer grows with the square of the
-    documents. It also bounds the work. Words are taken from the rarest on. What is left of a unit
-    vector once the length of the rest is below the threshold cannot reach it alone, so two
-    similar documents share a word in the parts before. Only those parts meet, in an
-    equi-join; pairs whose shared part and greatest possible rest stay below the threshold go
-    at once. For the others, the products in the tails are added.
+    Words are taken from the rarest on. ``left`` is the length of a unit vector from a word on, ``rest``
+    the length after it.
     """
-    if not min_similarity > 0:
-        raise ValueError("min_similarity must be above 0")
-    # Half a published place, so that rounding up to the threshold is not lost.
-    least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
-    units = _unit_weights(weights, key)
     square = F.col("unit") ** 2
     # From the end on, as Spark adds up a frame that grows, but starts anew on one that shrinks.
     onward = Window.partitionBy(key).orderBy(F.desc("doc_freq"), F.desc("word"))
     onward = onward.rowsBetween(Window.unboundedPreceding, 0)
-    cut = (
-        units.withColumn("left", F.sum(square).over(onward))
-        .withColumn("leads", F.col("left") >= least * least)
-        .withColumn("rest", F.sqrt(F.greatest(F.col("left") - square, F.lit(0.0))))
+    cut = _unit_weights(weights, key).withColumn("squares", F.sum(square).over(onward))
+    # Two plans may add up a length in two orders; the products below must be told apart alike in both.
+    return written(
+        cut.select(
+            key,
+            "word",
+            "unit",
+            F.sqrt("squares").alias("left"),
+            F.sqrt(F.greatest(F.col("squares") - square, F.lit(0.0))).alias("rest"),
+        ),
+        "suffixes",
+    )
+
+
+def _parted(postings: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
+    """Add ``part``, and ``partners``: the parts of the same word that a posting has to meet.
+
+    The postings of a word with more than ``postings_per_part`` of them are cut by ``left`` into bands,
+    and these by a hash into parts of that size. A part is known by its greatest ``left``: a posting meets only parts
+    where the product reaches ``least``. The parts of the words so cut are broadcast, one array a word; their number is at
+    most ``MOST_PARTS`` and a few for each such word, as parts grow with the postings from there on.
+    """
+    bands = postings.groupBy("word", F.floor(F.col("left") * LEFT_BANDS).cast("int").alias("band")).agg(
+        F.count("*").alias("postings"), F.max("left").alias("longest")
+    )
+    total = bands.agg(F.sum("postings")).scalar()
+    size = F.greatest(F.lit(postings_per_part), F.ceil(F.coalesce(total, F.lit(0)) / MOST_PARTS))
+    hot = (
+        bands.withColumn("salts", F.sequence(F.lit(0), F.ceil(F.col("postings") / size).cast("int") - 1))
+        .groupBy("word")
+        .agg(
+            F.sum("postings").alias("postings"),
+            F.flatten(
+                F.collect_list(F.transform("salts", lambda salt: F.struct("band", salt.alias("salt"), "longest")))
+            ).alias("parts"),
+        )
+        .where(F.col("postings") > size)
+        .select("word", "parts")
+    )
+    band = F.floor(F.col("left") * LEFT_BANDS).cast("int")
+    salts = F.size(F.filter("parts", lambda part: part["band"] == band))
+    within = F.filter("parts", lambda part: part["longest"] * F.col("left") >= least)
+    alone = F.struct(F.lit(0).alias("band"), F.lit(0).alias("salt"))
+    own = F.struct(band.alias("band"), F.pmod(F.xxhash64(key), salts).cast("int").alias("salt"))
+    met = F.transform(within, lambda part: F.struct(part["band"].alias("band"), part["salt"].alias("salt")))
+    cut = F.col("parts").isNotNull()
+    return (
+        postings.join(F.broadcast(hot), "word", "left")
+        .withColumn("part", F.when(cut, own).otherwise(alone))
+        .withColumn("partners", F.when(cut, met).otherwise(F.array(alone)))
+        .drop("parts")
     )
-    tails = cut.where(~F.col("leads"))
-    # The length of all that follows a document's last leading word.
-    ends = Window.partitionBy(key)
-    leading = cut.where("leads").withColumn("end", F.min("rest").over(ends))
-    # Beyond the last leading word that a pair shares, it shares none before one of the two
-    # documents' ends. From there on, no product exceeds that of the lengths that are left.
-    shared = F.sum(F.col("unit1") * F.col("unit2"))
-    beyond = F.greatest(F.min("end1") * F.min("rest2"), F.min("rest1") * F.min("end2"))
-    met = (
-        _named(leading, key, 1, "unit", "rest", "end")
-        .join(_named(leading, key, 2, "unit", "rest", "end"), "word")
-        .where("book1 < book2")
+
+
+def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
+    """``(book1, book2, dot)``: pairs that can reach ``least``, with the products that led to them."""
+    leading = _parted(suffixes.where(F.col("left") >= least), key, least, postings_per_part)
+    carried = ["unit", "left", "rest"]
+    first = _named(leading, key, 1, *carried, "part", "partners").withColumnRenamed("part1", "side1")
+    second = _named(leading, key, 2, *carried, "part", "partners").withColumnRenamed("part2", "side2")
+    first = first.withColumn("side2", F.explode("partners1")).drop("partners1")
+    second = second.withColumn("side1", F.explode("partners2")).drop("partners2")
+    beyond = F.min(F.col("rest1") * F.col("rest2"))
+    return (
+        first.join(second, ["word", "side1", "side2"])
+        .where((F.col("book1") < F.col("book2")) & (F.col("left1") * F.col("left2") >= least))
         .groupBy("book1", "book2")
-        .agg(shared.alias("dot"), beyond.alias("beyond"))
+        .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"), beyond.alias("beyond"))
         .where(F.col("dot") + F.col("beyond") >= least)
         .select("book1", "book2", "dot")
     )
-    names = met.select("book1", "book2")
-    product = (F.col("unit1") * F.col("unit2")).alias("dot")
-    # What is still missing has a word in at least one tail.
-    first_tail = (
-        names.join(_named(tails, key, 1, "unit"), "book1")
-        .join(_named(units, key, 2, "unit"), ["book2", "word"])
-        .select("book1", "book2", product)
-    )
-    second_tail = (
-        names.join(_named(tails, key, 2, "unit"), "book2")
-        .join(_named(leading, key, 1, "unit"), ["book1", "word"])
-        .select("book1", "book2", product)
+
+
+def pairwise_cosine(
+    weights: DataFrame, key: str, min_similarity: float = 0.5, postings_per_part: int = POSTINGS_PER_PART
+) -> DataFrame:
+    """``(book1, book2, similarity)`` of the pairs ``book1 < book2`` of at least ``min_similarity``.
+
+    The threshold is part of the question; without it the answer grows with the square of the
+    documents. It also bounds the work. Words are taken from the rarest on. From the first word that two documents share, no
+    more can come together than the product of the lengths that are left of their unit vectors. So postings
+    of a word meet only where that product reaches the threshold: the first shared word of every similar pair
+    is among them. Long posting lists are cut into parts of bounded size, by that length, and
+    parts whose greatest lengths stay below the threshold never meet. Pairs whose products so far and
+    greatest possible rest stay below the threshold go at once. For the others, the products that are
+    missing are added.
+    """
+    if not min_similarity > 0:
+        raise ValueError("min_similarity must be above 0")
+    # Half a published place, so that rounding up to the threshold is not lost.
+    least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
+    suffixes = _suffixes(weights, key)
+    met = _candidates(suffixes, key, least, postings_per_part)
+    missing = (
+        met.select("book1", "book2")
+        .join(_named(suffixes, key, 1, "unit", "left"), "book1")
+        .join(_named(suffixes, key, 2, "unit", "left"), ["book2", "word"])
+        .where(F.col("left1") * F.col("left2") < least)
+        .select("book1", "book2", (F.col("unit1") * F.col("unit2")).alias("dot"))
     )
-    dots = met.unionByName(first_tail).unionByName(second_tail).groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
+    dots = met.unionByName(missing).groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
     # Rounding can lift the cosine of equal directions a little above 1.
     cosine = dots.select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
     return cosine.where(F.round("similarity", PLACES) >= min_similarity)
 
 
-def similar_documents(weights: DataFrame, key: str, min_similarity: float = 0.8) -> DataFrame:
-    """``(key, class_id, links)``, one row per document with weights.
-
-    Documents with the same vector make a class, named by its first one; links counts all other
-    documents of at least ``min_similarity``. Only the classes' first documents are paired, so copies,
-    however many, cost one row each.
-    """
+def _signed(weights: DataFrame, key: str) -> DataFrame:
+    """``(key, words, sign0, sign1)``: equal for documents with the same vector, and only for these."""
     mixed = [F.xxhash64("word", "tfidf"), F.xxhash64("tfidf", "word")]
-    signs = (
+    return (
         weights.groupBy(key)
         .agg(
             F.count_if(F.col("tfidf") != 0).alias("words"),
@@ -146,6 +206,16 @@ def similar_documents(weights: DataFrame, key: str, min_similarity: float = 0.8)
         # A document without any weight is like no other.
         .withColumn("sign1", F.when(F.col("words") > 0, F.col("sign1")).otherwise(F.xxhash64(key)))
     )
+
+
+def similar_documents(weights: DataFrame, key: str, min_similarity: float = 0.8) -> DataFrame:
+    """``(key, class_id, links)``, one row per document with weights.
+
+    Documents with the same vector make a class, named by its first one; links counts all other
+    documents of at least ``min_similarity``. Only the classes' first documents are paired, so copies,
+    however many, cost one row each.
+    """
+    signs = _signed(weights, key)
     sign = ["words", "sign0", "sign1"]
     classes = signs.groupBy(*sign).agg(F.min(key).alias("class_id"), F.count("*").alias("members"))
     first = classes.select(F.col("class_id").alias(key))
@@ -168,21 +238,50 @@ def _published(similarities: DataFrame) -> DataFrame:
     return similarities.withColumn("similarity", F.round("similarity", PLACES))
 
 
-def most_similar_pairs(
-    weights: DataFrame, key: str, n: int = 10, min_similarity: float = 0.5
-) -> DataFrame:
+def _first_copies(weights: DataFrame, key: str, n: int) -> DataFrame:
+    """The weights of the ``n`` first documents of each class of equal vectors."""
+    place = F.row_number().over(Window.partitionBy("words", "sign0", "sign1").orderBy(key))
+    first = _signed(weights, key).withColumn("place", place).where(F.col("place") <= n)
+    return weights.join(first.select(key), key, "left_semi")
+
+
+def _bound_of_best(weights: DataFrame, key: str, n: int) -> float:
+    """A similarity that at least ``n`` pairs reach, or the least published one.
+
+    Of every word, the two documents where it weighs most are a pair; its products over all such words add up to no
+    more than the pair's similarity. The best of these pairs are then worked out.
+    """
+    units = _unit_weights(weights, key)
+    heavy = Window.partitionBy("word").orderBy(F.desc("unit"), key)
+    tops = units.withColumn("place", F.row_number().over(heavy)).where("place <= 2")
+    two = F.array_sort(F.collect_list(key))
+    seeds = (
+        tops.groupBy("word")
+        .agg(two.alias("books"), F.product("unit").alias("product"))
+        .where(F.size("books") == 2)
+        .groupBy(F.col("books")[0].alias("book1"), F.col("books")[1].alias("book2"))
+        .agg(F.sum("product").alias("reached"))
+        .orderBy(F.desc("reached"))
+        .limit(SEEDS * n)
+    )
+    seeds = F.broadcast(written(seeds.select("book1", "book2"), "seeds"))
+    first = seeds.join(_named(units, key, 1, "unit"), "book1")
+    second = seeds.join(_named(units, key, 2, "unit"), "book2")
+    dots = first.join(second, ["book1", "book2", "word"]).groupBy("book1", "book2")
+    best = dots.agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot")).orderBy(F.desc("dot")).limit(n).collect()
+    # One place less, as sums in another order may be rounded to the next one.
+    return max(round(best[-1].dot, PLACES) - LEAST_PUBLISHED, LEAST_PUBLISHED) if len(best) == n else LEAST_PUBLISHED
+
+
+def most_similar_pairs(weights: DataFrame, key: str, n: int = 10) -> DataFrame:
     """The ``n`` highest pairs, ties by names; fewer where fewer are above 0.
 
-    Looks for pairs of at least ``min_similarity``, and lowers that only while they are fewer than ``n``.
+    Pairs that share a heavy word give a bound that the answer reaches; one join with that threshold gives
+    the answer. Of documents with the same vector, the ``n + 1`` first ones make all the pairs that can come out.
     """
-    threshold = min_similarity
-    while True:
-        best = _published(pairwise_cosine(weights, key, threshold))
-        best = best.orderBy(F.desc("similarity"), "book1", "book2").limit(n)
-        rows = best.collect()
-        if len(rows) == n or threshold <= LEAST_PUBLISHED:
-            return weights.sparkSession.createDataFrame(rows, best.schema)
-        threshold = threshold / 10 if threshold > 0.05 else LEAST_PUBLISHED
+    weights = written(_first_copies(weights, key, n + 1), "first-copies")
+    pairs = _published(pairwise_cosine(weights, key, _bound_of_best(weights, key, n)))
+    return pairs.orderBy(F.desc("similarity"), "book1", "book2").limit(n)
 
 
 def least_similar_pairs(
@@ -190,34 +289,59 @@ def least_similar_pairs(
 ) -> DataFrame:
     """The ``n`` lowest pairs, ties by names.
 
-    Pairs at 0 lead, in order of their names. So the first documents by name, as a stated set of
-    queries, are compared with all others; if that gives ``n`` pairs at 0, no other pair
-    can come before them. Otherwise the set is doubled.
+    Pairs at 0 lead, in order of their names. Documents are taken by name in blocks, each block compared with
+    all documents that follow. A document that reaches fewer than follow it has partners at 0; the first
+    ``n`` such documents of a block hold its first ``n`` pairs at 0, found by an anti-join. As soon as there are ``n`` of
+    them no later pair can come before. Blocks double, and no pair is compared twice; only where fewer than ``n`` pairs
+    are at 0 are all compared. Of each block, at most ``n`` pairs at 0 and ``n`` above reach the driver.
     """
-    spark = weights.sparkSession
     units = _unit_weights(weights, key)
-    keys = weights.select(key).distinct()
-    while True:
-        names = [row[0] for row in keys.orderBy(key).limit(first_documents).collect()]
-        array = F.array(*[F.lit(name) for name in names]).cast(T.ArrayType(weights.schema[key].dataType))
-        wanted = units.where(F.array_contains(array, F.col(key)))
+    keys = numbered(weights.select(key).distinct(), [key], "rank")
+    others = keys.select(F.col(key).alias("book2"), F.col("rank").alias("rank2"))
+    total = keys.count()
+    schema = T.StructType(
+        [
+            T.StructField("book1", weights.schema[key].dataType),
+            T.StructField("book2", weights.schema[key].dataType),
+            T.StructField("similarity", T.DoubleType()),
+        ]
+    )
+    lowest, at_zero, low = [], 0, 0
+    while low < total - 1 and at_zero < n:
+        high = min(low + first_documents, total - 1)
+        block = keys.where((F.col("rank") >= low) & (F.col("rank") < high))
+        wanted = _named(units.join(block.select(key), key, "left_semi"), key, 1, "unit")
         dots = (
-            _named(wanted, key, 1, "unit")
-            .join(_named(units, key, 2, "unit"), "word")
+            wanted.join(_named(units, key, 2, "unit"), "word")
             .where("book1 < book2")
             .groupBy("book1", "book2")
             .agg(F.least(F.sum(F.col("unit1") * F.col("unit2")), F.lit(1.0)).alias("similarity"))
         )
-        pairs = keys.select(F.explode(array).alias("book1"), F.col(key).alias("book2")).where("book1 < book2")
-        lowest = _published(pairs.join(dots, ["book1", "book2"], "left").na.fill(0.0, ["similarity"]))
-        lowest = lowest.orderBy("similarity", "book1", "book2").limit(n)
-        rows = lowest.collect()
-        if len(names) < first_documents or (len(rows) == n and rows[-1].similarity == 0):
-            return spark.createDataFrame(rows, lowest.schema)
-        first_documents *= 2
+        met = written(_published(dots).where("similarity > 0"), "met")
+        reached = met.groupBy("book1").agg(F.count("*").alias("reached"))
+        lacking = (
+            block.select(F.col(key).alias("book1"), F.col("rank").alias("rank1"))
+            .join(reached, "book1", "left")
+            .where(F.coalesce("reached", F.lit(0)) < total - 1 - F.col("rank1"))
+            .orderBy("rank1")
+            .limit(n)
+        )
+        few = lacking.agg(F.collect_list(F.struct("book1", "rank1"))).scalar()
+        zeros = (
+            others.select("book2", "rank2", F.inline(few))
+            .where("rank1 < rank2")
+            .join(met, ["book1", "book2"], "left_anti")
+            .select("book1", "book2", F.lit(0.0).alias("similarity"))
+        )
+        for pairs in (zeros, met):
+            lowest += pairs.orderBy("similarity", "book1", "book2").limit(n).collect()
+        at_zero = sum(row.similarity == 0 for row in lowest)
+        low, first_documents = high, 2 * first_documents
+    found = weights.sparkSession.createDataFrame(lowest, schema)
+    return found.orderBy("similarity", "book1", "book2").limit(n)
 
 
-def similarity_stats(weights: DataFrame, key: str, min_similarity: float = 0.5) -> DataFrame:
+def similarity_stats(weights: DataFrame, key: str) -> DataFrame:
     """One row: average, least and greatest similarity over all pairs of documents.
 
     No pair is made for the average: over unit vectors, the products of all pairs and of
@@ -228,7 +352,7 @@ def similarity_stats(weights: DataFrame, key: str, min_similarity: float = 0.5)
     total = squares.agg(F.coalesce(F.sum("square"), F.lit(0.0))).scalar()
     own = units.agg(F.coalesce(F.sum(F.col("unit") ** 2), F.lit(0.0))).scalar()
     least = least_similar_pairs(weights, key, 1).agg(F.min("similarity")).scalar()
-    greatest = most_similar_pairs(weights, key, 1, min_similarity).agg(F.max("similarity")).scalar()
+    greatest = most_similar_pairs(weights, key, 1).agg(F.max("similarity")).scalar()
     pairs = F.col("documents") * (F.col("documents") - 1) / 2
     return weights.agg(F.count_distinct(key).alias("documents")).select(
         F.when(pairs > 0, F.greatest((total - own) / 2, F.lit(0.0)) / pairs).alias("average_similarity"),

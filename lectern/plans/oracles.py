@@ -439,6 +439,8 @@ EDGES = """edges AS (SELECT a.author AS influencer, b.author AS influenced,
   FROM known a JOIN known b ON a.author <> b.author
     AND year(b.date) - year(a.date) BETWEEN 1 AND 5)"""
 
+ACTIVE = """active AS (SELECT author, CAST(year(date) AS INTEGER) AS year, count(*) AS dates FROM known GROUP BY ALL)"""
+
 NETWORK_CTES = [BOOKS_BY, RECORDS, DATES, EDGES]
 
 DEGREES = """degrees AS (SELECT author, CAST(sum(incoming) AS BIGINT) AS in_degree,
@@ -457,9 +459,26 @@ NETWORK = {
     "author_date": with_ctes(BOOKS, RECORDS, select="SELECT * FROM records"),
     "author_dates": with_ctes(BOOKS_BY, RECORDS, DATES, select="SELECT * FROM known"),
     "influence_edges": with_ctes(
+        *NETWORK_CTES,
+        ACTIVE,
+        select="""SELECT a.year AS earlier_year, a.dates AS earlier_dates, b.year AS later_year, b.dates AS later_dates,
+            CAST(b.year - a.year AS INTEGER) AS year_difference, count(*) AS pairs,
+            CAST(sum(a.dates * b.dates) AS BIGINT) AS edges
+          FROM active a JOIN active b ON a.author <> b.author AND b.year - a.year BETWEEN 1 AND 5 GROUP BY ALL""",
+    ),
+    "influence_members": with_ctes(
+        *NETWORK_CTES,
+        ACTIVE,
+        select="""SELECT a.author, a.year, a.dates, count(*) FILTER (WHERE b.year > a.year) AS out_links,
+            count(*) FILTER (WHERE b.year < a.year) AS in_links
+          FROM active a LEFT JOIN active b ON a.author <> b.author AND abs(b.year - a.year) BETWEEN 1 AND 5
+          GROUP BY a.author, a.year, a.dates""",
+    ),
+    "influence_of_author": with_ctes(
         *NETWORK_CTES,
         select="""SELECT influencer, influenced, later_year, year_difference, count(*) AS edges
-          FROM edges GROUP BY influencer, influenced, later_year, year_difference""",
+          FROM edges WHERE (SELECT min(author) FROM known) IN (influencer, influenced)
+          GROUP BY influencer, influenced, later_year, year_difference""",
     ),
     "influencer_stats": with_ctes(*NETWORK_CTES, select=end_stats("influencer", "influence_count")),
     "influenced_stats": with_ctes(*NETWORK_CTES, select=end_stats("influenced", "times_influenced")),

@@ -14,7 +14,7 @@ from lectern.operators import cleaning, metadata, network, similarity, terms, wo
 from lectern.plans import views
 from lectern.plans.views import books, books_by, books_marked, documents, kept_tokens, kept_weights
 from lectern.sources import sinks, text
-from lectern.sources.scratch import scratch_path
+from lectern.sources.scratch import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,13 +274,11 @@ def similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def most_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = kept_weights(spark, sf_dir, "source")
-    return similarity.most_similar_pairs(weights, "source", min_similarity=SOURCE_SIMILARITY)
+    return similarity.most_similar_pairs(kept_weights(spark, sf_dir, "source"), "source")
 
 
 def similarity_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = kept_weights(spark, sf_dir, "source")
-    stats = similarity.similarity_stats(weights, "source", SOURCE_SIMILARITY)
+    stats = similarity.similarity_stats(kept_weights(spark, sf_dir, "source"), "source")
     return rounded(stats, average_similarity=4, min_similarity=4, max_similarity=4)
 
 
@@ -310,7 +308,17 @@ def author_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def influence_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return network.influence_edges(author_dates(spark, sf_dir))
+    return network.influence_classes(written(author_dates(spark, sf_dir), "dates"))
+
+
+def influence_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return network.influence_members(author_dates(spark, sf_dir))
+
+
+def influence_of_author(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dates = written(author_dates(spark, sf_dir), "dates")
+    classes, members = network.influence_classes(dates), network.influence_members(dates)
+    return network.edges_of_classes(classes, members, dates.agg(F.min("author").alias("author")))
 
 
 def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,7 +350,7 @@ QUERIES: dict[str, Query] = {
         tf_idf, top_tfidf_overall, top_terms_by_tfidf,
         vocabulary, vocabulary_size, tfidf_vectors, pairwise_cosine, most_similar_pairs,
         similar_documents, similarity_stats, least_similar_pairs, vector_stats, find_similar,
-        author_date, author_dates, influence_edges,
+        author_date, author_dates, influence_edges, influence_members, influence_of_author,
     ]
 } | {
     "releases_per_year": _over_metadata(metadata.releases_per_year),

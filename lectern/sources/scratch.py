@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _handed_out: dict[str, list[str]] = {}
 
@@ -32,6 +32,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The same rows, read back from a table in scratch space: computed once, whoever reads them."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every folder that this application has written to scratch space.
 

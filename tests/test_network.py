@@ -82,6 +82,37 @@ def test_edges_equal_brute_force(dates, brute, authors_per_salt):
     assert counted(network.influence_edges(dates, authors_per_salt=authors_per_salt)) == brute
 
 
+def test_classes_and_members_hold_all_edges(dates, dated, brute):
+    classes, members = network.influence_classes(dates).persist(), network.influence_members(dates).persist()
+    assert counted(network.edges_of_classes(classes, members)) == brute
+    assert sum(r.edges for r in classes.collect()) == sum(brute.values())
+    rows = members.collect()
+    assert len(rows) == len({(a, d.year) for a, d in dated})
+    links = Counter()
+    for a, b, y1, y2 in {(a, b, d1.year, d2.year) for a, d1 in dated for b, d2 in dated if a != b and 1 <= d2.year - d1.year <= 5}:
+        links[a, y1, "out"] += 1
+        links[b, y2, "in"] += 1
+    assert all((r.out_links, r.in_links) == (links[r.author, r.year, "out"], links[r.author, r.year, "in"]) for r in rows)
+    assert sum(r.out_links for r in rows) == sum(r.pairs for r in classes.collect())
+
+
+def test_edges_of_some_authors(spark, dates, brute):
+    classes, members = network.influence_classes(dates), network.influence_members(dates)
+    some = spark.createDataFrame([("a1",), ("first",), ("nobody",), ("a1",)], "author string")
+    got = counted(network.edges_of_classes(classes, members, some))
+    assert got == Counter({edge: n for edge, n in brute.items() if {"a1", "first"} & set(edge[:2])})
+
+
+def test_classes_do_not_grow_with_the_authors(spark):
+    rows = [(f"c{i}", datetime.date(1950 + i % 4, 1, 1 + i % 2)) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "author string, date date")
+    classes = network.influence_classes(frame, 2).collect()
+    assert {(r.earlier_year, r.later_year, r.pairs, r.edges) for r in classes} == {
+        (1950 + y, 1950 + y + gap, 10**6, 10**6) for y in range(4) for gap in (1, 2) if y + gap < 4
+    }
+    assert network.influence_members(frame).count() == 4000
+
+
 def test_threshold(dates, brute):
     edges = network.influence_edges(dates, years_threshold=2)
     assert counted(edges) == Counter({edge: n for edge, n in brute.items() if edge[2] <= 2})
@@ -150,6 +181,7 @@ def test_stats_equal_pandas(dates, brute):
 def test_no_dates_make_no_network(spark):
     none = spark.createDataFrame([], "author string, date date")
     assert network.influence_edges(none).isEmpty()
+    assert network.influence_classes(none).isEmpty() and network.influence_members(none).isEmpty()
     summary = network.network_summary(network.author_gaps(none)).first()
     assert (summary.unique_authors, summary["count"], summary["mean"]) == (0, 0, None)
 

@@ -56,9 +56,9 @@ def pairs(frame):
     return found
 
 
-@pytest.mark.parametrize("least", [0.0001, 0.1, 0.5, 1.0])
-def test_cosine_equals_brute_force(weights, brute, least):
-    got = pairs(similarity.pairwise_cosine(weights, "doc", least))
+@pytest.mark.parametrize("least, part", [(0.0001, 20_000), (0.1, 20_000), (0.1, 2), (0.5, 1), (0.5, 3), (0.9, 2), (1.0, 20_000)])
+def test_cosine_equals_brute_force(weights, brute, least, part):
+    got = pairs(similarity.pairwise_cosine(weights, "doc", least, postings_per_part=part))
     want = {pair: value for pair, value in brute.items() if round(value, 4) >= least}
     assert got.keys() == want.keys() and want
     assert all(got[pair] == pytest.approx(want[pair], abs=1e-12) for pair in want)
@@ -92,10 +92,39 @@ def test_parts_before_the_rest_are_all_that_meets(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_long_posting_lists_are_cut(spark):
+    """Different texts of common words alone: every list is long, and no part of one is."""
+    chance = random.Random(11)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(f"d{i:03d}", [w for w in words for _ in range(chance.randrange(1, 9)) if chance.random() < 0.9]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
+    weights = terms.tf_idf(frame, "doc").persist()
+    suffixes = similarity._suffixes(weights, "doc")
+    leading = suffixes.where("left >= 0.9")
+    parted = similarity._parted(leading, "doc", 0.9, 20)
+    own = [r["count"] for r in parted.groupBy("word", "part").count().collect()]
+    assert sum(own) == leading.count() and max(own) <= 45 and len(own) > 25
+    # Parts that cannot reach the threshold together never meet.
+    whole = similarity._parted(leading, "doc", 0.0, 20)
+    meetings = [sum(len(r.partners) for r in f.select("partners").collect()) for f in (parted, whole)]
+    assert meetings[0] < 0.9 * meetings[1]
+    cut = pairs(similarity.pairwise_cosine(weights, "doc", 0.9, postings_per_part=20))
+    assert cut == pytest.approx(pairs(similarity.pairwise_cosine(weights, "doc", 0.9))) and len(cut) > 100
+
+
+def test_copies_do_not_multiply(spark):
+    rows = [(f"c{i:04d}", ["same", "text", "here"]) for i in range(3000)] + [("e1", ["same", "other"]), ("e2", ["same", "other", "more"])]
+    frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
+    weights = terms.tf_idf(frame, "doc").persist()
+    assert similarity._first_copies(weights, "doc", 5).select("doc").distinct().count() == 7
+    top = [tuple(r) for r in similarity.most_similar_pairs(weights, "doc", 4).collect()]
+    assert top == [("c0000", f"c000{i}", 1.0) for i in range(1, 5)]
+
+
 def test_rankings(weights, brute):
-    for start in (0.9, 0.05):
-        top = [(r.book1, r.book2) for r in similarity.most_similar_pairs(weights, "doc", 4, start).collect()]
-        assert top == sorted(brute, key=lambda pair: (-round(brute[pair], 4), pair))[:4]
+    for n in (1, 4, 30):
+        top = [(r.book1, r.book2) for r in similarity.most_similar_pairs(weights, "doc", n).collect()]
+        assert top == sorted(brute, key=lambda pair: (-round(brute[pair], 4), pair))[:n]
     assert top[:3] == [("copy1", "copy2"), ("copy1", "d15"), ("copy2", "d15")]
     for first in (3, 100):
         low = [(r.book1, r.book2) for r in similarity.least_similar_pairs(weights, "doc", 25, first).collect()]
@@ -109,6 +138,28 @@ def test_all_pairs_rank_when_too_few_are_at_zero(weights, brute):
     assert similarity.most_similar_pairs(weights, "doc", 1000).count() == len(positive)
 
 
+@pytest.mark.parametrize("n", [1, 5, 200])
+def test_lowest_pairs_where_all_documents_share_a_word(spark, n):
+    """No pair is at 0 but those of the last documents, which only the last block finds."""
+    chance = random.Random(5)
+    rows = [(f"d{i:02d}", ["shared"] + chance.choices(["a", "b", "c", "d", "e"], k=4)) for i in range(18)]
+    rows += [("x1", ["lone"]), ("x2", ["single"])]
+    frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
+    weights = terms.tf_idf(frame, "doc").persist()
+    units = {}
+    for r in similarity._unit_weights(weights, "doc").collect():
+        units.setdefault(r.doc, {})[r.word] = r.unit
+    value = {
+        (a, b): round(sum(units[a][w] * units[b][w] for w in units[a].keys() & units[b].keys()), 4)
+        for a, b in itertools.combinations(sorted(d for d, _ in rows), 2)
+    }
+    got = [(r.book1, r.book2) for r in similarity.least_similar_pairs(weights, "doc", n, 3).collect()]
+    assert got == sorted(value, key=lambda pair: (value[pair], pair))[:n]
+    got = [(r.book1, r.book2) for r in similarity.least_similar_pairs(weights.where("doc < 'x'"), "doc", n, 3).collect()]
+    inner = {p: v for p, v in value.items() if p[1] < "x"}
+    assert got == sorted(inner, key=lambda pair: (inner[pair], pair))[:n] and min(inner.values()) > 0
+
+
 def test_stats_need_no_pairs(weights, brute):
     got = similarity.similarity_stats(weights, "doc").first()
     assert tuple(got) == pytest.approx((sum(brute.values()) / len(brute), 0.0, 1.0))
