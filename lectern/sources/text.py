@@ -1,6 +1,8 @@
 """Scans of a folder of ``.txt`` files.
 
-As in every Spark file source, a file of no bytes gives no row.
+A file of no bytes has no line. As a document, it is a row like any other: Spark's file sources leave it out,
+so it comes from a listing made in tasks (``folders``). That reads local and shared folders and the stores that
+Arrow knows; for others pass ``empty_files=False``, and such files are left out.
 """
 
 from __future__ import annotations
@@ -8,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.sources import folders
+
 Paths = str | list[str]
 
 TXT = "*.txt"
@@ -50,6 +54,14 @@ def file_key(pattern: str | None = None) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
 
 
+def _listed_key(pattern: str | None) -> Column:
+    """The same from a listed path."""
+    if pattern is None:
+        # In a path, a plus sign is no blank.
+        return F.url_decode(F.replace(F.regexp_extract("path", "[^/]*$", 0), F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract("path", pattern, 1)
+
+
 def with_file_name(scan: DataFrame, pattern: str | None = None) -> DataFrame:
     """Add ``file_name``, the name of a row's input file without ``.txt``.
 
@@ -60,12 +72,14 @@ def with_file_name(scan: DataFrame, pattern: str | None = None) -> DataFrame:
     return scan.withColumn("file_name", F.regexp_replace(name, r"\.txt$", ""))
 
 
-def scan_documents(spark: SparkSession, path: Paths, pattern: str | None = None) -> DataFrame:
-    """One row ``(file_name, text, size_bytes)`` per ``.txt`` file that is valid UTF-8.
+def scan_documents(
+    spark: SparkSession, path: Paths, pattern: str | None = None, empty_files: bool = True
+) -> DataFrame:
+    """One row ``(file_name, text, size_bytes)`` per ``.txt`` file that is valid UTF-8, empty ones included.
 
     Line ends become LF. ``skipped_documents`` lists the files left out.
     """
-    return (
+    found = (
         _whole_files(spark, path, pattern)
         .where(F.is_valid_utf8(F.col("content").cast("string")))
         .select(
@@ -74,6 +88,14 @@ def scan_documents(spark: SparkSession, path: Paths, pattern: str | None = None)
             F.col("length").alias("size_bytes"),
         )
     )
+    if not empty_files:
+        return found
+    empty = folders.empty_files(spark, path, ".txt")
+    return found.unionByName(
+        empty.select(
+            _listed_key(pattern).alias("file_name"), F.lit("").alias("text"), F.lit(0).cast("long").alias("size_bytes")
+        )
+    )
 
 
 def skipped_documents(spark: SparkSession, path: Paths, pattern: str | None = None) -> DataFrame:
@@ -85,13 +107,15 @@ def skipped_documents(spark: SparkSession, path: Paths, pattern: str | None = No
     )
 
 
-def source_listing(spark: SparkSession, path: Paths, pattern: str | None = None) -> DataFrame:
-    """Name and size in MB of every input file; contents are not read."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
-        file_key(pattern).alias("file_name"),
-        megabytes(F.col("length")).alias("size_mb"),
-    )
+def source_listing(
+    spark: SparkSession, path: Paths, pattern: str | None = None, empty_files: bool = True
+) -> DataFrame:
+    """Name and size in MB of every input file, empty ones included; contents are not read."""
+    if empty_files:
+        files, name = folders.folder_listing(spark, path), _listed_key(pattern)
+    else:
+        files, name = spark.read.format("binaryFile").load(path), file_key(pattern)
+    return files.select(name.alias("file_name"), megabytes(F.col("length")).alias("size_mb"))
 
 
 def megabytes(size_bytes: Column) -> Column:

@@ -1,10 +1,12 @@
+from urllib.parse import unquote
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lectern.operators import network, wordcount
 from lectern.plans import views
-from lectern.sources import scratch, sinks, tables, text
+from lectern.sources import folders, scratch, sinks, tables, text
 
 
 @pytest.fixture
@@ -59,8 +61,59 @@ def test_source_listing_lists_every_file(spark, sample, tmp_path):
 
 
 def test_source_listing_reads_no_content(spark, sample):
-    plan = text.source_listing(spark, sample)._jdf.queryExecution().toString()
+    plan = text.source_listing(spark, sample, empty_files=False)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<length:bigint>" in plan
+    assert "content" not in text.source_listing(spark, sample)._jdf.queryExecution().toString()
+
+
+@pytest.fixture
+def volumes(tmp_path):
+    """Files of no bytes beside others, in folders that Spark enters and in others."""
+    made = {
+        "a.txt": "text", "none.txt": "", "a b+ü%.txt": "", "none.md": "", "k=1/none.txt": "", "k=1/j=x/deep.txt": "",
+        "k=2/b.txt": "more", "other/none.txt": "", "_hidden.txt": "", ".dot.txt": "", "_k=3/c.txt": "",
+    }
+    for name, content in made.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(content)
+    return tmp_path
+
+
+LISTED = {"a.txt", "none.txt", "a b+ü%.txt", "none.md", "k=1/none.txt", "k=1/j=x/deep.txt", "k=2/b.txt", "_k=3/c.txt"}
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_listing_shows_every_file_once(spark, volumes, tasks):
+    rows = folders.folder_listing(spark, str(volumes), tasks).collect()
+    got = {unquote(r.path.removeprefix(f"file://{volumes}/")): r.length for r in rows}
+    assert len(rows) == len(got) == len(LISTED)
+    assert got == {name: len((volumes / name).read_bytes()) for name in LISTED}
+
+
+def test_listing_takes_lists_uris_and_wildcards(spark, volumes):
+    def names(path):
+        return sorted(r.path.rsplit("/", 1)[1] for r in folders.folder_listing(spark, path, 2).collect())
+
+    assert names([str(volumes / "k=2"), f"file://{volumes}/a.txt"]) == ["a.txt", "b.txt"]
+    assert names(f"{volumes}/k=[12]") == ["b.txt", "deep.txt", "none.txt"]
+    assert names(f"file:{volumes}/k=?/*.txt") == ["b.txt", "none.txt"]
+    assert names(f"{volumes}/nothing*") == []
+
+
+def test_empty_files_are_documents(spark, volumes):
+    flat = volumes / "other"
+    (flat / "full.txt").write_text("words")
+    got = {tuple(r) for r in text.scan_documents(spark, str(flat)).collect()}
+    assert got == {("none.txt", "", 0), ("full.txt", "words", 5)}
+    assert {tuple(r) for r in text.source_listing(spark, str(flat)).collect()} == {("none.txt", 0.0), ("full.txt", 0.0)}
+    without = text.scan_documents(spark, str(flat), empty_files=False)
+    assert [r.file_name for r in without.collect()] == ["full.txt"]
+    record = network.author_date(text.scan_documents(spark, str(flat))).where("file_name = 'none.txt'").first()
+    assert tuple(record) == ("none.txt", "Unknown", "Unknown", 0.0)
+    keyed = text.scan_documents(spark, str(volumes / "k=1"), r"k=([0-9]+)/").collect()
+    assert {r.file_name for r in keyed} == {"1"} and len(keyed) == 2
+    odd = text.source_listing(spark, f"{volumes}/a*").collect()
+    assert {r.file_name for r in odd} == {"a.txt", "a b+ü%.txt"}
 
 
 def test_split_sizes_cut_the_scan_and_leave_the_session_alone(spark, tmp_path):
