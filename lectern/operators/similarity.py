@@ -19,6 +19,9 @@ from lectern.sources.scratch import written
 # A target document of at most this many words is broadcast.
 MAX_TARGET_WORDS = 200_000
 
+# Indices to a chunk of a vector.
+CHUNK_SIZE = 65_536
+
 PLACES = 4
 LEAST_PUBLISHED = 10**-PLACES
 
@@ -44,21 +47,35 @@ def vocabulary_size(words: DataFrame) -> DataFrame:
     return words.agg(F.count_distinct("word").alias("dimensions"))
 
 
+def tfidf_vector_chunks(weights: DataFrame, key: str, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+    """``(key, chunk, indices, values)``: sparse vectors cut by ranges of ``chunk_size`` indices.
+
+    Takes weights made ``with_index``. No row holds more than ``chunk_size`` entries, whatever a document holds.
+    """
+    entry = F.struct(F.col("index").cast("int").alias("index"), F.col("tfidf").alias("value"))
+    return (
+        weights.groupBy(key, F.floor(F.col("index") / chunk_size).cast("int").alias("chunk"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        .select(key, "chunk", F.col("entries.index").alias("indices"), F.col("entries.value").alias("values"))
+    )
+
+
 def tfidf_vectors(weights: DataFrame, key: str) -> DataFrame:
     """``(key, size, indices, values)``: one sparse vector per document, indices ascending.
 
-    Takes weights made ``with_index``. A vector is as long as its document has distinct words.
+    The chunks of a document joined to one row, which is as long as the document has distinct
+    words. Where a document may hold a vocabulary, as a source does, take ``tfidf_vector_chunks``.
     """
     size = weights.agg((F.coalesce(F.max("index"), F.lit(-1)) + 1).cast("int")).scalar()
-    entry = F.struct(F.col("index").cast("int").alias("index"), F.col("tfidf").alias("value"))
     return (
-        weights.groupBy(key)
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        tfidf_vector_chunks(weights, key)
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(F.struct("chunk", "indices", "values"))).alias("chunks"))
         .select(
             key,
             size.alias("size"),
-            F.col("entries.index").alias("indices"),
-            F.col("entries.value").alias("values"),
+            F.flatten(F.col("chunks.indices")).alias("indices"),
+            F.flatten(F.col("chunks.values")).alias("values"),
         )
     )
 

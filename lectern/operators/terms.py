@@ -12,16 +12,27 @@ counted within the row, and neither the counts nor the totals need a shuffle. Th
 counted beside it, and a key that repeats ends the job with an error: its words would be
 counted apart. Tokens are read twice by the operators that also need ``doc_freq``; give them
 written tokens, so that texts are cleaned once.
+
+A corpus that grows is better kept as a ``TermIndex``: what each document and each batch of documents
+counts is written once, as the batch is added, and the weights of all follow from these tables. A batch costs
+its own tokens; document frequencies of batches add up, and a batch can be taken out again.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.numbering import numbered
 from lectern.operators.skew import join_per_key
 from lectern.operators.wordcount import exploded
+from lectern.sources.scratch import written
+
+
+# Words of greatest tf weighed for each wanted one, before a bound is taken from them.
+FIRST_WEIGHED = 100
 
 
 def token_words(tokens: DataFrame, *keep: str) -> DataFrame:
@@ -158,7 +169,110 @@ def tf_idf(
     if with_index:
         words = numbered(words, ["word"])
     words = words.withColumn("idf", F.log(documents / F.col("doc_freq")))
-    frequencies = term_frequency(tokens, key, one_row_each)
+    return _weighted(term_frequency(tokens, key, one_row_each), words, key, with_index)
+
+
+class TermIndex(NamedTuple):
+    """Counts of documents, each one row, and of words, by batch.
+
+    ``documents``: (batch, key, total_terms, counts), with ``counts`` an array of (word, term_count).
+    ``words``: (batch, word, doc_freq, total_times_used).
+    """
+
+    key: str
+    documents: DataFrame
+    words: DataFrame
+
+
+def add_terms(index: TermIndex | None, tokens: DataFrame, key: str, batch: str) -> TermIndex:
+    """The index with one more batch, whose tokens alone are read; a new index where there is none.
+
+    Raises ``ValueError`` when the index has the batch, or one of its documents, already.
+    """
+    counted = tokens.where(F.col(key).isNull()).select(
+        key, F.lit(0).cast("long").alias("total_terms"), F.expr("CAST(array() AS array<struct<word:string,term_count:bigint>>)").alias("counts")
+    )
+    # A row without a key counts as a document, and no more.
+    counted = _counted_in_row(tokens, key).unionByName(counted)
+    documents = written(counted.select(F.lit(batch).alias("batch"), "*"), "term-documents")
+    counts = documents.select(F.inline("counts")).where("word IS NOT NULL")
+    words = written(_word_totals(counts).select(F.lit(batch).alias("batch"), "*"), "term-words")
+    if index is None:
+        return TermIndex(key, documents, words)
+    if not index.documents.where(F.col("batch") == batch).isEmpty():
+        raise ValueError(f"the index has a batch {batch!r}")
+    twice = documents.select(key).join(index.documents.select(key), key, "left_semi").first()
+    if twice:
+        raise ValueError(f"the index has a document {twice[0]!r}")
+    return TermIndex(key, index.documents.unionByName(documents), index.words.unionByName(words))
+
+
+def drop_terms(index: TermIndex, batch: str) -> TermIndex:
+    """The index without a batch."""
+    others = F.col("batch") != batch
+    return index._replace(documents=index.documents.where(others), words=index.words.where(others))
+
+
+def idf_of(index: TermIndex) -> DataFrame:
+    """``idf_stats`` of all batches."""
+    documents = index.documents.agg(F.count("*")).scalar()
+    return (
+        _merged_words(index)
+        .withColumn("docs_containing_percent", F.col("doc_freq") / documents * 100)
+        .withColumn("idf_score", F.log(documents / F.col("doc_freq")))
+    )
+
+
+def _merged_words(index: TermIndex) -> DataFrame:
+    return index.words.groupBy("word").agg(
+        F.sum("doc_freq").alias("doc_freq"), F.sum("total_times_used").alias("total_times_used")
+    )
+
+
+def tf_idf_of(index: TermIndex, with_index: bool = False) -> DataFrame:
+    """``tf_idf`` of all batches: one shuffle of the documents' words, none to count them."""
+    documents = index.documents.agg(F.count("*")).scalar()
+    words = _merged_words(index).select("word", "doc_freq")
+    if with_index:
+        words = numbered(words, ["word"])
+    words = words.withColumn("idf", F.log(documents / F.col("doc_freq")))
+    counts = _each(index.documents, F.inline("counts"), index.key, "total_terms")
+    frequencies = counts.select(index.key, "word", (F.col("term_count") / F.col("total_terms")).alias("tf"))
+    return _weighted(frequencies, words, index.key, with_index)
+
+
+def top_terms_of(index: TermIndex, n: int = 10) -> DataFrame:
+    """``top_terms_by_tfidf`` of all batches."""
+    return top_terms_by_tfidf(tf_idf_of(index), index.key, n)
+
+
+def top_tfidf_of(index: TermIndex, n: int = 10) -> DataFrame:
+    """``top_tfidf_overall`` of all batches, without weighing all words.
+
+    A weight is at most ``tf`` times the greatest idf that there is. The words of greatest ``tf`` are weighed
+    first; the ``n``-th of their weights is a bound that only words with a ``tf`` so high can pass, and those
+    alone meet the idf side.
+    """
+    words = _merged_words(index).select("word", "doc_freq")
+    documents = index.documents.agg(F.count("*")).scalar()
+    words = written(words.withColumn("idf", F.log(documents / F.col("doc_freq"))), "idf")
+    counts = _each(index.documents, F.inline("counts"), index.key, "total_terms")
+    frequencies = counts.select(index.key, "word", (F.col("term_count") / F.col("total_terms")).alias("tf"))
+
+    def best(rows: DataFrame) -> DataFrame:
+        return top_tfidf_overall(_weighted(rows, words, index.key), index.key, n)
+
+    first = written(frequencies.orderBy(F.desc("tf"), index.key, "word").limit(FIRST_WEIGHED * n), "first-weighed")
+    found = first.join(words, "word").agg(F.count("*"), F.max("idf")).first()
+    if found[0] < n:
+        return best(frequencies)
+    least = best(first).agg(F.min("tfidf")).first()[0]
+    greatest = words.agg(F.max("idf")).first()[0]
+    # A word of tf below this weighs less than what is found already; rounding apart.
+    return best(frequencies.where(F.col("tf") * greatest >= least * (1 - 1e-9)))
+
+
+def _weighted(frequencies: DataFrame, words: DataFrame, key: str, with_index: bool = False) -> DataFrame:
     weighted = join_per_key(frequencies, words, "word", weight="doc_freq", spread=key)
     return weighted.select(
         key,

@@ -356,6 +356,14 @@ SIMILARITY = {
           string_agg(CAST(CAST(tfidf AS DECIMAL(18, 6)) AS VARCHAR), ',' ORDER BY index) AS "values"
           FROM weights JOIN vocabulary USING (word) GROUP BY doc_id""",
     ),
+    "tfidf_vector_chunks": with_ctes(
+        *BY_SOURCE,
+        VOCABULARY,
+        select="""SELECT source, CAST(index // 256 AS INTEGER) AS chunk,
+          string_agg(CAST(index AS VARCHAR), ',' ORDER BY index) AS indices,
+          string_agg(CAST(CAST(tfidf AS DECIMAL(18, 6)) AS VARCHAR), ',' ORDER BY index) AS "values"
+          FROM weights JOIN vocabulary USING (word) GROUP BY source, index // 256""",
+    ),
     "pairwise_cosine": with_ctes(
         *BY_SOURCE, *PAIRS, select="SELECT * FROM published WHERE similarity >= 0.05"
     ),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators import cleaning, metadata, network, similarity, terms, wordcount
 from lectern.plans import views
-from lectern.plans.views import books, books_by, books_marked, documents, kept_tokens, kept_weights
+from lectern.plans.views import books, books_by, books_marked, documents, kept_terms, kept_weights
 from lectern.sources import sinks, text
 from lectern.sources.scratch import scratch_path, written
 
@@ -21,6 +21,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT_SIZES_MB = (1, 2, 4, 8)
 FIND_SIMILAR_TARGET = 0
 
+# Entries to a chunk of a source's vector.
+VECTOR_CHUNK = 256
+
 # Sources share little but common words; documents are alike from here on.
 SOURCE_SIMILARITY = 0.05
 DOCUMENT_SIMILARITY = 0.8
@@ -193,10 +196,6 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_tokens(documents(spark, sf_dir), "doc_id")
 
 
-def doc_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.tf_idf(kept_tokens(spark, sf_dir, "doc_id"), "doc_id", one_row_each=True)
-
-
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(terms.term_frequency(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True), tf=6)
 
@@ -206,7 +205,7 @@ def top_terms_by_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.idf_stats(doc_tokens(spark, sf_dir), "doc_id", one_row_each=True)
+    return terms.idf_of(kept_terms(spark, sf_dir))
 
 
 def _rounded_idf(frame: DataFrame) -> DataFrame:
@@ -231,15 +230,15 @@ def _rounded_weights(frame: DataFrame) -> DataFrame:
 
 
 def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_weights(doc_weights(spark, sf_dir))
+    return _rounded_weights(terms.tf_idf_of(kept_terms(spark, sf_dir)))
 
 
 def top_tfidf_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_weights(terms.top_tfidf_overall(doc_weights(spark, sf_dir), "doc_id"))
+    return _rounded_weights(terms.top_tfidf_of(kept_terms(spark, sf_dir)))
 
 
 def top_terms_by_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(terms.top_terms_by_tfidf(doc_weights(spark, sf_dir), "doc_id"), tfidf=6)
+    return rounded(terms.top_terms_of(kept_terms(spark, sf_dir)), tfidf=6)
 
 
 # Vectors and similarity
@@ -253,17 +252,24 @@ def vocabulary_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.vocabulary_size(terms.token_words(doc_tokens(spark, sf_dir)))
 
 
-def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = kept_weights(spark, sf_dir, "doc_id")
+def _shown(vectors: DataFrame, *columns: str) -> DataFrame:
     shown = F.transform("values", lambda value: value.cast("decimal(18,6)").cast("string"))
-    return similarity.tfidf_vectors(weights, "doc_id").select(
-        "doc_id",
-        "size",
+    return vectors.select(
+        *columns,
         F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"),
         F.array_join(shown, ",").alias("values"),
     )
 
 
+def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(similarity.tfidf_vectors(kept_weights(spark, sf_dir, "doc_id"), "doc_id"), "doc_id", "size")
+
+
+def tfidf_vector_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = similarity.tfidf_vector_chunks(kept_weights(spark, sf_dir, "source"), "source", VECTOR_CHUNK)
+    return _shown(chunks, "source", "chunk")
+
+
 def pairwise_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = similarity.pairwise_cosine(kept_weights(spark, sf_dir, "source"), "source", SOURCE_SIMILARITY)
     return rounded(pairs, similarity=4)
@@ -348,7 +354,7 @@ QUERIES: dict[str, Query] = {
         strip_boilerplate, normalize_text, tokenize, remove_stop_words, filter_effect_stats,
         term_frequency, top_terms_by_tf, idf_stats, most_common_words, rarest_shared_words,
         tf_idf, top_tfidf_overall, top_terms_by_tfidf,
-        vocabulary, vocabulary_size, tfidf_vectors, pairwise_cosine, most_similar_pairs,
+        vocabulary, vocabulary_size, tfidf_vectors, tfidf_vector_chunks, pairwise_cosine, most_similar_pairs,
         similar_documents, similarity_stats, least_similar_pairs, vector_stats, find_similar,
         author_date, author_dates, influence_edges, influence_members, influence_of_author,
     ]

@@ -25,6 +25,7 @@ BROKEN_OF = 2
 BROKEN = 1
 
 _kept: dict[tuple[str, str, str], tuple[tuple, str]] = {}
+_indexes: dict[str, terms.TermIndex] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,12 +131,28 @@ def kept_tokens(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     return scan_table(spark, kept(spark, sf_dir, f"tokens-{key}", write))
 
 
+def kept_terms(spark: SparkSession, sf_dir: str) -> terms.TermIndex:
+    """The documents' counts and those of their words, written once."""
+    made: list[terms.TermIndex] = []
+
+    def write(path: str) -> None:
+        made.append(terms.add_terms(None, kept_tokens(spark, sf_dir, "doc_id"), "doc_id", sf_dir))
+
+    slot = kept(spark, sf_dir, "terms", write)
+    if made:
+        _indexes[slot] = made[0]
+    return _indexes[slot]
+
+
 def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """Term weights with the words' numbers, written once for all queries that pass over them."""
 
     def write(path: str) -> None:
-        tokens = kept_tokens(spark, sf_dir, key)
-        terms.tf_idf(tokens, key, one_row_each=key == "doc_id", with_index=True).write.parquet(path)
+        if key == "doc_id":
+            weights = terms.tf_idf_of(kept_terms(spark, sf_dir), with_index=True)
+        else:
+            weights = terms.tf_idf(kept_tokens(spark, sf_dir, key), key, with_index=True)
+        weights.write.parquet(path)
 
     return scan_table(spark, kept(spark, sf_dir, f"weights-{key}", write))
 

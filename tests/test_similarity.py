@@ -225,6 +225,18 @@ def test_vectors(weights, documents):
         assert row["values"] == [weight[row.doc, w] for w in words]
 
 
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_chunks_make_up_the_vectors(weights, size):
+    chunks = similarity.tfidf_vector_chunks(weights, "doc", size).collect()
+    assert all(0 < len(r.indices) <= size and {i // size for i in r.indices} == {r.chunk} for r in chunks)
+    joined = {}
+    for r in sorted(chunks, key=lambda r: (r.doc, r.chunk)):
+        entries = joined.setdefault(r.doc, ([], []))
+        entries[0].extend(r.indices)
+        entries[1].extend(r["values"])
+    assert joined == {r.doc: (r.indices, r["values"]) for r in similarity.tfidf_vectors(weights, "doc").collect()}
+
+
 def test_find_similar(weights, brute):
     got = similarity.find_similar(weights, "doc", "d15", 30).collect()
     score = {next(d for d in pair if d != "d15"): round(v, 4) for pair, v in brute.items() if "d15" in pair}

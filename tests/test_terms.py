@@ -147,3 +147,61 @@ def test_skewed_join_equals_plain_join(spark, rows_per_salt, most_hot_keys):
     want = rows.join(keys, "key")
     assert got.columns == want.columns
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+@pytest.fixture(scope="module")
+def written_tokens(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return cleaning.clean_tokens(documents, "doc_id").persist()
+
+
+def same(left, right):
+    """Equal rows, scores to the last places."""
+    def rows(frame):
+        return sorted(
+            (tuple(round(v, 12) if isinstance(v, float) else v for v in r) for r in frame.select(sorted(frame.columns)).collect()),
+            key=str,
+        )
+
+    assert rows(left) == rows(right)
+
+
+def test_index_equals_the_whole_after_an_append(spark, written_tokens):
+    parts = [written_tokens.where(F.col("doc_id") % 3 == k) for k in range(3)]
+    index = terms.add_terms(None, parts[0], "doc_id", "first")
+    index = terms.add_terms(terms.add_terms(index, parts[1], "doc_id", "second"), parts[2], "doc_id", "third")
+    same(terms.idf_of(index), terms.idf_stats(written_tokens, "doc_id", one_row_each=True))
+    whole = terms.tf_idf(written_tokens, "doc_id", one_row_each=True, with_index=True).persist()
+    same(terms.tf_idf_of(index, with_index=True), whole)
+    same(terms.top_terms_of(index, 3), terms.top_terms_by_tfidf(whole, "doc_id", 3))
+    for n in (1, 10, 5000):
+        same(terms.top_tfidf_of(index, n), terms.top_tfidf_overall(whole.drop("index"), "doc_id", n))
+    # A batch can go, and come again.
+    without = written_tokens.where("doc_id % 3 <> 1")
+    index = terms.drop_terms(index, "second")
+    same(terms.tf_idf_of(index), terms.tf_idf(without, "doc_id", one_row_each=True))
+    index = terms.add_terms(index, parts[1], "doc_id", "second")
+    same(terms.tf_idf_of(index, with_index=True), whole)
+
+
+def test_an_append_reads_its_own_tokens_only(spark, written_tokens, tmp_path):
+    written_tokens.where("doc_id < 50").write.parquet(str(tmp_path / "old"))
+    written_tokens.where("doc_id >= 50").write.parquet(str(tmp_path / "new"))
+    index = terms.add_terms(None, spark.read.parquet(str(tmp_path / "old")), "doc_id", "old")
+    index = terms.add_terms(index, spark.read.parquet(str(tmp_path / "new")), "doc_id", "new")
+    plan = terms.tf_idf_of(index)._jdf.queryExecution().toString()
+    assert str(tmp_path) not in plan and "SortArray" not in plan
+
+
+def test_index_refuses_what_it_has(spark):
+    frame = spark.createDataFrame([("a", ["x", "y"]), (None, ["x"]), ("b", [])], "doc string, filtered_words array<string>")
+    index = terms.add_terms(None, frame, "doc", "one")
+    assert {(r.word, r.doc_freq, round(r.idf_score, 6)) for r in terms.idf_of(index).collect()} == {
+        (w, 1, round(math.log(3), 6)) for w in "xy"
+    }
+    with pytest.raises(ValueError, match="batch 'one'"):
+        terms.add_terms(index, frame.where("doc = 'c'"), "doc", "one")
+    with pytest.raises(ValueError, match="document 'a'"):
+        terms.add_terms(index, frame, "doc", "two")
+    empty = terms.add_terms(None, frame.limit(0), "doc", "none")
+    assert terms.tf_idf_of(empty).count() == terms.top_tfidf_of(empty).count() == 0
