@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, metadata, network, similarity, terms, wordcount
+from lectern.operators import cleaning, lookup, metadata, network, similarity, terms, wordcount
 from lectern.plans import views
-from lectern.plans.views import books, books_by, books_marked, documents, kept_terms, kept_weights
+from lectern.plans.views import books, books_by, books_marked, documents, kept_lookup, kept_terms, kept_weights
 from lectern.sources import sinks, text
 from lectern.sources.scratch import scratch_path, written
 
@@ -298,8 +298,7 @@ def vector_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def find_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = kept_weights(spark, sf_dir, "doc_id")
-    return similarity.find_similar(weights, "doc_id", FIND_SIMILAR_TARGET)
+    return lookup.nearest_documents(kept_lookup(spark, sf_dir), FIND_SIMILAR_TARGET)
 
 
 # Author network

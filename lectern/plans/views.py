@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, terms
+from lectern.operators import cleaning, lookup, terms
 from lectern.sources.scratch import scratch_path
 from lectern.sources.tables import scan_table, table_state
 
@@ -20,12 +20,15 @@ from lectern.sources.tables import scan_table, table_state
 VOLUME = 100
 VOLUME_KEY = r"volume=([^/]+)/"
 
+# Buckets of the inverted index; few, for tables of the scale they are tried at.
+LOOKUP_BUCKETS = 64
+
 # Of so many volumes, the one with number BROKEN is written with bytes that are not UTF-8.
 BROKEN_OF = 2
 BROKEN = 1
 
 _kept: dict[tuple[str, str, str], tuple[tuple, str]] = {}
-_indexes: dict[str, terms.TermIndex] = {}
+_indexes: dict[str, terms.TermIndex | lookup.LookupIndex] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +160,19 @@ def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     return scan_table(spark, kept(spark, sf_dir, f"weights-{key}", write))
 
 
+def kept_lookup(spark: SparkSession, sf_dir: str) -> lookup.LookupIndex:
+    """The inverted index over the weights by document, written once."""
+    made: list[lookup.LookupIndex] = []
+
+    def write(path: str) -> None:
+        made.append(lookup.build_lookup(kept_weights(spark, sf_dir, "doc_id"), "doc_id", LOOKUP_BUCKETS))
+
+    slot = kept(spark, sf_dir, "lookup", write)
+    if made:
+        _indexes[slot] = made[0]
+    return _indexes[slot]
+
+
 def kept(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
     """The folder that ``write`` has made for this application and the table's present files."""
     slot = (spark.sparkContext.applicationId, sf_dir, label)
