@@ -14,6 +14,9 @@ from lectern.sources.tables import scan_table
 
 BATCH_BYTES = 8 * 1024 * 1024
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_EACH = 1_000
+
 # The columns that Unicode calls ASCII white space, in words as well as in line breaks.
 WHITE = b"\t\n\x0b\x0c\r "
 
@@ -26,6 +29,16 @@ def embeddings_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, f"{sf_dir}/embeddings.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session sends at most TEXTS_EACH rows a batch to Python, as rows hold whole texts.
+
+    A batch lies in the JVM's and the worker's memory several times over; Spark's 10,000 rows of text
+    come to some 30 MB each time. Fewer rows, if the session asks for them, stay.
+    """
+    if int(spark.conf.get(BATCH_ROWS)) > TEXTS_EACH:
+        spark.conf.set(BATCH_ROWS, str(TEXTS_EACH))
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 

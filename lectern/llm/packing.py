@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import written
+from lectern.llm.common import bound_batches, written
 from lectern.llm.tokens import VOCABULARY, encode
 from lectern.operators.numbering import numbered
 
@@ -166,4 +166,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(documents: DataFrame, capacity: int = CAPACITY, **options) -> DataFrame:
+    bound_batches(documents.sparkSession)
     return pack(document_pieces(documents, capacity=capacity, **options), capacity)
