@@ -14,6 +14,7 @@ text are one document. An empty table gives no rows. Other columns are not looke
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lectern.llm.common import WHITE, batches, text_bytes, whole_row
+from lectern.llm.common import WHITE, batches, bound_batches, text_bytes, whole_row
 from lectern.llm.radix_trie import Owner, RadixTrie
 
 TRIE_BYTES = 96 * 1024 * 1024
@@ -102,7 +103,7 @@ def _merge_in_task(schema: pa.Schema, budget: int, content_of: Callable[[dict],
         for entry in _entries(parts):
             row = entry.get("row")
             content = content_of(row) if row is not None else normalise(text_bytes(entry["text"]))
-            trie.insert(content, Owner(entry["id"], 1, hashlib.sha256(content).digest(), row))
+            trie.insert(content, Owner(entry["id"], 1, hashlib.sha256(content).digest(), _packed(row)))
             if trie.held > budget:
                 yield from batches(_rows(trie, schema), schema, _weight)
                 trie = RadixTrie(2**62)
@@ -117,12 +118,17 @@ def _merge_partition(schema: pa.Schema, budget: int, content_of: Callable[[dict]
         for entry in _entries(parts):
             row = entry.get("row")
             content = content_of(row) if row is not None else entry["content"]
-            trie.insert(content, Owner(entry["id"], entry["copies"], entry["digest"], row))
+            trie.insert(content, Owner(entry["id"], entry["copies"], entry["digest"], _packed(row)))
         yield from batches(_rows(trie, schema), schema, _weight)
 
     return run
 
 
+def _packed(row: dict | None) -> bytes | None:
+    """A row as bytes: of known size, and with its text in UTF-8, shorter than as objects."""
+    return None if row is None else pickle.dumps(row, pickle.HIGHEST_PROTOCOL)
+
+
 def _entries(parts: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[dict]:
     """Rows as dictionaries, a few at a time, so that a batch is not held twice."""
     for part in parts:
@@ -136,7 +142,7 @@ def _rows(trie: RadixTrie, schema: pa.Schema) -> Iterator[tuple]:
         if "content" in schema.names:
             row.append(content)
         if "row" in schema.names:
-            row.append(owner.row)
+            row.append(pickle.loads(owner.row))
         yield tuple(row)
 
 
@@ -168,4 +174,5 @@ def without_exact_duplicates(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """The documents' own rows and columns, of equal texts the one with the smallest identifier."""
+    bound_batches(documents.sparkSession)
     return text_owners(documents, id_column, text_column, keep_rows=True).select("row.*")

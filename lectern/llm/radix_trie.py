@@ -8,11 +8,18 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 
+# Bytes of a node and its place among its parent's children, and of an owner, beside their strings.
+NODE_BYTES = 210
+OWNER_BYTES = 190
+
+
 class Owner(NamedTuple):
+    """``row`` is whatever else the owner brings, as bytes."""
+
     identifier: int | None
     copies: int
     digest: bytes
-    row: dict | None
+    row: bytes | None
 
     def merge(self, other: Owner) -> Owner:
         """The smaller identifier owns the string; none at all is larger than any."""
@@ -23,6 +30,9 @@ class Owner(NamedTuple):
             first = other
         return first._replace(copies=self.copies + other.copies)
 
+    def size(self) -> int:
+        return OWNER_BYTES + len(self.row or b"")
+
 
 class _Node:
     __slots__ = ("label", "children", "owner", "spilled")
@@ -33,12 +43,15 @@ class _Node:
         self.owner: Owner | None = None
         self.spilled = None
 
+    def size(self) -> int:
+        return NODE_BYTES + len(self.label) + (self.owner.size() if self.owner else 0)
+
     def weight(self) -> int:
-        """Bytes of labels in the subtree."""
+        """Bytes of the subtree: labels, owners and nodes."""
         total, stack = 0, [self]
         while stack:
             node = stack.pop()
-            total += len(node.label)
+            total += node.size()
             stack.extend(node.children.values())
         return total
 
@@ -58,9 +71,10 @@ def _shared(left: bytes, right: bytes, at: int) -> int:
 class RadixTrie:
     """``insert`` strings with owners, then iterate over ``owners``, one for each string.
 
-    Labels of more than ``budget`` bytes are not held: the heaviest subtree that leaves less
-    than half goes to a temporary file of the task, its node stays as a stub, and later strings
-    under it are appended to the file. Each file is read back, on its own, at the end.
+    ``held`` estimates the memory of the whole trie, rows of owners included. Beyond ``budget`` bytes,
+    the heaviest subtree that leaves less than half goes to a temporary file of the task, its node
+    stays as a stub, and later strings under it are appended to the file. Each file is read back, on
+    its own, at the end.
     """
 
     def __init__(self, budget: int):
@@ -76,13 +90,15 @@ class RadixTrie:
                 pickle.dump((key[at:], owner), node.spilled)
                 return
             if at == len(key):
+                self.held -= node.owner.size() if node.owner else 0
                 node.owner = owner if node.owner is None else node.owner.merge(owner)
-                return
+                self.held += node.owner.size()
+                break
             child = node.children.get(key[at])
             if child is None:
                 child = node.children[key[at]] = _Node(key[at:])
                 child.owner = owner
-                self.held += len(child.label)
+                self.held += child.size()
                 break
             if key.startswith(child.label, at):
                 node, at = child, at + len(child.label)
@@ -92,25 +108,27 @@ class RadixTrie:
             child.label = child.label[cut:]
             upper.children[child.label[0]] = child
             node.children[key[at]] = upper
+            self.held += NODE_BYTES
             node, at = upper, at + cut
         if self.held > self.budget:
             self._spill()
 
     def _spill(self) -> None:
-        """Write the heaviest subtree that holds at most half of the labels, or one leaf."""
+        """Write the heaviest subtree that holds at most half of all, or one leaf."""
         node = self.root
         while node.children:
             heaviest = max(node.children.values(), key=_Node.weight)
             node = heaviest
             if node.weight() * 2 <= self.held:
                 break
-        if node.spilled is not None:
+        if node is self.root or node.spilled is not None:
             return
         file = tempfile.TemporaryFile()  # noqa: SIM115  unlinked already, gone with the task
-        self.held -= node.weight() - len(node.label)
+        self.held -= node.weight()
         for tail, owner in self._walk(node, b""):
             pickle.dump((tail, owner), file)
         node.children, node.owner, node.spilled = {}, None, file
+        self.held += node.size()
         self.spills += 1
 
     def _walk(self, node: _Node, path: bytes) -> Iterator[tuple[bytes, Owner]]:

@@ -1,6 +1,9 @@
+import gc
 import hashlib
+import pickle
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import pytest
@@ -45,6 +48,33 @@ def test_trie_equals_dictionary(budget):
     assert (trie.spills > 0) == (budget < 10**9)
 
 
+@pytest.mark.parametrize("number, length, rows", [(20_000, 20, False), (20_000, 20, True), (5_000, 3_000, True), (5_000, 3_000, False)])
+def test_trie_knows_its_size(number, length, rows):
+    rng = random.Random(length)
+    keys = [bytes(rng.choices(range(97, 123), k=rng.randrange(length // 2, 2 * length))) for _ in range(number)]
+    gc.collect()
+    tracemalloc.start()
+    trie = RadixTrie(2**62)
+    for i, key in enumerate(keys):
+        key = bytes(bytearray(key))
+        row = pickle.dumps({"doc_id": i, "text": key.decode()}) if rows else None
+        trie.insert(key, Owner(10**6 + i, 1, hashlib.sha256(key).digest(), row))
+    real = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert 0.8 < trie.held / real < 1.2
+
+
+def test_trie_stays_within_its_budget():
+    rng = random.Random(5)
+    trie, most = RadixTrie(1_000_000), 0
+    for i in range(4_000):
+        key = bytes(rng.choices(b"abcd", k=rng.randrange(2_000)))
+        trie.insert(key, Owner(i, 1, b"", bytes(len(key))))
+        most = max(most, trie.held)
+    assert trie.spills and most < 1_010_000 and trie.root.weight() == trie.held + trie.root.size()
+    assert sum(1 for _ in trie.owners()) > 3_900
+
+
 def test_against_brute_force(spark):
     rows = [(i, text) for i, text in enumerate(TEXTS * 3)] + [(None, "a b"), (None, "alone"), (7, "a b"), (7, "a b")]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
