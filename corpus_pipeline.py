@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm.common import documents_of, written
+from lectern.llm.common import bound_batches, documents_of, written
 from lectern.llm.exact_dedup import without_exact_duplicates
 from lectern.llm.packing import pack_documents
 from lectern.llm.quality import good_documents
@@ -17,6 +17,7 @@ from lectern.llm.simhash import without_near_duplicates
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return good_documents(docs)
 
 
