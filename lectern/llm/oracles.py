@@ -7,8 +7,8 @@ are tested against brute force.
 from __future__ import annotations
 
 from lectern.llm.compression import ENTRIES, PARTS, ROUNDS
-from lectern.llm.quality import GROUP_DOCUMENTS, MAX_REPEAT_PERCENT, MIN_WORDS, RATES, SPREADS
-from lectern.llm.sharding import BITS, STRING_BYTES
+from lectern.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS, PRIOR_DOCUMENTS, RATES, SPREADS, UNITS
+from lectern.llm.sharding import BITS
 
 EXACT = r"""
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
@@ -56,13 +56,6 @@ def quality_sql() -> str:
 
     rates = ", ".join(f"('{name}', {rate(name)}, {smallest}, {below})" for name, (*_, smallest, below) in RATES.items())
     low = "CASE WHEN {0} < 16 THEN {0} ELSE ({0} % 16 + 16) << CAST({0} // 16 - 1 AS INT) END"
-    quartiles = f"""SELECT {{0}}, rate, max(total) AS total,
-        min(CASE WHEN 4 * upto >= total THEN {low.format("bin")} END) AS lower,
-        min(CASE WHEN 4 * upto >= 3 * total THEN {low.format("(bin + 1)")} - 1 END) AS upper
-      FROM (SELECT {{0}}, rate, bin, sum(n) OVER (PARTITION BY {{0}}, rate ORDER BY bin) AS upto,
-          sum(n) OVER (PARTITION BY {{0}}, rate) AS total
-        FROM (SELECT {{0}}, rate, bin, sum(n) AS n FROM sketch GROUP BY ALL))
-      GROUP BY ALL"""
     return rf"""
 WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -101,12 +94,24 @@ sketch AS (
     ELSE (length(bin(value)) - 4) * 16 + (value >> CAST(length(bin(value)) - 5 AS INT)) % 16 END AS bin, count(*) AS n
   FROM rates WHERE NOT base_failed GROUP BY ALL
 ),
-wide AS ({quartiles.format("lang")}),
-own AS ({quartiles.format("lang, source")}),
+wide AS (
+  SELECT lang, rate, bin, CAST(sum(n) * {PRIOR_DOCUMENTS * UNITS} // sum(sum(n)) OVER (PARTITION BY lang, rate) AS BIGINT) AS weight
+  FROM sketch GROUP BY lang, rate, bin
+),
+weighed AS (
+  SELECT lang, source, rate, bin, n * {UNITS} AS weight FROM sketch
+  UNION ALL
+  SELECT g.lang, g.source, w.rate, w.bin, w.weight FROM (SELECT DISTINCT lang, source FROM sketch) g
+    JOIN wide w ON g.lang IS NOT DISTINCT FROM w.lang
+),
 fences AS (
-  SELECT o.lang, o.source, o.rate, CASE WHEN o.total < {GROUP_DOCUMENTS} THEN w.lower ELSE o.lower END AS lower,
-    CASE WHEN o.total < {GROUP_DOCUMENTS} THEN w.upper ELSE o.upper END AS upper
-  FROM own o JOIN wide w ON o.lang IS NOT DISTINCT FROM w.lang AND o.rate = w.rate
+  SELECT lang, source, rate,
+    min(CASE WHEN 4 * upto >= total THEN {low.format("bin")} END) AS lower,
+    min(CASE WHEN 4 * upto >= 3 * total THEN {low.format("(bin + 1)")} - 1 END) AS upper
+  FROM (SELECT *, sum(weight) OVER (PARTITION BY lang, source, rate ORDER BY bin) AS upto,
+      sum(weight) OVER (PARTITION BY lang, source, rate) AS total
+    FROM (SELECT lang, source, rate, bin, sum(weight) AS weight FROM weighed GROUP BY ALL))
+  GROUP BY ALL
 ),
 verdicts AS (
   SELECT doc_id, bool_and(value <= upper + {SPREADS} * greatest(upper - lower, smallest)
@@ -164,26 +169,20 @@ def hilbert_sql(cells: list[str], rows: str, bits: int = BITS) -> str:
 
 def shards_sql(shards: int) -> str:
     names = ("lang", "source")
-    ends = ", ".join(f"encode(min({n})) AS lo_{n}, encode(max({n})) AS hi_{n}" for n in names)
-    skips = ", ".join(
-        f"""coalesce(list_min(list_filter(range(least(octet_length(lo_{n}), octet_length(hi_{n}))),
-          lambda i: lo_{n}[i + 1 : i + 1] <> hi_{n}[i + 1 : i + 1])), least(octet_length(lo_{n}), octet_length(hi_{n}))) AS skip_{n}"""
+    most = (1 << BITS) - 1
+    ranks = ",\n".join(
+        f"""rank_{n} AS (SELECT {n}, 1 + place * {most} // greatest({most}, total) AS cell_{n}
+          FROM (SELECT {n}, row_number() OVER (ORDER BY {n}) - 1 AS place, count(*) OVER () AS total
+            FROM (SELECT DISTINCT {n} FROM documents WHERE {n} IS NOT NULL)))"""
         for n in names
     )
-
-    def code(data: str, n: str) -> str:
-        padded = f"rpad(hex({data}[skip_{n} + 1 : skip_{n} + {STRING_BYTES}]), {2 * STRING_BYTES}, '0')"
-        return f"CAST(concat('0x', {padded}) AS BIGINT)"
-
-    cells = []
-    for n in names:
-        low, high = code(f"lo_{n}", n), code(f"hi_{n}", n)
-        cells.append(f"({code(f'encode({n})', n)} - {low}) * {1 << BITS} // ({high} - {low} + 1)")
+    joins = " ".join(f"LEFT JOIN rank_{n} USING ({n})" for n in names)
+    cells = [f"coalesce(cell_{n}, 0)" for n in names]
     exponent = "(length(bin(size)) - 1)"
     cells.append(f"least({(1 << BITS) - 1}, {exponent} * 4 + (((size << 2) >> CAST({exponent} AS INT)) & 3))")
     return f"""
 WITH texts AS (
-  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, encode(coalesce(text, '')) AS data FROM documents
+  SELECT doc_id, lang, source, encode(coalesce(text, '')) AS data FROM documents
 ),
 halves AS (
   SELECT *, list_transform(string_split(hex(data), ''), lambda h: CAST(instr('123456789ABCDEF', h) AS BIGINT)) AS nibbles
@@ -194,8 +193,8 @@ metadata AS (
     CASE WHEN octet_length(data) = 0 THEN 0 ELSE {crc32_sql("nibbles")} END AS text_crc32
   FROM halves
 ),
-ends AS (SELECT *, {skips} FROM (SELECT {ends}, count(*) AS total FROM metadata)),
-joined AS (SELECT * FROM metadata, ends),
+{ranks},
+joined AS (SELECT metadata.*, {", ".join(f"cell_{n}" for n in names)}, count(*) OVER () AS total FROM metadata {joins}),
 placed AS ({hilbert_sql(cells, "joined")}),
 ordered AS (SELECT *, row_number() OVER (ORDER BY hilbert, doc_id, text_crc32) - 1 AS pos FROM placed)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * {shards} // total AS INT) AS shard,

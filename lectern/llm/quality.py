@@ -4,8 +4,10 @@ Each document's rates are counted in whole numbers and sketched per (language, s
 in bins a sixteenth wide, relative to the value. Such sketches merge by adding counts, whichever
 task made them, so quartiles are the same on every run. A rate's fence lies three spreads beyond
 the upper quartile (for the word length, also below the lower one); the spread is the distance
-of the quartiles, or a smallest spread where a group is all alike. A group with few documents
-takes the merged sketch of its language. Then the fences are joined to the documents.
+of the quartiles, or a smallest spread where a group is all alike. To the group's sketch comes
+that of its language, scaled to the weight of PRIOR_DOCUMENTS documents: a group of few documents is
+judged much as its language, one of many by its own, and no number of documents changes the rule. Then the
+fences are joined to the documents.
 
 Defined cases: a null text has no words and fails. A null language or source is a group of its
 own. Repeated rows are judged alike. An empty table gives no rows. Sketches hold the documents
@@ -25,7 +27,9 @@ from lectern.llm.common import text_bytes, whole_row, written
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SPREADS = 3
-GROUP_DOCUMENTS = 100
+PRIOR_DOCUMENTS = 20
+# A document's weight, so that shares of a language's sketch are whole numbers.
+UNITS = 10_000
 
 # Rate: (numerator, factor, denominator, smallest spread, fenced below too).
 RATES = {
@@ -126,12 +130,29 @@ def rate_sketches(measured: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(sketches: DataFrame, group: list[str]) -> DataFrame:
-    own = Window.partitionBy(*group, "rate")
-    upto = F.sum("n").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    placed = sketches.select(*group, "rate", "bin", upto.alias("upto"), F.sum("n").over(own).alias("total"))
-    return placed.groupBy(*group, "rate").agg(
-        F.max("total").alias("total"),
+def _weighed(sketches: DataFrame) -> DataFrame:
+    """``(lang, source, rate, bin, weight)``: each group's sketch with its language's added.
+
+    A language has a few hundred bins a rate at most, whatever its documents; each of its groups takes them all.
+    """
+    whole = Window.partitionBy("lang", "rate")
+    share = F.call_function("div", F.col("n") * (PRIOR_DOCUMENTS * UNITS), F.sum("n").over(whole))
+    prior = (
+        sketches.groupBy("lang", "rate", "bin")
+        .agg(F.sum("n").alias("n"))
+        .select(F.col("lang").alias("_lang"), "rate", "bin", share.alias("weight"))
+    )
+    groups = sketches.select("lang", "source").distinct()
+    added = groups.join(prior, F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang")
+    own = sketches.withColumn("weight", F.col("n") * UNITS).drop("n")
+    return own.unionByName(added).groupBy("lang", "source", "rate", "bin").agg(F.sum("weight").alias("weight"))
+
+
+def _quartiles(sketches: DataFrame) -> DataFrame:
+    group = Window.partitionBy("lang", "source", "rate")
+    upto = F.sum("weight").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    placed = _weighed(sketches).select("*", upto.alias("upto"), F.sum("weight").over(group).alias("total"))
+    return placed.groupBy("lang", "source", "rate").agg(
         F.min(F.when(4 * F.col("upto") >= F.col("total"), bin_low(F.col("bin")))).alias("lower"),
         F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), bin_low(F.col("bin") + 1) - 1)).alias("upper"),
     )
@@ -139,27 +160,16 @@ def _quartiles(sketches: DataFrame, group: list[str]) -> DataFrame:
 
 def fences(sketches: DataFrame) -> DataFrame:
     """``(lang, source, fences)``: per group, the greatest and least rate that stays."""
-    merged = sketches.groupBy("lang", "rate", "bin").agg(F.sum("n").alias("n"))
-    wide = _quartiles(merged, ["lang"]).select(
-        F.col("lang").alias("_lang"), F.col("rate").alias("_rate"), F.struct("lower", "upper").alias("_wide")
-    )
-    own = _quartiles(sketches, ["lang", "source"])
-    same = F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("rate") == F.col("_rate"))
-    few = F.col("total") < GROUP_DOCUMENTS
-    chosen = own.join(wide, same).select(
-        "lang",
-        "source",
-        "rate",
-        F.when(few, F.col("_wide")).otherwise(F.struct("lower", "upper")).alias("q"),
-    )
+    # Read three times below; a few hundred rows a group.
+    sketches = written(sketches, "sketches")
     limits = []
     for name, (*_, smallest, below) in RATES.items():
-        spread = F.greatest(F.col("q.upper") - F.col("q.lower"), F.lit(smallest)) * SPREADS
+        spread = F.greatest(F.col("upper") - F.col("lower"), F.lit(smallest)) * SPREADS
         here = F.col("rate") == name
-        limits.append(F.max(F.when(here, F.col("q.upper") + spread)).alias(f"{name}_most"))
+        limits.append(F.max(F.when(here, F.col("upper") + spread)).alias(f"{name}_most"))
         if below:
-            limits.append(F.max(F.when(here, F.col("q.lower") - spread)).alias(f"{name}_least"))
-    return chosen.groupBy("lang", "source").agg(*limits).select(
+            limits.append(F.max(F.when(here, F.col("lower") - spread)).alias(f"{name}_least"))
+    return _quartiles(sketches).groupBy("lang", "source").agg(*limits).select(
         "lang", "source", F.struct(F.col("*")).dropFields("lang", "source").alias("fences")
     )
 

@@ -1,13 +1,14 @@
 """Shards along a Hilbert curve over several columns of metadata, from built-in functions only.
 
-Each dimension is quantised to 2 ** BITS cells: strings by their first bytes beyond the prefix
-that all share, numbers by quarter octaves. Rows are sorted by the index of their cell on the
+Each dimension is quantised to 2 ** BITS cells: strings by the rank of their value among the distinct
+ones, with a cell to each value as long as there are enough, numbers by quarter octaves. Rows are sorted by the index of their cell on the
 curve, and the order is cut into runs of equal row counts. Rows that are close in all dimensions
 lie in the same run, so a file's least and greatest values prune on any of them.
 
-Defined cases: a null string counts as empty and a null number as 0. Rows in the same cell are
-ordered by the columns given as ties, so that a cell that holds a third of all rows is split.
-An empty table gives no rows.
+Defined cases: a null string has a cell of its own, before all others, and a null number counts as 0. Rows in
+the same cell are ordered by the columns given as ties, so that a cell that holds a third of all rows is
+split. Strings of any length are compared whole. A column of the caller that is called ``hilbert``, ``shard`` or
+``slot`` stays under that name with ``_`` behind it. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,32 +21,32 @@ from pyspark.sql import functions as F
 from lectern.operators.numbering import numbered
 
 BITS = 8
-STRING_BYTES = 4
 
 
-def shared_prefix(low: bytes, high: bytes) -> int:
-    """Bytes that all strings between the smallest and the largest begin with."""
-    return next((i for i, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
+def string_cuts(frame: DataFrame, name: str, bits: int = BITS) -> list[str]:
+    """The smallest value of each cell: of all distinct values, or of runs of equal numbers of them.
+
+    Distinct values are range-sorted and numbered, as there may be many; fewer than 2 ** bits come back.
+    """
+    most = (1 << bits) - 1
+    values = numbered(frame.select(F.col(name).alias("value")).where("value IS NOT NULL").distinct(), ["value"], "place")
+    size = F.greatest(F.lit(most), F.lit(values.count()))
+    cell = F.call_function("div", F.col("place") * most, size)
+    before = F.call_function("div", (F.col("place") - 1) * most, size)
+    first = values.where((F.col("place") == 0) | (cell > before))
+    return sorted(row.value for row in first.select("value").collect())
 
 
-def string_code(column: Column, skip: int) -> Column:
-    """The bytes after the first ``skip`` as a number, padded with zero bytes."""
-    data = F.substring(F.encode(F.coalesce(column, F.lit("")), "UTF-8"), skip + 1, STRING_BYTES)
-    return F.conv(F.rpad(F.hex(data), 2 * STRING_BYTES, "0"), 16, 10).cast("long")
+def string_cell(value: Column, cuts: Sequence[str], bits: int = BITS) -> Column:
+    """How many cuts are not above the value, by halving; 0 for null."""
+    table = F.array(*[F.lit(cut) for cut in cuts]).cast("array<string>")
 
+    def step(at: Column, size: Column) -> Column:
+        reached = F.coalesce(F.get(table, at + size - 1) <= value, F.lit(False))
+        return F.when(reached, at + size).otherwise(at)
 
-def string_cells(frame: DataFrame, names: Sequence[str], bits: int = BITS) -> list[Column]:
-    """Cells of equal width between the smallest and the largest code; one aggregate for all."""
-    text = {n: F.coalesce(F.col(n), F.lit("")) for n in names}
-    ends = frame.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(text.values()) for k, f in (("lo", F.min), ("hi", F.max))]).first()
-    cells = []
-    for i, name in enumerate(names):
-        low, high = ((ends[f"{k}{i}"] or "").encode() for k in ("lo", "hi"))
-        skip = shared_prefix(low, high)
-        least, most = (int.from_bytes(v[skip : skip + STRING_BYTES].ljust(STRING_BYTES, b"\0")) for v in (low, high))
-        above = string_code(F.col(name), skip) - F.lit(least).cast("long")
-        cells.append(F.call_function("div", above * (1 << bits), F.lit(most - least + 1).cast("long")))
-    return cells
+    sizes = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+    return F.aggregate(sizes, F.lit(0), step).cast("long")
 
 
 def octave_cell(value: Column) -> Column:
@@ -122,7 +123,10 @@ def hilbert_shards(
 
     Shards differ by one row at most; slots count from 0 within a shard.
     """
-    cells = string_cells(frame, strings, bits) + [
+    moved = {name: f"{name}_" for name in ("hilbert", "shard", "slot") if name in frame.columns}
+    frame = frame.withColumnsRenamed(moved)
+    strings, numbers, ties = ([moved.get(name, name) for name in names] for names in (strings, numbers, ties))
+    cells = [string_cell(F.col(c), string_cuts(frame, c, bits), bits) for c in strings] + [
         F.least(octave_cell(F.coalesce(F.col(c), F.lit(0)).cast("long")), F.lit((1 << bits) - 1)) for c in numbers
     ]
     placed = numbered(frame.withColumn("hilbert", hilbert_index(cells, bits)), ["hilbert", *ties], "_at")

@@ -65,20 +65,30 @@ def brute_verdicts(rows):
     def rates(m):
         return {n: m[top] * by // m[under] if m[under] else 0 for n, (top, by, under, *_) in quality.RATES.items()}
 
-    def quartiles(keys, name):
-        bins = sorted(python_bin(rates(measured[k])[name]) for k in keys)
-        low = next(b for i, b in enumerate(bins, 1) if 4 * i >= len(bins))
-        high = next(b for i, b in enumerate(bins, 1) if 4 * i >= 3 * len(bins))
+    def bins(keys, name):
+        return Counter(python_bin(rates(measured[k])[name]) for k in keys)
+
+    def quartiles(group, language, name):
+        """Of the group's bins, with the language's at the weight of so many documents."""
+        wide = bins(language, name)
+        weight = Counter({b: n * quality.PRIOR_DOCUMENTS * quality.UNITS // wide.total() for b, n in wide.items()})
+        for b, n in bins(group, name).items():
+            weight[b] += n * quality.UNITS
+        upto, ends = 0, []
+        for b in sorted(weight):
+            upto += weight[b]
+            ends.append((b, upto))
+        low = next(b for b, n in ends if 4 * n >= upto)
+        high = next(b for b, n in ends if 4 * n >= 3 * upto)
         return python_low(low), python_low(high + 1) - 1
 
     out = {}
     for key, lang, source, _ in rows:
         kept = not failed[key]
         group = [k for k, la, so, _ in rows if (la, so) == (lang, source) and not failed[k]]
-        if len(group) < quality.GROUP_DOCUMENTS:
-            group = [k for k, la, _, _ in rows if la == lang and not failed[k]]
+        language = [k for k, la, _, _ in rows if la == lang and not failed[k]]
         for name, (*_, smallest, below) in quality.RATES.items() if kept else ():
-            low, high = quartiles(group, name)
+            low, high = quartiles(group, language, name)
             spread = 3 * max(high - low, smallest)
             rate = rates(measured[key])[name]
             kept &= rate <= high + spread and not (below and rate < low - spread)
@@ -111,6 +121,18 @@ def test_fences_adapt_to_the_group(spark):
     assert (kept[2000], kept[2001], kept[None]) == (False, True, False)
 
 
+def test_no_number_of_documents_reverses_the_verdict(spark):
+    """A clean source of its own kind beside much prose in the same language."""
+    shares = []
+    for number in (60, 99, 100, 101):
+        rng = random.Random(number)
+        rows = [(i, prose(rng), "en", "books") for i in range(300)]
+        rows += [(1000 + i, "# " * 60 + prose(rng), "en", "tables") for i in range(number)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        shares.append(sum(r.kept for r in quality_verdicts(frame).collect() if r.doc_id >= 1000) / number)
+    assert shares == [1.0] * 4
+
+
 def test_kept_documents_keep_their_columns(spark):
     rng = random.Random(2)
     rows = [(1, prose(rng), "en", "s", 5, "c"), (1, "short", "en", "s", 5, "c"), (2, "%&" * 90 + prose(rng), "en", None, None, None)]

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm.sharding import hilbert_index, hilbert_shards, octave_cell, shared_prefix, write_shards
+from lectern.llm.sharding import hilbert_index, hilbert_shards, octave_cell, string_cell, string_cuts, write_shards
 
 
 def index(x, bits):
@@ -60,19 +60,38 @@ def test_octaves_are_in_order(spark):
     assert [v and 4 * (v.bit_length() - 1) + ((v << 2 >> (v.bit_length() - 1)) & 3) for v in values] == cells
 
 
-def test_shared_prefix():
-    assert [shared_prefix(*p) for p in ((b"", b"a"), (b"ab", b"ab"), (b"abc", b"abd"), (b"ab", b"abd"))] == [0, 2, 2, 2]
+def brute_cells(values, most=255):
+    known = sorted({v for v in values if v is not None}, key=str.encode)
+    place = {v: 1 + i * most // max(most, len(known)) for i, v in enumerate(known)}
+    return [place.get(v, 0) for v in values]
 
 
-def brute_cells(values):
-    raw = [(v or "").encode() for v in values]
-    low, high = min(raw), max(raw)
-    skip = shared_prefix(low, high)
+@pytest.mark.parametrize("number, bits", [(1, 8), (20, 8), (255, 8), (256, 8), (1000, 8), (3, 1), (10, 2)])
+def test_strings_by_rank(spark, number, bits):
+    rng = random.Random(number)
+    values = ["", "é" * 40, None] + ["prefix" * 9 + "".join(rng.choices("abcXYZ01", k=9)) for _ in range(number)]
+    frame = spark.createDataFrame([(v,) for v in values], "value string")
+    cuts = string_cuts(frame, "value", bits)
+    got = {r.value: r.cell for r in frame.select("value", string_cell(F.col("value"), cuts, bits).alias("cell")).collect()}
+    assert got == dict(zip(values, brute_cells(values, (1 << bits) - 1), strict=True))
+    assert max(got.values()) < 1 << bits
 
-    def code(v):
-        return int.from_bytes(v[skip : skip + 4].ljust(4, b"\0"))
 
-    return [(code(v) - code(low)) * 256 // (code(high) - code(low) + 1) for v in raw]
+def test_a_null_leaves_the_other_cells_as_they_are(spark):
+    sources = [f"src{i:02d}" for i in range(20)]
+    for extra in ([], [None], [None, "", "zz-outlier"]):
+        frame = spark.createDataFrame([(v,) for v in sources + extra], "value string")
+        cell = string_cell(F.col("value"), string_cuts(frame, "value")).alias("cell")
+        assert frame.where("value LIKE 'src%'").select(cell).distinct().count() == 20
+        assert frame.select(cell).distinct().count() == 20 + len(extra)
+
+
+def test_the_callers_columns_stay(spark):
+    rows = [(i, f"s{i % 3}", "old", i) for i in range(30)]
+    frame = spark.createDataFrame(rows, "id long, shard string, slot string, hilbert long")
+    got = hilbert_shards(frame, ["shard"], ["hilbert"], ["id"], 4)
+    assert {"shard_", "slot_", "hilbert_", "shard", "slot", "hilbert"} < set(got.columns)
+    assert sorted((r.id, r.shard_, r.slot_, r.hilbert_) for r in got.collect()) == rows
 
 
 def test_query_against_brute_force(answer, documents):
