@@ -4,16 +4,20 @@ The distinct words of a batch that no earlier batch of the task has seen lie, as
 flat array. A round looks up the rank of every neighbouring pair by binary search over the sorted
 pair keys, takes each word's lowest rank, and merges all places of that pair in all words at once.
 Words without a pair to merge leave the array. Rounds are as many as the longest merge
-sequence of a word, not as many as words.
+sequence of a word, not as many as words. Long words would make many rounds over many symbols; in those, a
+round goes on to the next rank of all, and looks up only the pairs beside what it has merged. A merge makes
+no pair of a lower rank than its own, as a token is made before it is merged, so ranks only rise.
 
 Ids are those of the tokenizers library without added special tokens; the strings of special
 tokens in a text are their ids, as there. Defined cases: a null or empty text has no ids.
-Repeated rows are encoded alike. An empty table gives no rows.
+Very long texts and words are encoded whole. Repeated rows are encoded alike. An empty table gives no rows.
+Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 from functools import cache
 from itertools import chain
 
@@ -31,6 +35,7 @@ NO_RANK = np.iinfo(np.int64).max
 CACHED_WORDS = 400_000
 BLOCK_CHARS = 4_000_000
 ROUND_SYMBOLS = 2_000_000
+LONG_WORD = 512
 
 
 class Codec:
@@ -60,15 +65,71 @@ class Codec:
         self.flat: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, by binary search over the sorted keys."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == key, self.rank[at], NO_RANK)
+
+    def merge_long(self, symbols: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``merge``, rank by rank, looking at the neighbours of merged pairs only."""
+        symbols, size = symbols.copy(), len(symbols)
+        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        last = np.append(words[1:] != words[:-1], True)
+        after[last] = -1
+        before[np.r_[True, last[:-1]]] = -1
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[after[places] >= 0]
+            rank = self.ranks(symbols[places], symbols[after[places]])
+            places, rank = places[rank != NO_RANK], rank[rank != NO_RANK]
+            order = np.argsort(rank, kind="stable")
+            places, rank = places[order], rank[order]
+            for part in np.split(np.arange(len(rank)), np.flatnonzero(np.diff(rank)) + 1):
+                if len(part):
+                    own = int(rank[part[0]])
+                    if own not in waiting:
+                        heapq.heappush(heap, own)
+                    waiting.setdefault(own, []).append(places[part])
+
+        wait(np.arange(size))
+        while heap:
+            rank = heapq.heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(rank)))
+            # What was merged meanwhile is no symbol any more, or another one.
+            at = at[(symbols[at] >= 0) & (after[at] >= 0)]
+            at = at[self.ranks(symbols[at], symbols[after[at]]) == rank]
+            # Of a run of places, each the next symbol of the one before, take every other one.
+            follows = np.append(False, after[at[:-1]] == at[1:])[: len(at)]
+            index = np.arange(len(at))
+            at = at[(index - np.maximum.accumulate(np.where(follows, 0, index))) % 2 == 0]
+            if not len(at):
+                continue
+            gone = after[at]
+            beyond = after[gone]
+            symbols[at], symbols[gone] = self.made[rank], -1
+            after[at] = beyond
+            before[beyond[beyond >= 0]] = at[beyond >= 0]
+            left = before[at]
+            wait(np.unique(np.concatenate([left[left >= 0], at])))
+        where = np.flatnonzero(symbols >= 0)
+        return symbols[where], where
+
     def merge(self, symbols: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge rounds over ``symbols``, of which ``words`` tells the word; words are in order."""
         done_symbols, done_places, places = [], [], np.arange(len(symbols))
+        long = np.bincount(words)[words] > LONG_WORD if len(words) else np.zeros(0, bool)
+        if long.any():
+            merged, where = self.merge_long(symbols[long], words[long])
+            done_symbols.append(merged)
+            done_places.append(places[long][where])
+            symbols, words, places = symbols[~long], words[~long], places[~long]
         while len(symbols):
-            key = symbols[:-1] << 32 | symbols[1:]
-            at = np.searchsorted(self.keys, key)
-            at[at == len(self.keys)] = 0
-            found = (self.keys[at] == key) & (words[:-1] == words[1:])
-            rank = np.append(np.where(found, self.rank[at], NO_RANK), NO_RANK)
+            rank = self.ranks(symbols[:-1], symbols[1:])
+            rank = np.append(np.where(words[:-1] == words[1:], rank, NO_RANK), NO_RANK)
             first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
             best = np.minimum.reduceat(rank, first)
             size = np.diff(np.append(first, len(words)))
@@ -128,17 +189,14 @@ class Codec:
         numbers = self.numbers
         new = [w for w in dict.fromkeys(chain.from_iterable(words)) if w not in numbers]
         if new:
-            numbers |= zip(new, range(len(numbers), len(numbers) + len(new)), strict=True)
-            marked = [w in self.special for w in new] if any(w in self.special for w in new) else None
-            if marked is None:
-                self.learn(new)
-            else:
-                for word, special in zip(new, marked, strict=True):
-                    if special:
-                        self.flat.append(np.array([self.special[word]], np.int32))
-                        self.counts.append(np.array([1]))
-                    else:
-                        self.learn([word])
+            special = [w for w in new if w in self.special]
+            plain = [w for w in new if w not in self.special] if special else new
+            for word in chain(plain, special):
+                numbers[word] = len(numbers)
+            if plain:
+                self.learn(plain)
+            self.flat.append(np.array([self.special[word] for word in special], np.int32))
+            self.counts.append(np.ones(len(special), np.int64))
             self.flat, self.counts = [np.concatenate(self.flat)], [np.concatenate(self.counts)]
         if not numbers:
             return [np.empty(0, np.int32) for _ in texts]

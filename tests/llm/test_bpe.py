@@ -1,7 +1,9 @@
 import hashlib
 import random
+import time
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from lectern.llm import bpe
@@ -58,6 +60,32 @@ def test_small_blocks_and_cache(monkeypatch):
     assert [ids.tolist() for ids in Codec().encode_batch(texts)] == want
 
 
+@pytest.mark.parametrize("limit", [0, 3, 100])
+def test_long_words_rank_by_rank(monkeypatch, limit):
+    monkeypatch.setattr(bpe, "LONG_WORD", limit)
+    rng = random.Random(limit)
+    texts = strange_texts()[-600:]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(400))) for letters in ("ab", "aé", "the", "qwertyuiopasdf", "aAbB") for _ in range(40)]
+    assert [ids.tolist() for ids in Codec().encode_batch(texts)] == [ids_of(text) for text in texts]
+
+
+def test_a_word_of_a_million_letters():
+    rng = random.Random(3)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    begin = time.perf_counter()
+    ids = Codec().encode_batch([word, "x" * 1_000_000])
+    assert time.perf_counter() - begin < 60
+    assert [i.tolist() for i in ids] == [encode(word), encode("x" * 1_000_000)]
+
+
+def test_a_special_token_costs_nothing():
+    words = " ".join(f"new{i}word" for i in range(20_000))
+    begin = time.perf_counter()
+    ids = Codec().encode_batch([words, "a<|endoftext|>b"])
+    assert time.perf_counter() - begin < 3
+    assert [i.tolist() for i in ids] == [ids_of(words), ids_of("a<|endoftext|>b")]
+
+
 def test_query_against_the_library(answer, documents):
     got = {r.doc_id: r for r in answer("op10_bpe")}
     assert len(got) == len(documents)
