@@ -6,7 +6,8 @@ of them are scored in batches, and the text's scores are the means over its wind
 their bytes.
 
 The model learns from a bounded sample: for each language at most SAMPLE_DOCUMENTS documents,
-fewer where there are so many languages that they would pass SAMPLE_TOTAL together, chosen by a
+fewer where there are so many languages that they would pass SAMPLE_TOTAL together, but one at least, of
+the SAMPLE_TOTAL languages with most documents, chosen by a
 hash of the identifier, and at most SAMPLE_WINDOWS windows of each. Everything else covers
 all documents. Training is deterministic.
 
@@ -36,7 +37,6 @@ HELD_OUT_FOLD = 2
 SAMPLE_DOCUMENTS = 250
 SAMPLE_TOTAL = 20_000
 SAMPLE_WINDOWS = 8
-MAX_LANGUAGES = 500
 
 WINDOW_BYTES = 256
 EMBEDDING = 8
@@ -212,12 +212,12 @@ def training_sample(documents: DataFrame, documents_each: int = SAMPLE_DOCUMENTS
     """``(lang, windows)`` for at most ``documents_each`` documents of a language.
 
     Languages are counted first, so that a hash of the identifier thins each to about twice
-    the sample before any text is read; the rest is a ranking cut short in every task.
+    the sample before any text is read; the rest is a ranking cut short in every task. All languages
+    together have at most SAMPLE_TOTAL documents, each one at least. Of more languages than that, those with
+    most documents are learned.
     """
     known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id") != HELD_OUT_FOLD))
-    counted = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(counted) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counted = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_TOTAL).collect()
     if not counted:
         return known.select("lang", F.array().cast("array<binary>").alias("windows"))
     documents_each = min(documents_each, SAMPLE_TOTAL // len(counted))
@@ -225,7 +225,7 @@ def training_sample(documents: DataFrame, documents_each: int = SAMPLE_DOCUMENTS
     shares = documents.sparkSession.createDataFrame(rows, "lang string, share double")
     mixed = F.xxhash64(F.lit("sample"), "doc_id")
     place = Window.partitionBy("lang").orderBy("_mixed", "doc_id")
-    # At most MAX_LANGUAGES rows.
+    # At most SAMPLE_TOTAL rows.
     chosen = (
         known.withColumn("_mixed", mixed)
         .join(F.broadcast(shares), "lang")

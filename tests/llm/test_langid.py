@@ -92,3 +92,15 @@ def test_nothing_to_learn_from(spark):
     frame = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in identify_languages(frame).collect()] == [(UNDETERMINED, 0.0)]
     assert identify_languages(frame.limit(0)).count() == 0
+
+
+def test_many_labels_are_learned_together(spark, monkeypatch):
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    rows = [(i, f"text of kind {i % 600} and no other {i}", f"l{i % 600:03d}") for i in range(1500)] + [(9999, "word", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.identify_languages(frame).collect()
+    assert len(found) == 1501 and all(0 < r.score <= 1 for r in found)
+    # Where the bound is lower than the number of labels, the most frequent ones are learned.
+    monkeypatch.setattr(langid, "SAMPLE_TOTAL", 3)
+    more = frame.unionByName(spark.createDataFrame([(20_000 + i, "usual", f"often{i % 3}") for i in range(300)], frame.schema))
+    assert {r.lang for r in langid.training_sample(more).collect()} == {"often0", "often1", "often2"}
