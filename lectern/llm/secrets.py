@@ -6,8 +6,9 @@ entropy. What a window must reach depends on its character class: hexadecimal, o
 digits, or mixed case with digits. Windows with fewer digits, and candidates shorter than a window,
 which are one themselves, count by their share of the greatest entropy, unless their letters follow
 each other as in words. Windows of digits alone never count, and neither does a candidate on the
-allow list (UUIDs, runs of the alphabet, paths of words). make one span, of the kind ``entropy``. What a pattern covers is taken out of it; the stretches
-beside the pattern stay, except those of whole words and separators.
+allow list (UUIDs, runs of the alphabet, paths of words). Windows that overlap or touch make one
+span, of the kind ``entropy``. What a pattern covers is taken out of it; the stretches beside the
+pattern stay, except those of whole words and separators.
 
 Defined cases: a null or empty text has no spans. Repeated rows are scanned alike. Positions
 are code points, ends exclusive. An empty table gives no rows.
@@ -69,7 +70,8 @@ ALLOWED = (
 )
 
 # What may stand beside a pattern's span without being part of a secret: ``commit/``, ``my_``, ``--``.
-PLAIN = re.compile(r"([A-Z]?[a-z]{2,}|[A-Z]{2,}|[+/_=-]+)*")
+# Each part takes all it can and gives nothing back, or long runs of letters would be tried in every way.
+PLAIN = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[+/_=-]++)*+")
 
 MASK = "[SECRET]"
 

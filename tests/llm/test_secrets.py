@@ -1,8 +1,10 @@
 import hashlib
+import itertools
 import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import pytest
@@ -126,6 +128,24 @@ def test_words_beside_a_pattern_stay():
     assert masked(f"my_token={RANDOM_KEY}.x") == f"my_{secrets.MASK}"
 
 
+@pytest.mark.parametrize("letters", [60, 10_000, 300_000])
+def test_long_runs_of_letters_beside_a_pattern_end(letters):
+    rng = random.Random(letters)
+    run, digest = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=letters)), "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    begin = time.perf_counter()
+    spans = find_secrets(f"id {run}7/{digest}")
+    assert time.perf_counter() - begin < (0.2 if letters == 60 else 30)
+    assert any(s.end - s.start == 40 for s in spans)
+
+
+def test_plain_stretches():
+    old = re.compile(r"([A-Z]?[a-z]{2,}|[A-Z]{2,}|[+/_=-]+)*")
+    for length in range(8):
+        for chars in itertools.product("Ab/7", repeat=length):
+            text = "".join(chars)
+            assert bool(old.fullmatch(text)) == bool(secrets.PLAIN.fullmatch(text)), text
+
+
 def test_masked():
     assert masked(f"a {RANDOM_KEY} b token: {'ab' * 20} c") == f"a {secrets.MASK} b {secrets.MASK} c"
     assert masked(None) is None and masked("clean") == "clean"
