@@ -2,13 +2,14 @@
 
 A text becomes words: ASCII lower case, cut at every other ASCII character. One automaton finds
 all phrases, overlaps included. Where it finds an identifier tag, the expression after the tag is
-read from the text itself and evaluated: ``or`` is a choice, so the freer side counts; ``and``
+read from the text itself, over line ends inside brackets, and evaluated: ``or`` is a choice, so the freer side counts; ``and``
 binds to both, so the stricter side counts; ``with`` adds an exception to the licence before it.
 
 Score: how free the licences found leave a reader, the least over notices and expressions; 0 where none was
 found. Defined cases: a null or empty text has no words. A malformed expression gives no labels.
 An identifier that is not known keeps its own name and scores UNKNOWN. Repeated rows are scanned
-alike. An empty table gives no rows.
+alike. Very long texts are scanned whole. Other columns are not looked at, whatever their names. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,34 +34,53 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 
-# Further notices, and what follows an identifier tag.
+# Further notices: names, and how the bodies of the usual licences begin.
 NOTICES = {
     "apache license 2 0": "apache-2",
+    "artistic license": "artistic",
+    "boost software license": "boost",
     "bsd 2 clause license": "bsd",
     "bsd 3 clause license": "bsd",
+    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "cc0 1 0 universal": "cc0",
+    "creative commons attribution 4 0": "cc-by",
     "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
     "gnu affero general public license": "agpl",
+    "gnu free documentation license": "gfdl",
     "gnu general public license": "gpl",
     "gnu lesser general public license": "lgpl",
+    "isc license": "isc",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
     "mozilla public license": "mpl",
-    "all rights reserved": "proprietary",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "zlib license": "zlib",
 }
+# Opens free licences as well, and so counts only where nothing else is found.
+RESERVED = "all rights reserved"
 TAG = "spdx license identifier"
-TAG_TEXT = re.compile(rb"spdx-license-identifier:?[ \t]*([^\r\n]*)", re.IGNORECASE)
+TAG_TEXT = re.compile(rb"spdx-license-identifier:?[ \t]*", re.IGNORECASE)
+COMMENT = re.compile(rb"^(?:[#;%*!]+|//+|--+|/\*+|<!--)?[ \t]*")
 
 # How free: 1 permissive, less for each duty.
 FREEDOM = {
-    "mit": 1.0, "apache-2": 1.0, "bsd": 1.0, "cc0": 1.0, "mpl": 0.7, "lgpl": 0.6, "gpl": 0.4, "agpl": 0.3,
-    "cc-by-nc": 0.2, "proprietary": 0.0,
+    "mit": 1.0, "apache-2": 1.0, "bsd": 1.0, "isc": 1.0, "zlib": 1.0, "boost": 1.0, "unlicense": 1.0, "cc0": 1.0,
+    "cc-by": 0.9, "artistic": 0.8, "mpl": 0.7, "epl": 0.6, "lgpl": 0.6, "eupl": 0.5, "cc-by-sa": 0.5, "gpl": 0.4,
+    "gfdl": 0.4, "agpl": 0.3, "cc-by-nc": 0.2, "proprietary": 0.0,
 }
 UNKNOWN = 0.1
 EXCEPTION = 0.1
 
-# Identifiers of a family begin so, in lower case.
-FAMILIES = (
-    ("agpl", "agpl"), ("apache-2", "apache-2"), ("bsd", "bsd"), ("cc-by-nc", "cc-by-nc"), ("cc0", "cc0"),
-    ("gpl", "gpl"), ("lgpl", "lgpl"), ("mit", "mit"), ("mpl", "mpl"),
-)
+# What identifiers of a family are called, in lower case; a version or a variant may follow.
+FAMILIES = {
+    "agpl": "agpl", "apache-2": "apache-2", "artistic": "artistic", "bsd": "bsd", "bsl-1": "boost", "cc-by-nc": "cc-by-nc",
+    "cc-by-sa": "cc-by-sa", "cc-by": "cc-by", "cc0": "cc0", "epl": "epl", "eupl": "eupl", "gfdl": "gfdl", "gpl": "gpl",
+    "isc": "isc", "lgpl": "lgpl", "mit": "mit", "mpl": "mpl", "unlicense": "unlicense", "zlib": "zlib",
+}
+IDENTIFIER = re.compile(rf"({'|'.join(sorted(FAMILIES, key=len, reverse=True))})(?=$|[-.+]|v?[0-9])")
 
 WORD_TABLE = bytes(
     byte + 32 if 0x41 <= byte <= 0x5A else byte if 0x30 <= byte <= 0x39 or 0x61 <= byte <= 0x7A or byte >= 0x80 else 32
@@ -76,8 +96,10 @@ class Terms(NamedTuple):
 
 
 def label_of(identifier: str) -> str:
+    """The family of an identifier, if its name is one, alone or before a version; else the name."""
     low = identifier.lower()
-    return next((label for start, label in FAMILIES if low.startswith(start)), low)
+    family = IDENTIFIER.match(low)
+    return FAMILIES[family[1]] if family else low
 
 
 def evaluate(expression: str) -> Terms | None:
@@ -125,11 +147,34 @@ def evaluate(expression: str) -> Terms | None:
     return values[0]
 
 
+def expression_at(data: bytes, start: int) -> str:
+    """The rest of the line, and while a bracket is open the next ones, without comment marks.
+
+    An empty line or another tag ends it.
+    """
+    pieces: list[bytes] = []
+    depth = 0
+    while start <= len(data):
+        end = data.find(b"\n", start)
+        end = len(data) if end < 0 else end
+        line = data[start:end].strip()
+        if pieces:
+            line = COMMENT.sub(b"", line)
+            if not line or TAG_TEXT.search(line):
+                break
+        pieces.append(line)
+        depth += line.count(b"(") - line.count(b")")
+        if depth <= 0:
+            break
+        start = end + 1
+    return b" ".join(pieces).decode("utf-8", "replace")
+
+
 @cache
 def automaton() -> ahocorasick.Automaton:
     """All phrases between blanks; text and phrases are bytes read as Latin-1."""
     found = ahocorasick.Automaton()
-    for phrase in (*BASE, *NOTICES, TAG):
+    for phrase in (*BASE, *NOTICES, RESERVED, TAG):
         found.add_word(f" {phrase} ", phrase)
     found.make_automaton()
     return found
@@ -150,22 +195,26 @@ def scan(text: str | None) -> Scan:
     words = data.translate(WORD_TABLE).split()
     line = b" ".join([b"", *words, b""]).decode("latin-1")
     base_at: list[int] = []
-    base, labels, scores, tagged = set(), set(), [], False
+    base, labels, scores, tagged, reserved = set(), set(), [], False, False
     for end, phrase in automaton().iter(line):
         if phrase in BASE:
             base_at.append(end - len(phrase) - 1)
             base.add(BASE[phrase])
         tagged |= phrase == TAG
+        reserved |= phrase == RESERVED
         label = BASE.get(phrase) or NOTICES.get(phrase)
         if label and label not in labels:
             labels.add(label)
             scores.append(FREEDOM[label])
     if tagged:
         for match in TAG_TEXT.finditer(data):
-            terms = evaluate(match[1].decode("utf-8", "replace"))
+            terms = evaluate(expression_at(data, match.end()))
             if terms:
                 labels |= terms.labels
                 scores.append(terms.freedom)
+    if reserved and not labels:
+        labels.add("proprietary")
+        scores.append(FREEDOM["proprietary"])
     starts = [None, None]
     if base_at:
         blanks = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)

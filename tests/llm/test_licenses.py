@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from lectern.llm.licenses import BASE, evaluate, license_scan, scan
+from lectern.llm.licenses import BASE, evaluate, label_of, license_scan, scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -74,6 +74,37 @@ def test_tags_add_labels():
     assert scan("GNU General Public License, version 3").labels == "gpl"
 
 
+def test_rights_reserved_open_free_licences_too():
+    header = "Copyright 2020 A. All rights reserved.\n\nBSD 3-Clause License\n"
+    assert (scan(header).labels, scan(header).score) == ("bsd", 1.0)
+    body = "All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted"
+    assert (scan(body).labels, scan(body).score) == ("bsd", 1.0)
+    assert (scan("All rights reserved.").labels, scan("All rights reserved.").score) == ("proprietary", 0.0)
+
+
+@pytest.mark.parametrize(
+    "identifier, label",
+    [
+        ("MIT", "mit"), ("MIT-0", "mit"), ("Mitre", "mitre"), ("mitigate-1.0", "mitigate-1.0"), ("GPLv3", "gpl"), ("GPL-3.0+", "gpl"),
+        ("BSD-3-Clause", "bsd"), ("bsdiff", "bsdiff"), ("Apache-2.0", "apache-2"), ("Apache-20", "apache-2"), ("CC-BY-4.0", "cc-by"),
+        ("CC-BY-SA-4.0", "cc-by-sa"), ("CC-BY-NC-ND-4.0", "cc-by-nc"), ("ISC", "isc"), ("BSL-1.0", "boost"), ("iscsi", "iscsi"),
+    ],
+)
+def test_identifiers_are_matched_whole(identifier, label):
+    assert label_of(identifier) == label
+
+
+def test_expressions_over_comment_lines():
+    tag = "SPDX-License-Identifier: (MIT OR"
+    for mark in ("# ", "// ", " * ", "-- ", ""):
+        assert scan(f"{mark}{tag}\n{mark}  GPL-2.0-only)\n{mark}rest AND MPL-2.0").labels == "gpl,mit"
+    assert scan(f"# {tag}\n#\n# GPL-2.0-only)").labels == ""
+    assert scan(f"# {tag}\r\n# (AGPL-3.0\r\n# AND ISC))\r\n").labels == "agpl,isc,mit"
+    assert scan(f"# {tag}\n# SPDX-License-Identifier: ISC").labels == "isc"
+    assert scan(f"{tag}").labels == ""
+    assert scan("SPDX-License-Identifier: (\n" * 20_000).labels == ""
+
+
 def test_query_against_brute_force(answer, documents):
     texts = {d.doc_id: d.text for d in documents}
     got = answer("op3_licenses")
