@@ -48,8 +48,8 @@ MATCH_BYTES = 100
 HOT_ANCHORS = 1_000_000
 BLOCK_BYTES = 1 << 20
 
-# A task takes the texts of one group at a time, about this many bytes.
-GROUP_BYTES = 256 * 1024 * 1024
+# A task takes the texts of one group at a time, about this many bytes; sorting them takes up to nine times that.
+GROUP_BYTES = 32 * 1024 * 1024
 LAST = (1 << 63) - 1
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
