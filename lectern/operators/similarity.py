@@ -9,7 +9,7 @@ Similarities are published to four places, and so compared, ranked and cut off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,11 +95,11 @@ def _named(units: DataFrame, key: str, number: int, *keep: str) -> DataFrame:
     )
 
 
-def _suffixes(weights: DataFrame, key: str) -> DataFrame:
-    """``(key, word, unit, left, rest)``, written once.
+def _suffixes(weights: DataFrame, key: str, postings_per_part: int) -> DataFrame:
+    """``(key, word, long, unit, left, rest)``, written once.
 
-    Words are taken from the rarest on. ``left`` is the length of a unit vector from a word on, ``rest``
-    the length after it.
+    Words are taken from the rarest on; ``long`` are those in more than ``postings_per_part`` documents, the last
+    ones. ``left`` is the length of a unit vector from a word on, ``rest`` the length after it.
     """
     square = F.col("unit") ** 2
     # From the end on, as Spark adds up a frame that grows, but starts anew on one that shrinks.
@@ -111,6 +111,7 @@ def _suffixes(weights: DataFrame, key: str) -> DataFrame:
         cut.select(
             key,
             "word",
+            (F.col("doc_freq") > postings_per_part).alias("long"),
             "unit",
             F.sqrt("squares").alias("left"),
             F.sqrt(F.greatest(F.col("squares") - square, F.lit(0.0))).alias("rest"),
@@ -138,31 +139,44 @@ def _parted(postings: DataFrame, key: str, least: float, postings_per_part: int)
         .agg(
             F.sum("postings").alias("postings"),
             F.flatten(
-                F.collect_list(F.transform("salts", lambda salt: F.struct("band", salt.alias("salt"), "longest")))
+                F.collect_list(F.transform("salts", lambda salt: F.struct(_part(F.col("band"), salt).alias("part"), "longest")))
             ).alias("parts"),
+            F.map_from_entries(F.collect_list(F.struct("band", F.size("salts")))).alias("salts"),
         )
         .where(F.col("postings") > size)
-        .select("word", "parts")
+        .select("word", "parts", "salts")
     )
     band = F.floor(F.col("left") * LEFT_BANDS).cast("int")
-    salts = F.size(F.filter("parts", lambda part: part["band"] == band))
+    own = _part(band, F.pmod(F.xxhash64(key), F.try_element_at("salts", band)))
     within = F.filter("parts", lambda part: part["longest"] * F.col("left") >= least)
-    alone = F.struct(F.lit(0).alias("band"), F.lit(0).alias("salt"))
-    own = F.struct(band.alias("band"), F.pmod(F.xxhash64(key), salts).cast("int").alias("salt"))
-    met = F.transform(within, lambda part: F.struct(part["band"].alias("band"), part["salt"].alias("salt")))
+    alone = F.lit(0).cast("long")
     cut = F.col("parts").isNotNull()
     return (
         postings.join(F.broadcast(hot), "word", "left")
         .withColumn("part", F.when(cut, own).otherwise(alone))
-        .withColumn("partners", F.when(cut, met).otherwise(F.array(alone)))
-        .drop("parts")
+        .withColumn("partners", F.when(cut, F.transform(within, lambda part: part["part"])).otherwise(F.array(alone)))
+        .drop("parts", "salts")
     )
 
 
+def _part(band: Column, salt: Column) -> Column:
+    """One number for a band and a salt of it."""
+    return band.cast("long") * (1 << 40) + salt.cast("long")
+
+
+def _meets(least: float) -> Column:
+    """Whether the postings of a word are joined: a condition that, once failed, fails for all later words.
+
+    Both lengths that are left must reach ``least``; in long lists, their product must.
+    """
+    left, right = F.col("left1"), F.col("left2")
+    return (left >= least) & (right >= least) & (~F.col("long1") | (left * right >= least))
+
+
 def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
     """``(book1, book2, dot)``: pairs that can reach ``least``, with the products that led to them."""
     leading = _parted(suffixes.where(F.col("left") >= least), key, least, postings_per_part)
-    carried = ["unit", "left", "rest"]
+    carried = ["long", "unit", "left", "rest"]
     first = _named(leading, key, 1, *carried, "part", "partners").withColumnRenamed("part1", "side1")
     second = _named(leading, key, 2, *carried, "part", "partners").withColumnRenamed("part2", "side2")
     first = first.withColumn("side2", F.explode("partners1")).drop("partners1")
@@ -170,7 +184,7 @@ def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part:
     beyond = F.min(F.col("rest1") * F.col("rest2"))
     return (
         first.join(second, ["word", "side1", "side2"])
-        .where((F.col("book1") < F.col("book2")) & (F.col("left1") * F.col("left2") >= least))
+        .where((F.col("book1") < F.col("book2")) & _meets(least))
         .groupBy("book1", "book2")
         .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"), beyond.alias("beyond"))
         .where(F.col("dot") + F.col("beyond") >= least)
@@ -186,23 +200,23 @@ def pairwise_cosine(
     The threshold is part of the question; without it the answer grows with the square of the
     documents. It also bounds the work. Words are taken from the rarest on. From the first word that two documents share, no
     more can come together than the product of the lengths that are left of their unit vectors. So postings
-    of a word meet only where that product reaches the threshold: the first shared word of every similar pair
-    is among them. Long posting lists are cut into parts of bounded size, by that length, and
-    parts whose greatest lengths stay below the threshold never meet. Pairs whose products so far and
-    greatest possible rest stay below the threshold go at once. For the others, the products that are
-    missing are added.
+    of a word meet only where each length reaches the threshold, and in long lists only where the product does: the
+    first shared word of every similar pair is among them. Long lists are cut into parts of bounded size, by
+    that length, and parts whose greatest lengths stay below the threshold never meet. Pairs whose products
+    so far and greatest possible rest stay below the threshold go at once. For the others, the products
+    that are missing are added.
     """
     if not min_similarity > 0:
         raise ValueError("min_similarity must be above 0")
     # Half a published place, so that rounding up to the threshold is not lost.
     least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
-    suffixes = _suffixes(weights, key)
+    suffixes = _suffixes(weights, key, postings_per_part)
     met = _candidates(suffixes, key, least, postings_per_part)
     missing = (
         met.select("book1", "book2")
-        .join(_named(suffixes, key, 1, "unit", "left"), "book1")
+        .join(_named(suffixes, key, 1, "long", "unit", "left"), "book1")
         .join(_named(suffixes, key, 2, "unit", "left"), ["book2", "word"])
-        .where(F.col("left1") * F.col("left2") < least)
+        .where(~_meets(least))
         .select("book1", "book2", (F.col("unit1") * F.col("unit2")).alias("dot"))
     )
     dots = met.unionByName(missing).groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))

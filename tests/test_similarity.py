@@ -99,7 +99,7 @@ def test_long_posting_lists_are_cut(spark):
     rows = [(f"d{i:03d}", [w for w in words for _ in range(chance.randrange(1, 9)) if chance.random() < 0.9]) for i in range(300)]
     frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
     weights = terms.tf_idf(frame, "doc").persist()
-    suffixes = similarity._suffixes(weights, "doc")
+    suffixes = similarity._suffixes(weights, "doc", 20)
     leading = suffixes.where("left >= 0.9")
     parted = similarity._parted(leading, "doc", 0.9, 20)
     own = [r["count"] for r in parted.groupBy("word", "part").count().collect()]
