@@ -99,22 +99,27 @@ def _suffixes(weights: DataFrame, key: str, postings_per_part: int) -> DataFrame
     """``(key, word, long, unit, left, rest)``, written once.
 
     Words are taken from the rarest on; ``long`` are those in more than ``postings_per_part`` documents, the last
-    ones. ``left`` is the length of a unit vector from a word on, ``rest`` the length after it.
+    ones. ``left`` is the length of a unit vector from a word on, ``rest`` the length after it. One shuffle by
+    document and one sort serve the vector's length and what is left of it.
     """
-    square = F.col("unit") ** 2
+    square = F.col("tfidf") ** 2
+    whole = Window.partitionBy(key)
     # From the end on, as Spark adds up a frame that grows, but starts anew on one that shrinks.
-    onward = Window.partitionBy(key).orderBy(F.desc("doc_freq"), F.desc("word"))
-    onward = onward.rowsBetween(Window.unboundedPreceding, 0)
-    cut = _unit_weights(weights, key).withColumn("squares", F.sum(square).over(onward))
-    # Two plans may add up a length in two orders; the products below must be told apart alike in both.
+    onward = whole.orderBy(F.desc("doc_freq"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
+    cut = (
+        weights.where("tfidf != 0")
+        .select(key, "word", "doc_freq", "tfidf")
+        .withColumn("squares", F.sum(square).over(onward))
+        .withColumn("total", F.sum(square).over(whole))
+    )
     return written(
         cut.select(
             key,
             "word",
             (F.col("doc_freq") > postings_per_part).alias("long"),
-            "unit",
-            F.sqrt("squares").alias("left"),
-            F.sqrt(F.greatest(F.col("squares") - square, F.lit(0.0))).alias("rest"),
+            (F.col("tfidf") / F.sqrt("total")).alias("unit"),
+            F.sqrt(F.col("squares") / F.col("total")).alias("left"),
+            F.sqrt(F.greatest(F.col("squares") - square, F.lit(0.0)) / F.col("total")).alias("rest"),
         ),
         "suffixes",
     )
@@ -174,7 +179,7 @@ def _meets(least: float) -> Column:
 
 
 def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
-    """``(book1, book2, dot)``: pairs that can reach ``least``, with the products that led to them."""
+    """``(book1, book2)``: pairs that can reach ``least``, by the products that led to them."""
     leading = _parted(suffixes.where(F.col("left") >= least), key, least, postings_per_part)
     carried = ["long", "unit", "left", "rest"]
     first = _named(leading, key, 1, *carried, "part", "partners").withColumnRenamed("part1", "side1")
@@ -188,7 +193,33 @@ def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part:
         .groupBy("book1", "book2")
         .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"), beyond.alias("beyond"))
         .where(F.col("dot") + F.col("beyond") >= least)
-        .select("book1", "book2", "dot")
+        .select("book1", "book2")
+    )
+
+
+def _products(pairs: DataFrame, suffixes: DataFrame, key: str, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+    """``(book1, book2, dot)``: the whole products of the pairs' vectors.
+
+    Vectors meet as maps and not word by word, so a pair moves one row. They are cut by a hash of the word, all into the
+    same number of chunks, so that the longest has about ``chunk_size`` words in each.
+    """
+    longest = suffixes.groupBy(key).agg(F.count("*").alias("words"))
+    chunks = longest.agg(F.ceil(F.coalesce(F.max("words"), F.lit(1)) / chunk_size)).scalar()
+    vectors = (
+        suffixes.select(key, "word", "unit", F.pmod(F.xxhash64("word"), chunks).alias("chunk"))
+        .groupBy(key, "chunk")
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", "unit"))).alias("vector"))
+    )
+    first, second = (
+        vectors.select(F.col(key).alias(f"book{i}"), "chunk", F.col("vector").alias(f"vector{i}")) for i in (1, 2)
+    )
+    both = F.map_values(F.map_zip_with("vector1", "vector2", lambda _, unit1, unit2: unit1 * unit2))
+    product = F.aggregate(both, F.lit(0.0), lambda total, part: total + F.coalesce(part, F.lit(0.0)))
+    return (
+        pairs.join(first, "book1")
+        .join(second, ["book2", "chunk"])
+        .groupBy("book1", "book2")
+        .agg(F.sum(product).alias("dot"))
     )
 
 
@@ -203,23 +234,14 @@ def pairwise_cosine(
     of a word meet only where each length reaches the threshold, and in long lists only where the product does: the
     first shared word of every similar pair is among them. Long lists are cut into parts of bounded size, by
     that length, and parts whose greatest lengths stay below the threshold never meet. Pairs whose products
-    so far and greatest possible rest stay below the threshold go at once. For the others, the products
-    that are missing are added.
+    so far and greatest possible rest stay below the threshold go at once. The others' vectors are multiplied whole.
     """
     if not min_similarity > 0:
         raise ValueError("min_similarity must be above 0")
     # Half a published place, so that rounding up to the threshold is not lost.
     least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
     suffixes = _suffixes(weights, key, postings_per_part)
-    met = _candidates(suffixes, key, least, postings_per_part)
-    missing = (
-        met.select("book1", "book2")
-        .join(_named(suffixes, key, 1, "long", "unit", "left"), "book1")
-        .join(_named(suffixes, key, 2, "unit", "left"), ["book2", "word"])
-        .where(~_meets(least))
-        .select("book1", "book2", (F.col("unit1") * F.col("unit2")).alias("dot"))
-    )
-    dots = met.unionByName(missing).groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
+    dots = _products(_candidates(suffixes, key, least, postings_per_part), suffixes, key)
     # Rounding can lift the cosine of equal directions a little above 1.
     cosine = dots.select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
     return cosine.where(F.round("similarity", PLACES) >= min_similarity)
