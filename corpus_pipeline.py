@@ -1,7 +1,8 @@
 """From raw documents to packed token sequences, in five stages.
 
 Each stage works on all rows that the one before kept, and is written before the next one reads
-it. The first four return the columns of ``documents``; the last returns the packed pieces.
+it. The first four return the columns of ``documents``; the last returns the packed pieces with
+their token ids.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs)
+    return pack_documents(docs, keep_ids=True)
 
 
 STAGES = [
