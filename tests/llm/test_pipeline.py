@@ -44,10 +44,11 @@ def test_run(spark, sf_dir, documents):
     library = Tokenizer.from_file(VOCABULARY)
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     check_layout(rows, 1024)
-    tokens = defaultdict(int)
-    for row in rows:
-        tokens[row.doc_id] += row.length
-    assert tokens == {d.doc_id: len(library.encode(masked(d.text), add_special_tokens=False).ids) + 1 for d in survivors(documents)}
+    tokens = defaultdict(list)
+    for row in sorted(rows, key=lambda row: row.piece):
+        assert len(row.ids) == row.length
+        tokens[row.doc_id] += row.ids
+    assert tokens == {d.doc_id: [*library.encode(masked(d.text), add_special_tokens=False).ids, 2] for d in survivors(documents)}
 
 
 def test_odd_rows(spark, sf_dir):
