@@ -8,7 +8,8 @@ two texts of one length and SHA-256, they would show as two owners of one digest
 
 Defined cases: a null text counts as empty. A null identifier is larger than any other; a
 group of null identifiers only has a null ``keep_id``. Rows that repeat an identifier and its
-text are one document. An empty table gives no rows. Other columns are not looked at.
+text are one document. Very long texts are compared whole. An empty table gives no rows. Other columns are not
+looked at, whatever their names; survivors keep theirs.
 """
 
 from __future__ import annotations

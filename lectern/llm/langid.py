@@ -13,7 +13,8 @@ all documents. Training is deterministic.
 
 Defined cases: a null text or one without letters is ``und`` with score 0. Rows with a null
 language, or an identifier of the held-out fold or null, are not learnt from. With no
-row to learn from, every text is ``und``. Repeated rows are predicted alike. An empty table
+row to learn from, every text is ``und``. Repeated rows are predicted alike. Very long texts
+are predicted from all their windows. Other columns are not looked at, whatever their names. An empty table
 gives no rows.
 """
 

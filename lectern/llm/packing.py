@@ -8,8 +8,8 @@ used as often as the counts allow, and then removed. Each piece finds its place
 among the pieces of its length, which a range sort gives; no piece passes the driver.
 
 Defined cases: a null or empty text is one piece, its end token. Repeated rows are packed each.
-Pieces are ranked by length, identifier and place; a null identifier comes first. An empty table
-gives no rows.
+Pieces are ranked by length, identifier and place; a null identifier comes first. Very long texts
+are encoded whole, and cut. Other columns are not looked at, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ fences are joined to the documents.
 
 Defined cases: a null text has no words and fails. A null language or source is a group of its
 own. Repeated rows are judged alike. An empty table gives no rows. Sketches hold the documents
-that pass the base rules; where a group has none, nothing is left to judge.
+that pass the base rules; where a group has none, nothing is left to judge. Very long texts
+are counted whole. Other columns are not looked at, whatever their names; kept rows keep theirs.
 """
 
 from __future__ import annotations

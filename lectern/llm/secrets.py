@@ -11,7 +11,8 @@ span, of the kind ``entropy``. What a pattern covers is taken out of it; the str
 pattern stay, except those of whole words and separators.
 
 Defined cases: a null or empty text has no spans. Repeated rows are scanned alike. Positions
-are code points, ends exclusive. An empty table gives no rows.
+are code points, ends exclusive. Very long texts are scanned whole. Other columns are not looked at, whatever
+their names; masked rows keep theirs. An empty table gives no rows.
 """
 
 from __future__ import annotations

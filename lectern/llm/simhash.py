@@ -16,7 +16,8 @@ moves 2 KB a fingerprint in place of the 17 KB of the variants with their origin
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other. Repeated
 rows and copies collapse to one fingerprint before the balls are made. A component of which no
-row has an identifier has a null ``component_id``. An empty table gives no rows.
+row has an identifier has a null ``component_id``. All shingles of very long texts count. Other columns
+are not looked at, whatever their names; survivors keep theirs. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ one 8-byte hash for every ``hot_anchors`` anchors.
 
 Defined cases: a null text counts as empty; texts shorter than ``match`` lose nothing. A null
 identifier comes after all others. Rows that share an identifier are ordered by a hash of their
-text; rows that repeat both are one document and are judged alike. An empty table gives no rows.
+text; rows that repeat both are one document and are judged alike. Very long texts are compared whole. Other
+columns are not looked at, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -105,6 +105,12 @@ def test_survivors_of_any_type(spark):
     )
 
 
+def test_very_long_texts_and_clashing_columns(spark):
+    rows = [(4, "long " * 400_000), (3, "long  " * 400_000), (5, "long " * 400_000 + "er")]
+    frame = spark.createDataFrame([(*r, "a", "b") for r in rows], "doc_id long, text string, keep_id string, kept string")
+    assert sorted((tuple(row) for row in exact_duplicates(frame).collect()), key=str) == brute(rows)
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert exact_duplicates(frame).count() == 0

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -79,6 +80,40 @@ def test_batches_do_not_change_a_prediction(spark):
     assert np.allclose([s for _, s in alone], [s for _, s in together], atol=1e-4)
 
 
+def slow_prediction(model, text):
+    """The network by loops: each filter at each place of each window, bytes past the end as zeros."""
+    data = text.encode()
+    totals = [0.0] * len(model.languages)
+    for start in range(0, len(data), 256):
+        part = data[start : start + 256]
+        points = [[float(x) for x in model.embedding[byte]] for byte in part.ljust(256, b"\0")]
+        pooled = []
+        for width, filters, bias in zip(langid.WIDTHS, model.filters, model.biases, strict=True):
+            for number in range(filters.shape[1]):
+                weights = [float(x) for x in filters[:, number]]
+                most = max(
+                    sum(x * w for x, w in zip(sum(points[at : at + width], []), weights, strict=True))
+                    for at in range(len(points) - width + 1)
+                )
+                pooled.append(max(most + float(bias[number]), 0.0))
+        for language in range(len(totals)):
+            score = sum(x * float(w) for x, w in zip(pooled, model.weights[:, language], strict=True))
+            totals[language] += (score + float(model.bias[language])) * len(part) / len(data)
+    raised = [math.exp(total - max(totals)) for total in totals]
+    best = max(range(len(raised)), key=raised.__getitem__)
+    return model.languages[best], raised[best] / sum(raised)
+
+
+def test_table_against_loops(spark):
+    rows = labelled(random.Random(4), 12)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(frame)
+    texts = {i: text for i, text, _ in rows}
+    for row in identify_languages(frame).collect():
+        lang, score = slow_prediction(model, texts[row.doc_id])
+        assert (row.lang_pred, row.score) == (lang, pytest.approx(score, abs=1e-3))
+
+
 def test_edges(spark):
     rows = labelled(random.Random(3)) + [(9000, None, "x"), (9001, "", "y"), (9002, "123 !?", None), (9002, "123 !?", None), (None, "abcd" * 50, "x")]
     frame = spark.createDataFrame([(*r, r[2]) for r in rows], "doc_id long, text string, lang string, lang_pred string")

@@ -143,6 +143,13 @@ def test_kept_documents_keep_their_columns(spark):
     assert rows[0] in kept and rows[1] not in kept
 
 
+def test_very_long_text_is_counted_whole(spark):
+    text = "\n".join(f"line {i} of many" for i in range(100_000)) + "\nline 7 of many"
+    frame = spark.createDataFrame([(1, text, "en", "s")], "doc_id long, text string, lang string, source string")
+    counts = quality_verdicts(frame).first().counts
+    assert (counts.n_words, counts.n_dup_lines) == (400_004, 1)
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality_verdicts(frame).count() == 0 and good_documents(frame).count() == 0

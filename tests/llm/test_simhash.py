@@ -105,6 +105,14 @@ def test_survivors(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "A  b c d", "q"), (3, "something else here", None)]
 
 
+def test_very_long_text_and_clashing_columns(spark):
+    text = " ".join(f"word{i * i % 7919}" for i in range(60_000))
+    rows = [(5, text, "x", "y"), (9, text.upper(), None, None)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, component_id string, row string"))
+    found = {(r.doc_id, r.fingerprint % 2**64, r.component_id) for r in got.collect()}
+    assert found == {(i, slow_fingerprint(text), 5) for i in (5, 9)}
+
+
 def test_empty(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(frame).count() == 0
