@@ -39,14 +39,17 @@ def _headed(spark: SparkSession, sf_dir: str, credit: str) -> DataFrame:
     """Documents with a title by ``p_partkey`` and a date and author by ``o_orderkey``, where there are any."""
     orders = scan_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate", "o_custkey")
     part = scan_table(spark, f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+    # The narrow sides first, so that texts are joined once.
+    heads = orders.join(part, F.col("o_orderkey") == F.col("p_partkey"), "full").withColumn(
+        "key", F.coalesce("o_orderkey", "p_partkey")
+    )
 
     def known(column: Column) -> Column:
         return F.coalesce(column, F.lit(""))
 
     return (
         documents(spark, sf_dir)
-        .join(orders, F.col("o_orderkey") == F.col("doc_id"), "left")
-        .join(part, F.col("p_partkey") == F.col("doc_id"), "left")
+        .join(heads, F.col("key") == F.col("doc_id"), "left")
         .select(
             F.concat(F.lit("book"), F.col("doc_id").cast("string")).alias("file_name"),
             F.concat(
