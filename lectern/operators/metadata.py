@@ -143,6 +143,7 @@ def _values(books: DataFrame, text: str, unit: str) -> DataFrame:
 
 
 def _year_counts(metadata: DataFrame) -> DataFrame:
+    # The patterns of a year and of the years that count.
     year = F.regexp_extract("release_date", r"\d{4}", 0)
     return (
         metadata.select(year.alias("year"))
