@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.operators.skew import ROWS_PER_SALT, join_per_key
 from lectern.sources.scratch import scratch_path
 from lectern.sources.tables import scan_table
 
@@ -50,6 +51,20 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def join_counted(
+    rows: DataFrame, per_key: DataFrame, key: str, weight: str, spread: str, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Inner join to a written table with one row per key and, in ``weight``, the number of its rows.
+
+    One aggregate of that table tells whether any key is heavy. If so, the heavy ones are salted by a
+    hash of ``spread``; if not, the plain join has nothing to split. The rows are the same.
+    """
+    heaviest = per_key.agg(F.max(weight)).first()[0] or 0
+    if heaviest <= rows_per_salt:
+        return rows.join(per_key, key)
+    return join_per_key(rows, per_key, key, weight, spread, rows_per_salt)
+
+
 def whole_row() -> Column:
     """All columns as one struct, so that working columns cannot clash with them."""
     return F.struct("*").alias("row")

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import text_bytes, whole_row, written
+from lectern.llm.common import join_counted, text_bytes, whole_row, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -332,14 +332,16 @@ def near_duplicates(
     roots = components(links(prints, max_bits))
     rooted = (
         prints.groupBy("fingerprint")
-        .agg(F.min("doc_id").alias("first"))
+        .agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
         .join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
         .withColumn("root", F.coalesce("root", "fingerprint"))
     )
     rooted = written(rooted, "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
+    named = join_counted(rooted, written(smallest, "smallest"), "root", "members", "fingerprint")
+    named = written(named.select("fingerprint", "component_id", "rows"), "named")
+    # A fingerprint or a component may hold a third of all rows, so both joins salt such keys.
+    return join_counted(prints, named, "fingerprint", "rows", "doc_id").select(
         "doc_id", "content", "fingerprint", "component_id"
     )
 

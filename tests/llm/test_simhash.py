@@ -1,10 +1,13 @@
 import random
+from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
 import xxhash
 
 from lectern.llm import simhash
+from lectern.llm.common import join_counted
 from lectern.llm.simhash import fingerprint, links, near_duplicates, without_near_duplicates
 
 
@@ -97,6 +100,14 @@ def test_against_brute_force(spark):
     assert sorted(((r.doc_id, r.fingerprint % 2**64, r.component_id) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_salted_groups_find_the_same(spark, monkeypatch):
+    rows = corpus() + [(200 + i, "the same text in a third of all rows") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plain = Counter(map(tuple, near_duplicates(frame).collect()))
+    monkeypatch.setattr(simhash, "join_counted", partial(join_counted, rows_per_salt=2))
+    assert Counter(map(tuple, near_duplicates(frame).collect())) == plain
+
+
 def test_survivors(spark):
     rows = [(2, "a b c d", "p"), (1, "A  b c d", "q"), (3, "something else here", None), (None, "a b c d", "r")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
