@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lectern.llm.common import WHITE, batches, bound_batches, text_bytes, whole_row
+from lectern.llm.common import WHITE, batches, bound_batches, join_counted, text_bytes, whole_row, written
 from lectern.llm.radix_trie import Owner, RadixTrie
 
 TRIE_BYTES = 96 * 1024 * 1024
@@ -156,18 +156,20 @@ def exact_duplicates(
 ) -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)``, one row per document.
 
-    The join of documents to owners is a plain equi-join of narrow rows; a digest that a third
-    of the documents share is split by Spark's skew join.
+    Documents meet their owners by length and digest, in narrow rows. The owners' group sizes tell
+    which digests many documents share; those are salted by the documents' identifiers.
     """
     documents = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    owners = text_owners(documents, "doc_id", "text")
-    keyed = documents.select("doc_id", content_key("text").alias("key")).select("doc_id", "key.*")
-    return keyed.join(owners, ["n_bytes", "digest"]).select(
+    owners = text_owners(documents, "doc_id", "text").select(
+        F.struct("n_bytes", "digest").alias("key"), "keep_id", "group_size"
+    )
+    keyed = documents.select("doc_id", content_key("text").alias("key"))
+    return join_counted(keyed, written(owners, "owners"), "key", "group_size", "doc_id").select(
         "doc_id",
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
+        F.lower(F.hex("key.digest")).alias("text_sha256"),
     )
 
 

@@ -5,9 +5,12 @@ import random
 import re
 import tracemalloc
 from collections import defaultdict
+from functools import partial
 
 import pytest
 
+from lectern.llm import exact_dedup
+from lectern.llm.common import join_counted
 from lectern.llm.exact_dedup import exact_duplicates, normalise, without_exact_duplicates
 from lectern.llm.radix_trie import Owner, RadixTrie
 
@@ -82,6 +85,13 @@ def test_against_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_salted_groups_against_brute_force(spark, monkeypatch):
+    rows = [(i, text) for i, text in enumerate(TEXTS * 4)] + [(None, "a b"), (None, "a b"), (5, "a b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(exact_dedup, "join_counted", partial(join_counted, rows_per_salt=2))
+    assert sorted(map(tuple, exact_duplicates(frame).collect()), key=str) == brute(rows)
+
+
 def test_survivors_keep_their_columns(spark):
     rows = [(2, "x  y", 1.5, "k"), (1, "x y", None, "digest"), (1, "x y", None, "digest"), (5, None, 2.0, None)]
     schema = "doc_id long, text string, copies double, digest string"
