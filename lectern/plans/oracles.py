@@ -467,6 +467,11 @@ NETWORK = {
     "author_date": with_ctes(BOOKS, RECORDS, select="SELECT * FROM records"),
     "author_dates": with_ctes(BOOKS_BY, RECORDS, DATES, select="SELECT * FROM known"),
     "influence_edges": with_ctes(
+        *NETWORK_CTES,
+        select="""SELECT influencer, influenced, later_year, year_difference, count(*) AS edges
+          FROM edges GROUP BY influencer, influenced, later_year, year_difference""",
+    ),
+    "influence_classes": with_ctes(
         *NETWORK_CTES,
         ACTIVE,
         select="""SELECT a.year AS earlier_year, a.dates AS earlier_dates, b.year AS later_year, b.dates AS later_dates,

@@ -313,6 +313,10 @@ def author_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def influence_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return network.influence_edges(author_dates(spark, sf_dir))
+
+
+def influence_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.influence_classes(written(author_dates(spark, sf_dir), "dates"))
 
 
@@ -355,7 +359,7 @@ QUERIES: dict[str, Query] = {
         tf_idf, top_tfidf_overall, top_terms_by_tfidf,
         vocabulary, vocabulary_size, tfidf_vectors, tfidf_vector_chunks, pairwise_cosine, most_similar_pairs,
         similar_documents, similarity_stats, least_similar_pairs, vector_stats, find_similar,
-        author_date, author_dates, influence_edges, influence_members, influence_of_author,
+        author_date, author_dates, influence_edges, influence_classes, influence_members, influence_of_author,
     ]
 } | {
     "releases_per_year": _over_metadata(metadata.releases_per_year),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import headers
 from lectern.operators import network
+from lectern.plans.queries import QUERIES
 
 
 def test_author_and_date(spark):
@@ -190,3 +191,12 @@ def test_parse_date_never_fails(spark):
     texts = ["", "99999", "x 1, 2000", "1/1/20000", "2000-1-1-1", None, "٢٠٠٠"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     assert frame.select(headers.parse_date(F.col("t")).alias("d")).where("d IS NOT NULL").isEmpty()
+
+
+def test_the_query_makes_every_edge(spark, sf_dir):
+    """One row per pair of authors and years, as many as the classes count."""
+    edges = QUERIES["influence_edges"](spark, sf_dir)
+    assert edges.columns == ["influencer", "influenced", "later_year", "year_difference", "edges"]
+    made = edges.agg(F.count("*").alias("pairs"), F.sum("edges").alias("edges")).first()
+    counted = QUERIES["influence_classes"](spark, sf_dir).agg(F.sum("pairs").alias("pairs"), F.sum("edges").alias("edges")).first()
+    assert made == counted and made.pairs > 1000
