@@ -105,7 +105,11 @@ def english_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def remove_stop_words(words: str) -> Column:
-    """The token array of a column without stop words, ignoring case and keeping repeats."""
+def remove_stop_words(words: str, lowered: bool = False) -> Column:
+    """The token array of a column without stop words, ignoring case and keeping repeats.
+
+    ``lowered`` says that the tokens are lower-case already.
+    """
     listed = ", ".join("'" + word.replace("'", "\\'") + "'" for word in english_stop_words())
-    return F.expr(f"filter(`{words}`, word -> lower(word) NOT IN ({listed}))")
+    word = "word" if lowered else "lower(word)"
+    return F.expr(f"filter(`{words}`, word -> {word} NOT IN ({listed}))")

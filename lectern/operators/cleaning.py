@@ -40,5 +40,5 @@ def clean_tokens(documents: DataFrame, key: str, text: str = "text") -> DataFram
     """``(key, filtered_words)``: the four steps above in one, without the text between them."""
     words = tk.letter_words(tk.strip_boilerplate(F.col(text)))
     return documents.select(key, words.alias("words")).select(
-        key, tk.remove_stop_words("words").alias("filtered_words")
+        key, tk.remove_stop_words("words", lowered=True).alias("filtered_words")
     )

@@ -142,7 +142,9 @@ def kept_terms(spark: SparkSession, sf_dir: str) -> terms.TermIndex:
     made: list[terms.TermIndex] = []
 
     def write(path: str) -> None:
-        made.append(terms.add_terms(None, kept_tokens(spark, sf_dir, "doc_id"), "doc_id", sf_dir))
+        # Of the tokens only keys are read a second time, so they are not written.
+        tokens = cleaning.clean_tokens(documents(spark, sf_dir), "doc_id")
+        made.append(terms.add_terms(None, tokens, "doc_id", sf_dir))
 
     slot = kept(spark, sf_dir, "terms", write)
     if made:
