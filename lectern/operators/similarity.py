@@ -9,9 +9,13 @@ Similarities are published to four places, and so compared, ranked and cut off.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lectern.operators.numbering import numbered
 from lectern.sources.scratch import written
@@ -36,6 +40,14 @@ POSTINGS_PER_PART = 20_000
 MOST_PARTS = 200_000
 LEFT_BANDS = 64
 
+# Parts of a vector whose lengths bound a product, and what a length of 1 is as a whole number.
+SKETCH = 64
+SKETCH_SCALE = 32_000
+
+# Documents, and words of their vectors, to a side of a tile, whose pairs one task multiplies together.
+DOCS_PER_TILE = 256
+WORDS_PER_TILE = 2_000_000
+
 
 def vocabulary(words: DataFrame) -> DataFrame:
     """``(word, index)``: the distinct words of a column ``word``, in order, numbered from 0."""
@@ -63,19 +75,19 @@ def tfidf_vector_chunks(weights: DataFrame, key: str, chunk_size: int = CHUNK_SI
 def tfidf_vectors(weights: DataFrame, key: str) -> DataFrame:
     """``(key, size, indices, values)``: one sparse vector per document, indices ascending.
 
-    The chunks of a document joined to one row, which is as long as the document has distinct
-    words. Where a document may hold a vocabulary, as a source does, take ``tfidf_vector_chunks``.
+    A row is as long as the document has distinct words, which one shuffle brings together. Where a document may hold a
+    vocabulary, as a source does, take ``tfidf_vector_chunks``.
     """
     size = weights.agg((F.coalesce(F.max("index"), F.lit(-1)) + 1).cast("int")).scalar()
+    entry = F.struct(F.col("index").cast("int").alias("index"), F.col("tfidf").alias("value"))
     return (
-        tfidf_vector_chunks(weights, key)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("chunk", "indices", "values"))).alias("chunks"))
+        weights.groupBy(key)
+        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
         .select(
             key,
             size.alias("size"),
-            F.flatten(F.col("chunks.indices")).alias("indices"),
-            F.flatten(F.col("chunks.values")).alias("values"),
+            F.col("entries.index").alias("indices"),
+            F.col("entries.value").alias("values"),
         )
     )
 
@@ -96,19 +108,21 @@ def _named(units: DataFrame, key: str, number: int, *keep: str) -> DataFrame:
 
 
 def _suffixes(weights: DataFrame, key: str, postings_per_part: int) -> DataFrame:
-    """``(key, word, long, unit, left, rest)``, written once.
+    """``(key, word, term, long, unit, left)``, written once.
 
     Words are taken from the rarest on; ``long`` are those in more than ``postings_per_part`` documents, the last
-    ones. ``left`` is the length of a unit vector from a word on, ``rest`` the length after it. One shuffle by
-    document and one sort serve the vector's length and what is left of it.
+    ones. ``left`` is the length of a unit vector from a word on; the length after it follows from both. ``term`` is the
+    word's number where the weights have it, or the word. One shuffle by document and one sort serve the vector's
+    length and what is left of it.
     """
+    term = "index" if "index" in weights.columns else "word"
     square = F.col("tfidf") ** 2
     whole = Window.partitionBy(key)
     # From the end on, as Spark adds up a frame that grows, but starts anew on one that shrinks.
     onward = whole.orderBy(F.desc("doc_freq"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
     cut = (
         weights.where("tfidf != 0")
-        .select(key, "word", "doc_freq", "tfidf")
+        .select(key, "word", F.col(term).alias("term"), "doc_freq", "tfidf")
         .withColumn("squares", F.sum(square).over(onward))
         .withColumn("total", F.sum(square).over(whole))
     )
@@ -116,10 +130,10 @@ def _suffixes(weights: DataFrame, key: str, postings_per_part: int) -> DataFrame
         cut.select(
             key,
             "word",
+            "term",
             (F.col("doc_freq") > postings_per_part).alias("long"),
             (F.col("tfidf") / F.sqrt("total")).alias("unit"),
             F.sqrt(F.col("squares") / F.col("total")).alias("left"),
-            F.sqrt(F.greatest(F.col("squares") - square, F.lit(0.0)) / F.col("total")).alias("rest"),
         ),
         "suffixes",
     )
@@ -180,14 +194,18 @@ def _meets(least: float) -> Column:
 
 def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
     """``(book1, book2)``: pairs that can reach ``least``, by the products that led to them."""
-    leading = _parted(suffixes.where(F.col("left") >= least), key, least, postings_per_part)
-    carried = ["long", "unit", "left", "rest"]
+    leading = _parted(suffixes.drop("term").where(F.col("left") >= least), key, least, postings_per_part)
+    carried = ["long", "unit", "left"]
     first = _named(leading, key, 1, *carried, "part", "partners").withColumnRenamed("part1", "side1")
     second = _named(leading, key, 2, *carried, "part", "partners").withColumnRenamed("part2", "side2")
     first = first.withColumn("side2", F.explode("partners1")).drop("partners1")
     second = second.withColumn("side1", F.explode("partners2")).drop("partners2")
-    beyond = F.min(F.col("rest1") * F.col("rest2"))
-    return (
+
+    def rest(number: int) -> Column:
+        return F.sqrt(F.greatest(F.col(f"left{number}") ** 2 - F.col(f"unit{number}") ** 2, F.lit(0.0)))
+
+    beyond = F.min(rest(1) * rest(2))
+    pairs = (
         first.join(second, ["word", "side1", "side2"])
         .where((F.col("book1") < F.col("book2")) & _meets(least))
         .groupBy("book1", "book2")
@@ -195,32 +213,138 @@ def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part:
         .where(F.col("dot") + F.col("beyond") >= least)
         .select("book1", "book2")
     )
+    return _within_bound(pairs, suffixes, key, least)
+
 
+def _within_bound(pairs: DataFrame, suffixes: DataFrame, key: str, least: float) -> DataFrame:
+    """The pairs whose products can reach ``least`` by the lengths of their vectors in ``SKETCH`` parts.
+
+    Words are dealt to the parts by a hash. In each part no more comes together than the product of the two lengths, which are
+    rounded up to whole numbers, so that no pair is lost and a pair moves two bytes a part.
+    """
+    part = F.pmod(F.xxhash64("word"), F.lit(SKETCH))
+    square = F.col("unit") ** 2
+    lengths = [
+        F.ceil(F.sqrt(F.coalesce(F.sum(F.when(part == number, square)), F.lit(0.0))) * SKETCH_SCALE).cast("short")
+        for number in range(SKETCH)
+    ]
+    sketches = suffixes.groupBy(key).agg(F.array(*lengths).alias("sketch"))
+    first, second = (sketches.select(F.col(key).alias(f"book{i}"), F.col("sketch").alias(f"sketch{i}")) for i in (1, 2))
+    products = F.zip_with("sketch1", "sketch2", lambda one, other: one.cast("long") * other)
+    bound = F.aggregate(products, F.lit(0).cast("long"), lambda total, product: total + product)
+    return (
+        pairs.join(first, "book1")
+        .join(second, "book2")
+        .where(bound >= least * SKETCH_SCALE**2)
+        .select("book1", "book2")
+    )
 
-def _products(pairs: DataFrame, suffixes: DataFrame, key: str, chunk_size: int = CHUNK_SIZE) -> DataFrame:
+
+def _tiles(pairs: DataFrame, sizes: DataFrame, key: str, docs_per_tile: int, words_per_tile: int) -> DataFrame:
+    """Add ``tile``: pairs that have documents in common share one, whatever their number.
+
+    A document is labelled by the first one among itself and its partners, so that documents alike have few labels.
+    The documents of a label are cut by a hash into parts of at most about ``docs_per_tile`` documents and
+    ``words_per_tile`` words; a tile is a part on either side.
+    """
+    ends = pairs.select(F.inline(F.array(
+        F.struct(F.col("book1").alias(key), F.col("book1").alias("label")),
+        F.struct(F.col("book2").alias(key), F.col("book1").alias("label")),
+    )))
+    labels = ends.groupBy(key).agg(F.min("label").alias("label")).join(sizes, key)
+    parts = F.ceil(F.greatest(F.count("*") / docs_per_tile, F.sum("words") / words_per_tile)).cast("int")
+    labels = labels.join(labels.groupBy("label").agg(parts.alias("parts")), "label").select(
+        key, F.struct("label", F.pmod(F.xxhash64(key), "parts").alias("part")).alias("side")
+    )
+    first, second = (labels.select(F.col(key).alias(f"book{i}"), F.col("side").alias(f"side{i}")) for i in (1, 2))
+    return pairs.join(first, "book1").join(second, "book2").select("book1", "book2", F.struct("side1", "side2").alias("tile"))
+
+
+def _multiplied(kind: T.StructType):
+    """The products of a tile's pairs: of each first document, unrolled over the words, with all second ones at once."""
+    schema = to_arrow_schema(kind)
+
+    def run(firsts: pa.Table, seconds: pa.Table) -> pa.Table:
+        firsts, seconds = firsts.combine_chunks(), seconds.combine_chunks()
+        if not firsts.num_rows or not seconds.num_rows:
+            return schema.empty_table()
+        left, right = _flat(firsts.column("words1")), _flat(seconds.column("words2"))
+        words = pc.unique(right)
+        # The second documents' words by number; those of the first ones that none of them has go to the last place.
+        codes = pc.index_in(right, value_set=words).to_numpy(zero_copy_only=False)
+        places = pc.fill_null(pc.index_in(left, value_set=words), len(words)).to_numpy(zero_copy_only=False)
+        units, others = (
+            _flat(units).to_numpy(zero_copy_only=False) for units in (firsts.column("units1"), seconds.column("units2"))
+        )
+        starts, ends = _offsets(firsts.column("words1")), _offsets(seconds.column("words2"))
+        partners = _flat(firsts.column("partners1"))
+        rows = pc.index_in(partners, value_set=seconds.column("book2").combine_chunks()).to_numpy(zero_copy_only=False)
+        met = _offsets(firsts.column("partners1"))
+        unrolled, dots = np.zeros(len(words) + 1), np.zeros(len(rows))
+        known = np.flatnonzero(rows == rows)  # a partner without words in this chunk is not there
+        for i in range(firsts.num_rows):
+            own = places[starts[i] : starts[i + 1]]
+            unrolled[own] = units[starts[i] : starts[i + 1]]
+            unrolled[-1] = 0.0
+            sums = np.add.reduceat(unrolled[codes] * others, ends[:-1])
+            mine = known[np.searchsorted(known, met[i]) : np.searchsorted(known, met[i + 1])]
+            dots[mine] = sums[rows[mine].astype(np.int64)]
+            unrolled[own] = 0.0
+        book1 = firsts.column("book1").combine_chunks().take(pa.array(np.repeat(np.arange(firsts.num_rows), np.diff(met))))
+        return pa.table([book1, partners, pa.array(dots)], schema=schema)
+
+    return run
+
+
+def _flat(lists: pa.ChunkedArray) -> pa.Array:
+    flat = pc.list_flatten(lists)
+    return flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
+
+
+def _offsets(lists: pa.ChunkedArray) -> np.ndarray:
+    lengths = pc.list_value_length(lists).to_numpy()
+    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+
+
+def _products(
+    pairs: DataFrame,
+    suffixes: DataFrame,
+    key: str,
+    chunk_size: int = CHUNK_SIZE,
+    docs_per_tile: int = DOCS_PER_TILE,
+    words_per_tile: int = WORDS_PER_TILE,
+) -> DataFrame:
     """``(book1, book2, dot)``: the whole products of the pairs' vectors.
 
-    Vectors meet as maps and not word by word, so a pair moves one row. They are cut by a hash of the word, all into the
-    same number of chunks, so that the longest has about ``chunk_size`` words in each.
+    A vector moves once per tile that it has a pair in, on either side, and not once per pair. Vectors are cut by a hash of
+    the word, all into the same number of chunks, so that the longest has about ``chunk_size`` words in each.
     """
+    pairs = written(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array("book1", "book2")).alias(key)).distinct()
     longest = suffixes.groupBy(key).agg(F.count("*").alias("words"))
     chunks = longest.agg(F.ceil(F.coalesce(F.max("words"), F.lit(1)) / chunk_size)).scalar()
-    vectors = (
-        suffixes.select(key, "word", "unit", F.pmod(F.xxhash64("word"), chunks).alias("chunk"))
-        .groupBy(key, "chunk")
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", "unit"))).alias("vector"))
-    )
-    first, second = (
-        vectors.select(F.col(key).alias(f"book{i}"), "chunk", F.col("vector").alias(f"vector{i}")) for i in (1, 2)
-    )
-    both = F.map_values(F.map_zip_with("vector1", "vector2", lambda _, unit1, unit2: unit1 * unit2))
-    product = F.aggregate(both, F.lit(0.0), lambda total, part: total + F.coalesce(part, F.lit(0.0)))
-    return (
-        pairs.join(first, "book1")
-        .join(second, ["book2", "chunk"])
-        .groupBy("book1", "book2")
-        .agg(F.sum(product).alias("dot"))
+    chunk = F.pmod(F.xxhash64("word"), chunks)
+    vectors = written(
+        suffixes.join(wanted, key, "left_semi")
+        .groupBy(key, chunk.alias("chunk"))
+        .agg(F.collect_list(F.struct("term", "unit")).alias("vector"))
+        .select(key, "chunk", F.col("vector.term").alias("words"), F.col("vector.unit").alias("units")),
+        "vectors",
     )
+    sizes = vectors.groupBy(key).agg(F.max(F.size("words")).alias("words"))
+    tiled = written(_tiles(pairs, sizes, key, docs_per_tile, words_per_tile), "tiles")
+    first = tiled.groupBy("tile", F.col("book1").alias(key)).agg(F.collect_list("book2").alias("partners"))
+    second = tiled.select("tile", F.col("book2").alias(key)).distinct()
+
+    def side(documents: DataFrame, number: int, *more: str) -> DataFrame:
+        joined = documents.join(vectors, key).withColumnRenamed(key, "book")
+        return joined.select(*[F.col(c).alias(f"{c}{number}") for c in ("tile", "chunk", "book", "words", "units", *more)])
+
+    firsts = side(first, 1, "partners").groupBy("tile1", "chunk1")
+    seconds = side(second, 2).groupBy("tile2", "chunk2")
+    kind = T.StructType([*pairs.schema.fields, T.StructField("dot", T.DoubleType())])
+    dots = firsts.cogroup(seconds).applyInArrow(_multiplied(kind), kind)
+    return dots.groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
 
 
 def pairwise_cosine(
@@ -234,7 +358,8 @@ def pairwise_cosine(
     of a word meet only where each length reaches the threshold, and in long lists only where the product does: the
     first shared word of every similar pair is among them. Long lists are cut into parts of bounded size, by
     that length, and parts whose greatest lengths stay below the threshold never meet. Pairs whose products
-    so far and greatest possible rest stay below the threshold go at once. The others' vectors are multiplied whole.
+    so far and greatest possible rest stay below the threshold go at once. The others' vectors are multiplied whole, in tiles
+    of documents that have partners in common.
     """
     if not min_similarity > 0:
         raise ValueError("min_similarity must be above 0")
@@ -417,9 +542,13 @@ def similarity_stats(weights: DataFrame, key: str) -> DataFrame:
 def vector_stats(weights: DataFrame, key: str) -> DataFrame:
     """Per document: nonzero terms, their mean and greatest weight, and sparsity in percent.
 
-    A document whose weights are all zero keeps a row of zeros.
+    A document whose weights are all zero keeps a row of zeros. Weights made ``with_index`` number the words from 0, so
+    that the greatest number tells the dimensions and no word is shuffled for them.
     """
-    dimensions = vocabulary_size(weights).scalar()
+    if "index" in weights.columns:
+        dimensions = weights.agg(F.max("index") + 1).scalar()
+    else:
+        dimensions = vocabulary_size(weights).scalar()
     nonzero = F.when(F.col("tfidf") != 0, F.col("tfidf"))
     return (
         weights.groupBy(key)

@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.operators import similarity, terms
 
@@ -112,6 +113,29 @@ def test_long_posting_lists_are_cut(spark):
     assert cut == pytest.approx(pairs(similarity.pairwise_cosine(weights, "doc", 0.9))) and len(cut) > 100
 
 
+def test_vectors_move_once_per_tile(spark):
+    """Near copies: each vector goes to its tiles, however many pairs it is in; pairs that cannot reach are not multiplied."""
+    chance = random.Random(5)
+    groups = [[f"g{g}w{i}" for i in range(60)] for g in range(4)]
+    rows = [(f"d{g}{i:02d}", chance.sample(groups[g], 57) + [f"own{g}{i}"]) for g in range(4) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
+    weights = terms.tf_idf(frame, "doc").persist()
+    suffixes = similarity._suffixes(weights, "doc", 20_000)
+    found = similarity._candidates(suffixes, "doc", 0.7, 20_000).persist()
+    sizes = suffixes.groupBy("doc").agg(F.count("*").alias("words"))
+    tiled = similarity._tiles(found, sizes, "doc", 256, 2_000_000)
+    assert tiled.count() == found.count() > 2500
+    assert tiled.select("tile", "book1").distinct().count() < 400
+    # Tiles of few documents and chunks of few words give the same products.
+    whole, cut = (
+        {(r.book1, r.book2): r.dot for r in similarity._products(found, suffixes, "doc", *sizes).collect()}
+        for sizes in ((65_536, 256, 2_000_000), (20, 8, 100))
+    )
+    assert cut == pytest.approx(whole) and len(whole) == found.count()
+    far = similarity._within_bound(spark.createDataFrame([("d000", "d100"), ("d000", "d001")], "book1 string, book2 string"), suffixes, "doc", 0.7)
+    assert [tuple(r) for r in far.collect()] == [("d000", "d001")]
+
+
 def test_copies_do_not_multiply(spark):
     rows = [(f"c{i:04d}", ["same", "text", "here"]) for i in range(3000)] + [("e1", ["same", "other"]), ("e2", ["same", "other", "more"])]
     frame = spark.createDataFrame(rows, "doc string, filtered_words array<string>")
