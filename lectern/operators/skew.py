@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000
 MOST_HOT_KEYS = 100_000
+MOST_COMMON_KEYS = 200_000
 
 
 def join_per_key(
@@ -46,3 +47,24 @@ def join_per_key(
     )
     salted_keys = salted_keys.drop("_salts").hint("merge")
     return salted_rows.drop("_salts").join(salted_keys, [key, "_salt"]).drop("_salt")
+
+
+def join_common_apart(
+    rows: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    weight: str,
+    spread: str,
+    most_common_keys: int = MOST_COMMON_KEYS,
+) -> DataFrame:
+    """As ``join_per_key``, for ``rows`` that cost little to read twice: those of common keys stay where they are.
+
+    A key is common if it has more than a ``most_common_keys``-th part of all rows, so that there are fewer than this
+    number of them to broadcast. The rows of all other keys are joined by ``join_per_key``.
+    """
+    total = per_key.agg(F.sum(weight)).scalar()
+    is_common = F.col(weight) > F.ceil(F.coalesce(total, F.lit(0)) / most_common_keys)
+    common, others = per_key.where(is_common), per_key.where(~is_common)
+    met = rows.join(F.broadcast(common), key)
+    rest = rows.join(F.broadcast(common.select(key)), key, "left_anti")
+    return met.unionByName(join_per_key(rest, others, key, weight, spread))

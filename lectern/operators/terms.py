@@ -20,13 +20,14 @@ its own tokens; document frequencies of batches add up, and a batch can be taken
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.numbering import numbered
-from lectern.operators.skew import join_per_key
+from lectern.operators.skew import join_common_apart, join_per_key
 from lectern.operators.wordcount import exploded
 from lectern.sources.scratch import written
 
@@ -230,15 +231,14 @@ def _merged_words(index: TermIndex) -> DataFrame:
 
 
 def tf_idf_of(index: TermIndex, with_index: bool = False) -> DataFrame:
-    """``tf_idf`` of all batches: one shuffle of the documents' words, none to count them."""
+    """``tf_idf`` of all batches: one shuffle of the documents' rarer words, none of common ones and none to count them."""
     documents = index.documents.agg(F.count("*")).scalar()
     words = _merged_words(index).select("word", "doc_freq")
-    if with_index:
-        words = numbered(words, ["word"])
+    words = numbered(words, ["word"]) if with_index else written(words, "words")
     words = words.withColumn("idf", F.log(documents / F.col("doc_freq")))
     counts = _each(index.documents, F.inline("counts"), index.key, "total_terms")
     frequencies = counts.select(index.key, "word", (F.col("term_count") / F.col("total_terms")).alias("tf"))
-    return _weighted(frequencies, words, index.key, with_index)
+    return _weighted(frequencies, words, index.key, with_index, join_common_apart)
 
 
 def top_terms_of(index: TermIndex, n: int = 10) -> DataFrame:
@@ -272,8 +272,10 @@ def top_tfidf_of(index: TermIndex, n: int = 10) -> DataFrame:
     return best(frequencies.where(F.col("tf") * greatest >= least * (1 - 1e-9)))
 
 
-def _weighted(frequencies: DataFrame, words: DataFrame, key: str, with_index: bool = False) -> DataFrame:
-    weighted = join_per_key(frequencies, words, "word", weight="doc_freq", spread=key)
+def _weighted(
+    frequencies: DataFrame, words: DataFrame, key: str, with_index: bool = False, join: Callable = join_per_key
+) -> DataFrame:
+    weighted = join(frequencies, words, "word", weight="doc_freq", spread=key)
     return weighted.select(
         key,
         "word",

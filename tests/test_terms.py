@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import cleaning, terms
+from lectern.operators import cleaning, similarity, skew, terms
 from lectern.operators.skew import join_per_key
 from lectern.plans.queries import QUERIES
 from lectern.sources import text
@@ -205,3 +205,21 @@ def test_index_refuses_what_it_has(spark):
         terms.add_terms(index, frame, "doc", "two")
     empty = terms.add_terms(None, frame.limit(0), "doc", "none")
     assert terms.tf_idf_of(empty).count() == terms.top_tfidf_of(empty).count() == 0
+
+
+def test_common_words_stay_with_their_documents(spark):
+    """Joined apart, common and rare words give the rows of the plain join; vectors take one shuffle of the weights."""
+    rows = [(i, [f"c{i % 3}", f"c{(i + 1) % 3}", f"r{i}", f"s{i // 2}"]) for i in range(200)]
+    tokens = spark.createDataFrame(rows, "doc bigint, filtered_words array<string>")
+    counts = terms.term_frequency(tokens, "doc", one_row_each=True)
+    words = counts.groupBy("word").agg(F.count("*").alias("doc_freq"))
+    plain = skew.join_per_key(counts, words, "word", "doc_freq", "doc")
+    for most in (5, 1, 100_000):
+        apart = skew.join_common_apart(counts, words, "word", "doc_freq", "doc", most_common_keys=most)
+        assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, plain.select(apart.columns).collect()))
+    weights = terms.tf_idf(tokens, "doc", with_index=True)
+    vectors = similarity.tfidf_vectors(weights, "doc")
+    assert vectors._jdf.queryExecution().analyzed().toString().count("collect_list(") == 1
+    stats = similarity.vector_stats(weights, "doc")
+    assert "count(distinct" not in stats._jdf.queryExecution().analyzed().toString().lower()
+    assert stats.where("unique_terms = 4").count() == 200
