@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -86,6 +91,45 @@ def letter_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda word: F.length(word) >= 3)
 
 
+def clean_words(text: Column) -> Column:
+    """``letter_words`` without stop words, for a whole batch of texts at once."""
+    stop_words = english_stop_words()
+
+    @F.arrow_udf("array<string>")
+    def words(lowered: pa.Array) -> pa.Array:
+        return lowered_words(lowered, stop_words)
+
+    return words(F.lower(text))
+
+
+def lowered_words(texts: pa.Array, without: Sequence[str]) -> pa.Array:
+    """Of each text, its runs of three or more letters a-z, in order, but for those in ``without``."""
+    texts = texts.cast(pa.large_string())
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    bounds = ends - ends[0]
+    letter = (data >= ord("a")) & (data <= ord("z"))
+    first, last = letter.copy(), letter.copy()
+    first[1:] &= ~letter[:-1]
+    last[:-1] &= ~letter[1:]
+    # A run ends with its text.
+    inner = bounds[(bounds > 0) & (bounds < len(data))]
+    first[inner], last[inner - 1] = letter[inner], letter[inner - 1]
+    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+    long = stops - starts >= 3
+    starts, stops = starts[long], stops[long]
+    steps = np.zeros(len(data) + 1, np.int8)
+    steps[starts] += 1
+    steps[stops] -= 1
+    kept = data[np.cumsum(steps[:-1], dtype=np.int8).astype(bool)]
+    offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(kept))
+    wanted = pc.invert(pc.is_in(words, value_set=pa.array(without, pa.string()))).to_numpy(zero_copy_only=False)
+    places = np.searchsorted(starts[wanted], bounds).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(places), words.filter(pa.array(wanted)), mask=texts.is_null())
+
+
 def normalize(text: Column) -> Column:
     """Lower-case words of three or more letters joined by single blanks.
 

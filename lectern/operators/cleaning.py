@@ -38,7 +38,4 @@ def filter_effect_stats(filtered: DataFrame) -> DataFrame:
 
 def clean_tokens(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``(key, filtered_words)``: the four steps above in one, without the text between them."""
-    words = tk.letter_words(tk.strip_boilerplate(F.col(text)))
-    return documents.select(key, words.alias("words")).select(
-        key, tk.remove_stop_words("words", lowered=True).alias("filtered_words")
-    )
+    return documents.select(key, tk.clean_words(tk.strip_boilerplate(F.col(text))).alias("filtered_words"))

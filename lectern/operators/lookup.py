@@ -1,8 +1,8 @@
 """A written inverted index for looking up the documents nearest to one of them.
 
 Three tables: postings (word, key, tfidf), bucketed by word, of which a lookup reads the buckets of the
-target's words; vectors, the same rows in ranges of the key, of which it reads the target's; and the norms of all
-documents, apart, so that no weights are read to scale a product. Words with many postings are written by several
+target's words; vectors, the same rows in ranges of the key, of which it reads the target's, or a ``TermIndex``, which has them by document
+already; and the norms of all documents, apart, so that no weights are read to scale a product. Words with many postings are written by several
 tasks, each into the word's bucket.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.similarity import MAX_TARGET_WORDS, PLACES
+from lectern.operators.terms import TermIndex, vector_of
 from lectern.sources.scratch import scratch_path, written
 
 BUCKETS = 1024
@@ -27,14 +28,17 @@ MAX_FILTER_WORDS = 10_000
 class LookupIndex(NamedTuple):
     key: str
     postings: DataFrame
-    vectors: DataFrame
+    vectors: DataFrame | TermIndex
     norms: DataFrame
 
 
-def build_lookup(weights: DataFrame, key: str, buckets: int = BUCKETS, table: str | None = None) -> LookupIndex:
+def build_lookup(
+    weights: DataFrame, key: str, buckets: int = BUCKETS, table: str | None = None, counts: TermIndex | None = None
+) -> LookupIndex:
     """Write the index of ``tf_idf`` weights. ``table`` names the postings in the catalog.
 
-    Choose ``buckets`` well above the words of a usual target, or its words are in all of them.
+    With ``counts``, the term index that the weights are made from, a target's vector is taken from its row there, and the
+    weights are not sorted by document. Choose ``buckets`` well above the words of a usual target, or its words are in all of them.
     """
     spark = weights.sparkSession
     name = table or f"postings_{uuid.uuid4().hex}"
@@ -53,18 +57,25 @@ def build_lookup(weights: DataFrame, key: str, buckets: int = BUCKETS, table: st
         .option("path", scratch_path(spark, "postings"))
         .saveAsTable(name)
     )
-    vectors = present.select(key, "word", "tfidf").repartitionByRange(key).sortWithinPartitions(key)
+    if counts is None:
+        vectors = written(present.select(key, "word", "tfidf").repartitionByRange(key).sortWithinPartitions(key), "vectors")
+    else:
+        vectors = counts
     squares = F.sqrt(F.coalesce(F.sum(F.when(F.col("tfidf") != 0, F.col("tfidf") ** 2)), F.lit(0.0)))
     norms = weights.groupBy(key).agg(squares.alias("norm"))
     norms = written(norms.repartitionByRange(key).sortWithinPartitions(key), "norms")
-    return LookupIndex(key, spark.table(name), written(vectors, "vectors"), norms)
+    return LookupIndex(key, spark.table(name), vectors, norms)
 
 
 def target_words(index: LookupIndex, target: object) -> DataFrame:
     """``(word, wanted)`` of the target. Raises ``ValueError`` when the index does not have it."""
     if index.norms.where(F.col(index.key) == F.lit(target)).isEmpty():
         raise ValueError(f"{target!r} not found")
-    return index.vectors.where(F.col(index.key) == F.lit(target)).select("word", F.col("tfidf").alias("wanted"))
+    if isinstance(index.vectors, TermIndex):
+        own = written(vector_of(index.vectors, target), "target")
+    else:
+        own = index.vectors.where(F.col(index.key) == F.lit(target))
+    return own.select("word", F.col("tfidf").alias("wanted"))
 
 
 def products(index: LookupIndex, target: object) -> DataFrame:

@@ -23,8 +23,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.operators.numbering import numbered
 from lectern.operators.skew import join_common_apart, join_per_key
@@ -51,24 +55,35 @@ def term_counts(tokens: DataFrame, key: str, one_row_each: bool = False) -> Data
 
 
 def _counted_in_row(tokens: DataFrame, key: str) -> DataFrame:
-    """``(key, total_terms, counts)``, with ``counts`` an array of ``(word, term_count)`` by word.
-
-    Sorting a row's words puts repeats side by side; a word's count is the distance from
-    its first place to that of the next word. The three steps are three projections, so
-    that each array is made once.
-    """
-    ordered = tokens.where(F.col(key).isNotNull() & _keys_are_unique(tokens, key)).select(
-        key, F.sort_array("filtered_words").alias("ordered")
-    )
-    placed = "transform(ordered, (word, i) -> struct(word, i AS place))"
-    firsts = ordered.select(
-        key,
-        F.size("ordered").cast("long").alias("total_terms"),
-        F.expr(f"filter({placed}, at -> NOT at.word <=> get(ordered, at.place - 1))").alias("firsts"),
+    """``(key, total_terms, counts)``, with ``counts`` an array of ``(word, term_count)`` by word."""
+    rows = tokens.where(F.col(key).isNotNull() & _keys_are_unique(tokens, key))
+    return rows.select(key, _row_counts("filtered_words").alias("counted")).select(key, "counted.*")
+
+
+COUNT = T.StructType([T.StructField("word", T.StringType()), T.StructField("term_count", T.LongType())])
+COUNTED = T.StructType([T.StructField("total_terms", T.LongType()), T.StructField("counts", T.ArrayType(COUNT))])
+
+
+@F.arrow_udf(COUNTED)
+def _row_counts(words: pa.Array) -> pa.Array:
+    """Each row's words as numbers in their order; repeats of a number in a row are one sort of all rows' numbers."""
+    lists, places = pc.list_flatten(words), pc.list_parent_indices(words)
+    known = lists.is_valid()
+    encoded = lists.filter(known).dictionary_encode()
+    order = pc.array_sort_indices(encoded.dictionary)
+    number = np.empty(len(order), np.int64)
+    number[order.to_numpy()] = np.arange(len(order))
+    size = max(len(order), 1)
+    rows = places.filter(known).to_numpy().astype(np.int64)
+    found, counts = np.unique(rows * size + number[encoded.indices.to_numpy()], return_counts=True)
+    row, code = np.divmod(found, size)
+    ends = np.searchsorted(row, np.arange(len(words) + 1)).astype(np.int32)
+    entries = pa.StructArray.from_arrays(
+        [encoded.dictionary.take(order).take(pa.array(code)), pa.array(counts.astype(np.int64))], ["word", "term_count"]
     )
-    next_place = "coalesce(get(firsts, i + 1).place, total_terms)"
-    counts = f"transform(firsts, (at, i) -> struct(at.word, {next_place} - at.place AS term_count))"
-    return firsts.select(key, "total_terms", F.expr(counts).alias("counts"))
+    counted = pa.ListArray.from_arrays(pa.array(ends), entries, mask=words.is_null())
+    totals = pc.list_value_length(words).cast(pa.int64())
+    return pa.StructArray.from_arrays([totals, counted], ["total_terms", "counts"])
 
 
 def _each(frame: DataFrame, generator: Column, *keep: str) -> DataFrame:
@@ -241,6 +256,17 @@ def tf_idf_of(index: TermIndex, with_index: bool = False) -> DataFrame:
     return _weighted(frequencies, words, index.key, with_index, join_common_apart)
 
 
+def vector_of(index: TermIndex, document: object) -> DataFrame:
+    """``(word, tfidf)`` of one document: only its row is read, and the counts of its words."""
+    documents = index.documents.agg(F.count("*")).scalar()
+    own = _each(index.documents.where(F.col(index.key) == F.lit(document)), F.inline("counts"), "total_terms")
+    own = own.select("word", (F.col("term_count") / F.col("total_terms")).alias("tf"))
+    idf = F.log(documents / F.sum("doc_freq"))
+    # No more words than one row holds.
+    met = index.words.join(F.broadcast(own), "word").groupBy("word", "tf").agg(idf.alias("idf"))
+    return met.select("word", (F.col("tf") * F.col("idf")).alias("tfidf")).where("tfidf != 0")
+
+
 def top_terms_of(index: TermIndex, n: int = 10) -> DataFrame:
     """``top_terms_by_tfidf`` of all batches."""
     return top_terms_by_tfidf(tf_idf_of(index), index.key, n)

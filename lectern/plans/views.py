@@ -170,7 +170,8 @@ def kept_lookup(spark: SparkSession, sf_dir: str) -> lookup.LookupIndex:
     made: list[lookup.LookupIndex] = []
 
     def write(path: str) -> None:
-        made.append(lookup.build_lookup(kept_weights(spark, sf_dir, "doc_id"), "doc_id", LOOKUP_BUCKETS))
+        weights, counts = kept_weights(spark, sf_dir, "doc_id"), kept_terms(spark, sf_dir)
+        made.append(lookup.build_lookup(weights, "doc_id", LOOKUP_BUCKETS, counts=counts))
 
     slot = kept(spark, sf_dir, "lookup", write)
     if made:

@@ -64,3 +64,26 @@ def test_many_postings_of_a_word_are_written_by_several_tasks(weights, monkeypat
     assert index.postings.count() == weights.where("tfidf != 0").count()
     got = [tuple(r) for r in lookup.nearest_documents(index, "d20", 30).collect()]
     assert got == [tuple(r) for r in similarity.find_similar(weights, "doc", "d20", 30).collect()]
+
+
+@pytest.mark.parametrize("top_n", [2, 30])
+def test_lookup_over_a_term_index_sorts_no_vectors(spark, weights, top_n):
+    """A target's vector comes from its row of counts, of two batches here, and is the one that the weights have."""
+    made = [(r.doc, [r.word] * round(r.tf * 9)) for r in weights.where("doc LIKE 'd%'").collect()]
+    words = {}
+    for doc, several in made:
+        words.setdefault(doc, []).extend(several)
+    rows = sorted(words.items()) + [("same", ["all"]), ("void", [])]
+    tokens = spark.createDataFrame([(d, [*w, "all"]) for d, w in rows], "doc string, filtered_words array<string>")
+    counts = terms.add_terms(None, tokens.where("doc < 'd1'"), "doc", "one")
+    counts = terms.add_terms(counts, tokens.where("doc >= 'd1'"), "doc", "two")
+    whole = terms.tf_idf_of(counts).persist()
+    index = lookup.build_lookup(whole, "doc", 8, counts=counts)
+    assert index.vectors is counts
+    for target in ("d00", "d20", "same"):
+        own = {tuple(r) for r in lookup.target_words(index, target).collect()}
+        assert own == {tuple(r) for r in whole.where((whole.doc == target) & (whole.tfidf != 0)).select("word", "tfidf").collect()}
+        got = [tuple(r) for r in lookup.nearest_documents(index, target, top_n).collect()]
+        assert got == [tuple(r) for r in similarity.find_similar(whole, "doc", target, top_n).collect()]
+    with pytest.raises(ValueError, match="not found"):
+        lookup.nearest_documents(index, "nobody")

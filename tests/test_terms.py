@@ -223,3 +223,14 @@ def test_common_words_stay_with_their_documents(spark):
     stats = similarity.vector_stats(weights, "doc")
     assert "count(distinct" not in stats._jdf.queryExecution().analyzed().toString().lower()
     assert stats.where("unique_terms = 4").count() == 200
+
+
+def test_counts_of_a_batch(spark):
+    """Nulls among the words count in the total only; rows do not mix; words come in the order of their bytes."""
+    rows = [("a", ["x", "é", "x", None, "Z"]), ("b", []), ("c", None), ("d", ["x"]), ("e", [None, None])]
+    tokens = spark.createDataFrame(rows, "doc string, filtered_words array<string>").coalesce(1)
+    got = {r.doc: (r.total_terms, r.counts and [tuple(c) for c in r.counts]) for r in terms._counted_in_row(tokens, "doc").collect()}
+    assert got == {
+        "a": (5, [("Z", 1), ("x", 2), ("é", 1)]), "b": (0, []), "c": (None, None), "d": (1, [("x", 1)]), "e": (2, [])
+    }
+    assert terms._counted_in_row(tokens.where("doc > 'x'"), "doc").collect() == []

@@ -116,3 +116,16 @@ def test_clean_tokens_is_the_four_steps(spark):
         cleaning.tokenize(cleaning.normalize_text(cleaning.strip_boilerplate(frame)))
     )
     assert cleaning.clean_tokens(frame, "k").collect() == steps.select("k", "filtered_words").collect()
+
+
+def test_words_of_a_batch_equal_the_plain_steps(spark):
+    texts = ["", None, "ends with abc", "abc starts", "THE Straße of the éclair abcé\x00def", "ab cd e", "don't stop", "İstanbul Kelvin", " the "]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, value string").coalesce(1)
+    plain = frame.select("i", tk.letter_words(F.col("value")).alias("words"))
+    want = plain.select("i", tk.remove_stop_words("words", lowered=True).alias("out")).orderBy("i").collect()
+    for part in (frame, frame.where("i % 2 = 1"), frame.where("i < 1"), frame.where("i < 0")):
+        kept = {row.i for row in part.collect()}
+        got = part.select("i", tk.clean_words(F.col("value")).alias("out")).orderBy("i").collect()
+        assert got == [row for row in want if row.i in kept]
+    words = frame.select(tk.clean_words(F.col("value")).alias("out"))
+    assert "ArrowEvalPython" in words._jdf.queryExecution().executedPlan().toString()
