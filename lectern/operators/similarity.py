@@ -32,6 +32,9 @@ LEAST_PUBLISHED = 10**-PLACES
 # Documents that are first compared with all others in the search for the least similar pairs.
 FIRST_DOCUMENTS = 32
 
+# So few documents are multiplied word by word, without bounds: no word has more postings than this.
+FEW_DOCUMENTS = 32
+
 # Pairs worked out for each wanted one before the join for the most similar pairs.
 SEEDS = 4
 
@@ -347,6 +350,21 @@ def _products(
     return dots.groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
 
 
+def _shared_products(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """``(book1, book2, dot)`` of the pairs ``book1 < book2`` that share a word, word by word."""
+    return (
+        _named(first, key, 1, "unit")
+        .join(_named(second, key, 2, "unit"), "word")
+        .where("book1 < book2")
+        .groupBy("book1", "book2")
+        .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"))
+    )
+
+
+def _are_few(weights: DataFrame, key: str) -> bool:
+    return weights.select(key).distinct().count() <= FEW_DOCUMENTS
+
+
 def pairwise_cosine(
     weights: DataFrame, key: str, min_similarity: float = 0.5, postings_per_part: int = POSTINGS_PER_PART
 ) -> DataFrame:
@@ -360,13 +378,20 @@ def pairwise_cosine(
     that length, and parts whose greatest lengths stay below the threshold never meet. Pairs whose products
     so far and greatest possible rest stay below the threshold go at once. The others' vectors are multiplied whole, in tiles
     of documents that have partners in common.
+
+    Few documents, as sources are, may each hold a vocabulary, which no task should sort alone. All their pairs are
+    multiplied word by word.
     """
     if not min_similarity > 0:
         raise ValueError("min_similarity must be above 0")
-    # Half a published place, so that rounding up to the threshold is not lost.
-    least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
-    suffixes = _suffixes(weights, key, postings_per_part)
-    dots = _products(_candidates(suffixes, key, least, postings_per_part), suffixes, key)
+    if _are_few(weights, key):
+        units = _unit_weights(weights, key)
+        dots = _shared_products(units, units, key)
+    else:
+        # Half a published place, so that rounding up to the threshold is not lost.
+        least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
+        suffixes = _suffixes(weights, key, postings_per_part)
+        dots = _products(_candidates(suffixes, key, least, postings_per_part), suffixes, key)
     # Rounding can lift the cosine of equal directions a little above 1.
     cosine = dots.select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
     return cosine.where(F.round("similarity", PLACES) >= min_similarity)
@@ -456,9 +481,14 @@ def most_similar_pairs(weights: DataFrame, key: str, n: int = 10) -> DataFrame:
 
     Pairs that share a heavy word give a bound that the answer reaches; one join with that threshold gives
     the answer. Of documents with the same vector, the ``n + 1`` first ones make all the pairs that can come out.
+    Among ``FEW_DOCUMENTS`` no bound is needed.
     """
-    weights = written(_first_copies(weights, key, n + 1), "first-copies")
-    pairs = _published(pairwise_cosine(weights, key, _bound_of_best(weights, key, n)))
+    if _are_few(weights, key):
+        least = LEAST_PUBLISHED
+    else:
+        weights = written(_first_copies(weights, key, n + 1), "first-copies")
+        least = _bound_of_best(weights, key, n)
+    pairs = _published(pairwise_cosine(weights, key, least))
     return pairs.orderBy(F.desc("similarity"), "book1", "book2").limit(n)
 
 
@@ -488,13 +518,9 @@ def least_similar_pairs(
     while low < total - 1 and at_zero < n:
         high = min(low + first_documents, total - 1)
         block = keys.where((F.col("rank") >= low) & (F.col("rank") < high))
-        wanted = _named(units.join(block.select(key), key, "left_semi"), key, 1, "unit")
-        dots = (
-            wanted.join(_named(units, key, 2, "unit"), "word")
-            .where("book1 < book2")
-            .groupBy("book1", "book2")
-            .agg(F.least(F.sum(F.col("unit1") * F.col("unit2")), F.lit(1.0)).alias("similarity"))
-        )
+        # Where the block is all, both sides of the join are the same, and are shuffled once.
+        wanted = units if high - low == total - 1 else units.join(block.select(key), key, "left_semi")
+        dots = _shared_products(wanted, units, key).select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
         met = written(_published(dots).where("similarity > 0"), "met")
         reached = met.groupBy("book1").agg(F.count("*").alias("reached"))
         lacking = (

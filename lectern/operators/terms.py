@@ -109,18 +109,18 @@ def term_frequency(tokens: DataFrame, key: str, one_row_each: bool = False) -> D
         counted = _counted_in_row(tokens, key)
         joined = _each(counted, F.inline_outer("counts"), key, "total_terms")
     else:
-        counts = term_counts(tokens, key)
-        totals = counts.groupBy(key).agg(
-            F.sum("term_count").alias("total_terms"), _rows().alias("words")
-        )
-        joined = join_per_key(counts, totals, key, weight="words", spread="word")
-    return joined.select(
-        key,
-        "word",
-        "term_count",
-        "total_terms",
-        (F.col("term_count") / F.col("total_terms")).alias("tf"),
-    )
+        joined = _with_totals(term_counts(tokens, key), key)
+    return _frequencies(joined, key)
+
+
+def _with_totals(counts: DataFrame, key: str) -> DataFrame:
+    totals = counts.groupBy(key).agg(F.sum("term_count").alias("total_terms"), _rows().alias("words"))
+    return join_per_key(counts, totals, key, weight="words", spread="word")
+
+
+def _frequencies(counts: DataFrame, key: str) -> DataFrame:
+    tf = (F.col("term_count") / F.col("total_terms")).alias("tf")
+    return counts.select(key, "word", "term_count", "total_terms", tf)
 
 
 def top_terms_by_tf(
@@ -178,14 +178,21 @@ def tf_idf(
     """``(key, word, doc_freq, tf, idf, tfidf)``, scores at full precision.
 
     With ``with_index`` also ``index``, the word's place in the vocabulary: words are numbered
-    before they are joined to the documents, so that vectors need no shuffle of their own.
+    before they are joined to the documents, so that vectors need no shuffle of their own. Numbering is a
+    job of its own, so counts of documents that come as several rows are written for it: tokens are counted once.
     """
     documents = document_count(tokens, key, one_row_each)
-    words = _word_totals(term_counts(tokens, key, one_row_each)).select("word", "doc_freq")
+    if one_row_each:
+        counts, frequencies = term_counts(tokens, key, True), term_frequency(tokens, key, True)
+    else:
+        counts = term_counts(tokens, key)
+        counts = written(counts, "term-counts") if with_index else counts
+        frequencies = _frequencies(_with_totals(counts, key), key)
+    words = _word_totals(counts).select("word", "doc_freq")
     if with_index:
         words = numbered(words, ["word"])
     words = words.withColumn("idf", F.log(documents / F.col("doc_freq")))
-    return _weighted(term_frequency(tokens, key, one_row_each), words, key, with_index)
+    return _weighted(frequencies, words, key, with_index)
 
 
 class TermIndex(NamedTuple):

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from lectern.operators import similarity, terms
 
 
+@pytest.fixture(autouse=True)
+def many(monkeypatch):
+    """These documents are few, but stand for many."""
+    monkeypatch.setattr(similarity, "FEW_DOCUMENTS", 0)
+
+
 @pytest.fixture(scope="module")
 def documents():
     chance = random.Random(7)
@@ -269,3 +275,16 @@ def test_find_similar(weights, brute):
     ]
     with pytest.raises(ValueError):
         similarity.find_similar(weights, "doc", "nobody")
+
+
+def test_few_documents_need_no_bounds(weights, brute, monkeypatch):
+    """No task sorts a document's whole vector, as a source's may be a vocabulary."""
+    many = {least: pairs(similarity.pairwise_cosine(weights, "doc", least)) for least in (0.0001, 0.3, 1.0)}
+    top, stats = similarity.most_similar_pairs(weights, "doc", 9).collect(), similarity.similarity_stats(weights, "doc").first()
+    monkeypatch.setattr(similarity, "FEW_DOCUMENTS", 32)
+    monkeypatch.setattr(similarity, "_suffixes", None)
+    for least, want in many.items():
+        assert pairs(similarity.pairwise_cosine(weights, "doc", least)) == pytest.approx(want)
+        assert want.keys() == {pair for pair, value in brute.items() if round(value, 4) >= least}
+    assert similarity.most_similar_pairs(weights, "doc", 9).collect() == top
+    assert tuple(similarity.similarity_stats(weights, "doc").first()) == pytest.approx(tuple(stats))

@@ -234,3 +234,9 @@ def test_counts_of_a_batch(spark):
         "a": (5, [("Z", 1), ("x", 2), ("é", 1)]), "b": (0, []), "c": (None, None), "d": (1, [("x", 1)]), "e": (2, [])
     }
     assert terms._counted_in_row(tokens.where("doc > 'x'"), "doc").collect() == []
+
+
+def test_tokens_of_several_rows_are_counted_once(tokens):
+    """Numbering the words is a job of its own; the counts are written, so that the weights explode no tokens again."""
+    plan = terms.tf_idf(tokens, "doc", with_index=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("sequence(" in line for line in plan.splitlines() if "Generate" in line)
