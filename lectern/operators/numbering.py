@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.sources.scratch import scratch_path
+from lectern.sources.scratch import written
 
 
 def numbered(frame: DataFrame, order: Sequence[str], index: str = "index") -> DataFrame:
@@ -17,7 +17,6 @@ def numbered(frame: DataFrame, order: Sequence[str], index: str = "index") -> Da
     place in the partition plus the rows of the partitions before, so that only one row per
     partition is gathered. Put a unique column last in ``order``: equal keys share a partition.
     """
-    spark = frame.sparkSession
     # monotonically_increasing_id holds the partition in its upper and the place in its lower 33 bits.
     number = F.monotonically_increasing_id()
     sorted_rows = (
@@ -26,9 +25,7 @@ def numbered(frame: DataFrame, order: Sequence[str], index: str = "index") -> Da
         .withColumn("_part", F.shiftright(number, 33).cast("int"))
         .withColumn("_place", number.bitwiseAND((1 << 33) - 1))
     )
-    path = scratch_path(spark, "numbered")
-    sorted_rows.write.parquet(path)
-    placed = spark.read.schema(sorted_rows.schema).parquet(path)
+    placed = written(sorted_rows, "numbered")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")

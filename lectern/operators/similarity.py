@@ -9,20 +9,20 @@ Similarities are published to four places, and so compared, ranked and cut off.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
+from lectern.operators import blocks
 from lectern.operators.numbering import numbered
 from lectern.sources.scratch import written
 
 # A target document of at most this many words is broadcast.
 MAX_TARGET_WORDS = 200_000
 
+# So many keys, of documents that are joined, are broadcast.
+MAX_KEYS = 200_000
+
 # Indices to a chunk of a vector.
 CHUNK_SIZE = 65_536
 
@@ -47,10 +47,6 @@ LEFT_BANDS = 64
 SKETCH = 64
 SKETCH_SCALE = 32_000
 
-# Documents, and words of their vectors, to a side of a tile, whose pairs one task multiplies together.
-DOCS_PER_TILE = 256
-WORDS_PER_TILE = 2_000_000
-
 
 def vocabulary(words: DataFrame) -> DataFrame:
     """``(word, index)``: the distinct words of a column ``word``, in order, numbered from 0."""
@@ -111,7 +107,7 @@ def _named(units: DataFrame, key: str, number: int, *keep: str) -> DataFrame:
 
 
 def _suffixes(weights: DataFrame, key: str, postings_per_part: int) -> DataFrame:
-    """``(key, word, term, long, unit, left)``, written once.
+    """``(key, word, term, doc_freq, tfidf, long, unit, left)``, of which nothing is worked out that is not asked for.
 
     Words are taken from the rarest on; ``long`` are those in more than ``postings_per_part`` documents, the last
     ones. ``left`` is the length of a unit vector from a word on; the length after it follows from both. ``term`` is the
@@ -129,16 +125,15 @@ def _suffixes(weights: DataFrame, key: str, postings_per_part: int) -> DataFrame
         .withColumn("squares", F.sum(square).over(onward))
         .withColumn("total", F.sum(square).over(whole))
     )
-    return written(
-        cut.select(
-            key,
-            "word",
-            "term",
-            (F.col("doc_freq") > postings_per_part).alias("long"),
-            (F.col("tfidf") / F.sqrt("total")).alias("unit"),
-            F.sqrt(F.col("squares") / F.col("total")).alias("left"),
-        ),
-        "suffixes",
+    return cut.select(
+        key,
+        "word",
+        "term",
+        "doc_freq",
+        "tfidf",
+        (F.col("doc_freq") > postings_per_part).alias("long"),
+        (F.col("tfidf") / F.sqrt("total")).alias("unit"),
+        F.sqrt(F.col("squares") / F.col("total")).alias("left"),
     )
 
 
@@ -186,37 +181,17 @@ def _part(band: Column, salt: Column) -> Column:
     return band.cast("long") * (1 << 40) + salt.cast("long")
 
 
-def _meets(least: float) -> Column:
-    """Whether the postings of a word are joined: a condition that, once failed, fails for all later words.
+def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
+    """``(book1, book2)``: pairs that can reach ``least``, found block by block.
 
-    Both lengths that are left must reach ``least``; in long lists, their product must.
+    A block holds at most ``postings_per_part`` documents, and so no more postings of a word.
     """
-    left, right = F.col("left1"), F.col("left2")
-    return (left >= least) & (right >= least) & (~F.col("long1") | (left * right >= least))
-
-
-def _candidates(suffixes: DataFrame, key: str, least: float, postings_per_part: int) -> DataFrame:
-    """``(book1, book2)``: pairs that can reach ``least``, by the products that led to them."""
-    leading = _parted(suffixes.drop("term").where(F.col("left") >= least), key, least, postings_per_part)
-    carried = ["long", "unit", "left"]
-    first = _named(leading, key, 1, *carried, "part", "partners").withColumnRenamed("part1", "side1")
-    second = _named(leading, key, 2, *carried, "part", "partners").withColumnRenamed("part2", "side2")
-    first = first.withColumn("side2", F.explode("partners1")).drop("partners1")
-    second = second.withColumn("side1", F.explode("partners2")).drop("partners2")
-
-    def rest(number: int) -> Column:
-        return F.sqrt(F.greatest(F.col(f"left{number}") ** 2 - F.col(f"unit{number}") ** 2, F.lit(0.0)))
-
-    beyond = F.min(rest(1) * rest(2))
-    pairs = (
-        first.join(second, ["word", "side1", "side2"])
-        .where((F.col("book1") < F.col("book2")) & _meets(least))
-        .groupBy("book1", "book2")
-        .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("dot"), beyond.alias("beyond"))
-        .where(F.col("dot") + F.col("beyond") >= least)
-        .select("book1", "book2")
-    )
-    return _within_bound(pairs, suffixes, key, least)
+    if isinstance(suffixes.schema["term"].dataType, T.StringType):
+        numbers = vocabulary(suffixes).withColumnRenamed("index", "number")
+        postings = suffixes.select(key, "word", "doc_freq", "tfidf").join(numbers, "word")
+    else:
+        postings = suffixes.withColumnRenamed("term", "number")
+    return blocks.near_pairs(blocks.vectors(postings, key), key, least, postings_per_part)
 
 
 def _within_bound(pairs: DataFrame, suffixes: DataFrame, key: str, least: float) -> DataFrame:
@@ -263,50 +238,8 @@ def _tiles(pairs: DataFrame, sizes: DataFrame, key: str, docs_per_tile: int, wor
     return pairs.join(first, "book1").join(second, "book2").select("book1", "book2", F.struct("side1", "side2").alias("tile"))
 
 
-def _multiplied(kind: T.StructType):
-    """The products of a tile's pairs: of each first document, unrolled over the words, with all second ones at once."""
-    schema = to_arrow_schema(kind)
-
-    def run(firsts: pa.Table, seconds: pa.Table) -> pa.Table:
-        firsts, seconds = firsts.combine_chunks(), seconds.combine_chunks()
-        if not firsts.num_rows or not seconds.num_rows:
-            return schema.empty_table()
-        left, right = _flat(firsts.column("words1")), _flat(seconds.column("words2"))
-        words = pc.unique(right)
-        # The second documents' words by number; those of the first ones that none of them has go to the last place.
-        codes = pc.index_in(right, value_set=words).to_numpy(zero_copy_only=False)
-        places = pc.fill_null(pc.index_in(left, value_set=words), len(words)).to_numpy(zero_copy_only=False)
-        units, others = (
-            _flat(units).to_numpy(zero_copy_only=False) for units in (firsts.column("units1"), seconds.column("units2"))
-        )
-        starts, ends = _offsets(firsts.column("words1")), _offsets(seconds.column("words2"))
-        partners = _flat(firsts.column("partners1"))
-        rows = pc.index_in(partners, value_set=seconds.column("book2").combine_chunks()).to_numpy(zero_copy_only=False)
-        met = _offsets(firsts.column("partners1"))
-        unrolled, dots = np.zeros(len(words) + 1), np.zeros(len(rows))
-        known = np.flatnonzero(rows == rows)  # a partner without words in this chunk is not there
-        for i in range(firsts.num_rows):
-            own = places[starts[i] : starts[i + 1]]
-            unrolled[own] = units[starts[i] : starts[i + 1]]
-            unrolled[-1] = 0.0
-            sums = np.add.reduceat(unrolled[codes] * others, ends[:-1])
-            mine = known[np.searchsorted(known, met[i]) : np.searchsorted(known, met[i + 1])]
-            dots[mine] = sums[rows[mine].astype(np.int64)]
-            unrolled[own] = 0.0
-        book1 = firsts.column("book1").combine_chunks().take(pa.array(np.repeat(np.arange(firsts.num_rows), np.diff(met))))
-        return pa.table([book1, partners, pa.array(dots)], schema=schema)
-
-    return run
-
-
-def _flat(lists: pa.ChunkedArray) -> pa.Array:
-    flat = pc.list_flatten(lists)
-    return flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
-
-
-def _offsets(lists: pa.ChunkedArray) -> np.ndarray:
-    lengths = pc.list_value_length(lists).to_numpy()
-    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+def _wanted(pairs: DataFrame, key: str) -> DataFrame:
+    return written(pairs.select(F.explode(F.array("book1", "book2")).alias(key)).distinct(), "wanted")
 
 
 def _products(
@@ -314,39 +247,27 @@ def _products(
     suffixes: DataFrame,
     key: str,
     chunk_size: int = CHUNK_SIZE,
-    docs_per_tile: int = DOCS_PER_TILE,
-    words_per_tile: int = WORDS_PER_TILE,
+    docs_per_tile: int = blocks.DOCS_PER_BLOCK,
+    words_per_tile: int = blocks.WEIGHTS_PER_BLOCK,
 ) -> DataFrame:
     """``(book1, book2, dot)``: the whole products of the pairs' vectors.
 
-    A vector moves once per tile that it has a pair in, on either side, and not once per pair. Vectors are cut by a hash of
-    the word, all into the same number of chunks, so that the longest has about ``chunk_size`` words in each.
+    Vectors are multiplied in blocks of about ``docs_per_tile`` documents and ``words_per_tile`` words, which are broadcast one after
+    the other. They are cut by a hash of the word, all into the same number of chunks, so that the longest has about
+    ``chunk_size`` words in each.
     """
     pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("book1", "book2")).alias(key)).distinct()
+    suffixes = suffixes.join(_broadcast_few(_wanted(pairs, key)), key, "left_semi")
     longest = suffixes.groupBy(key).agg(F.count("*").alias("words"))
     chunks = longest.agg(F.ceil(F.coalesce(F.max("words"), F.lit(1)) / chunk_size)).scalar()
     chunk = F.pmod(F.xxhash64("word"), chunks)
-    vectors = written(
-        suffixes.join(wanted, key, "left_semi")
-        .groupBy(key, chunk.alias("chunk"))
+    vectors = (
+        suffixes.groupBy(key, chunk.alias("chunk"))
         .agg(F.collect_list(F.struct("term", "unit")).alias("vector"))
-        .select(key, "chunk", F.col("vector.term").alias("words"), F.col("vector.unit").alias("units")),
-        "vectors",
+        .select(key, "chunk", F.col("vector.term").alias("terms"), F.col("vector.unit").alias("units"))
     )
-    sizes = vectors.groupBy(key).agg(F.max(F.size("words")).alias("words"))
-    tiled = written(_tiles(pairs, sizes, key, docs_per_tile, words_per_tile), "tiles")
-    first = tiled.groupBy("tile", F.col("book1").alias(key)).agg(F.collect_list("book2").alias("partners"))
-    second = tiled.select("tile", F.col("book2").alias(key)).distinct()
-
-    def side(documents: DataFrame, number: int, *more: str) -> DataFrame:
-        joined = documents.join(vectors, key).withColumnRenamed(key, "book")
-        return joined.select(*[F.col(c).alias(f"{c}{number}") for c in ("tile", "chunk", "book", "words", "units", *more)])
-
-    firsts = side(first, 1, "partners").groupBy("tile1", "chunk1")
-    seconds = side(second, 2).groupBy("tile2", "chunk2")
-    kind = T.StructType([*pairs.schema.fields, T.StructField("dot", T.DoubleType())])
-    dots = firsts.cogroup(seconds).applyInArrow(_multiplied(kind), kind)
+    partners = pairs.groupBy(F.col("book1").alias(key)).agg(F.collect_list("book2").alias("partners"))
+    dots = blocks.products(vectors.join(partners, key, "left"), key, docs_per_tile, words_per_tile)
     return dots.groupBy("book1", "book2").agg(F.sum("dot").alias("dot"))
 
 
@@ -362,7 +283,14 @@ def _shared_products(first: DataFrame, second: DataFrame, key: str) -> DataFrame
 
 
 def _are_few(weights: DataFrame, key: str) -> bool:
-    return weights.select(key).distinct().count() <= FEW_DOCUMENTS
+    # A sketch, which is a row for each task, tells many documents from few; only few are counted.
+    rough = weights.agg(F.approx_count_distinct(key)).first()[0]
+    return rough <= 4 * FEW_DOCUMENTS and weights.select(key).distinct().count() <= FEW_DOCUMENTS
+
+
+def _broadcast_few(keys: DataFrame) -> DataFrame:
+    """Written rows of a key, to be broadcast if there are at most ``MAX_KEYS``."""
+    return F.broadcast(keys) if keys.limit(MAX_KEYS + 1).count() <= MAX_KEYS else keys
 
 
 def pairwise_cosine(
@@ -373,11 +301,11 @@ def pairwise_cosine(
     The threshold is part of the question; without it the answer grows with the square of the
     documents. It also bounds the work. Words are taken from the rarest on. From the first word that two documents share, no
     more can come together than the product of the lengths that are left of their unit vectors. So postings
-    of a word meet only where each length reaches the threshold, and in long lists only where the product does: the
-    first shared word of every similar pair is among them. Long lists are cut into parts of bounded size, by
-    that length, and parts whose greatest lengths stay below the threshold never meet. Pairs whose products
-    so far and greatest possible rest stay below the threshold go at once. The others' vectors are multiplied whole, in tiles
-    of documents that have partners in common.
+    of a word meet only where each length reaches the threshold: the
+    first shared word of every similar pair is among them. They meet in blocks of documents, which are broadcast one after
+    the other, so that neither pairs nor vectors are shuffled for it. Pairs whose products
+    so far and greatest possible rest stay below the threshold go at once, and those whose vectors' lengths in many
+    parts do. The others' vectors are multiplied whole, in blocks too.
 
     Few documents, as sources are, may each hold a vocabulary, which no task should sort alone. All their pairs are
     multiplied word by word.
@@ -390,8 +318,10 @@ def pairwise_cosine(
     else:
         # Half a published place, so that rounding up to the threshold is not lost.
         least = max(min_similarity - LEAST_PUBLISHED / 2, LEAST_PUBLISHED / 4) * (1 - 1e-9)
-        suffixes = _suffixes(weights, key, postings_per_part)
-        dots = _products(_candidates(suffixes, key, least, postings_per_part), suffixes, key)
+        found = _candidates(_suffixes(weights, key, postings_per_part), key, least, postings_per_part)
+        # Only the vectors of documents with a partner are sorted, and multiplied.
+        met = weights.join(_broadcast_few(_wanted(found, key)), key, "left_semi")
+        dots = _products(found, _suffixes(met, key, postings_per_part), key)
     # Rounding can lift the cosine of equal directions a little above 1.
     cosine = dots.select("book1", "book2", F.least("dot", F.lit(1.0)).alias("similarity"))
     return cosine.where(F.round("similarity", PLACES) >= min_similarity)
@@ -418,11 +348,12 @@ def similar_documents(weights: DataFrame, key: str, min_similarity: float = 0.8)
     documents of at least ``min_similarity``. Only the classes' first documents are paired, so copies,
     however many, cost one row each.
     """
-    signs = _signed(weights, key)
+    signs = written(_signed(weights, key), "signs")
     sign = ["words", "sign0", "sign1"]
-    classes = signs.groupBy(*sign).agg(F.min(key).alias("class_id"), F.count("*").alias("members"))
-    first = classes.select(F.col("class_id").alias(key))
-    pairs = pairwise_cosine(weights.join(first, key, "left_semi"), key, min_similarity)
+    classes = written(signs.groupBy(*sign).agg(F.min(key).alias("class_id"), F.count("*").alias("members")), "classes")
+    copies = written(signs.select(key).join(classes.select(F.col("class_id").alias(key)), key, "left_anti"), "copies")
+    first = weights.where(F.col(key).isNotNull()).join(_broadcast_few(copies), key, "left_anti")
+    pairs = pairwise_cosine(first, key, min_similarity)
     ends = pairs.select(F.inline(F.array(
         F.struct(F.col("book1").alias("class_id"), F.col("book2").alias("other")),
         F.struct(F.col("book2").alias("class_id"), F.col("book1").alias("other")),

@@ -39,6 +39,9 @@ from lectern.sources.scratch import written
 # Words of greatest tf weighed for each wanted one, before a bound is taken from them.
 FIRST_WEIGHED = 100
 
+# Rows whose words are counted together.
+ROWS_AT_ONCE = 1_000
+
 
 def token_words(tokens: DataFrame, *keep: str) -> DataFrame:
     """One row ``(*keep, word)`` per token."""
@@ -66,6 +69,11 @@ COUNTED = T.StructType([T.StructField("total_terms", T.LongType()), T.StructFiel
 
 @F.arrow_udf(COUNTED)
 def _row_counts(words: pa.Array) -> pa.Array:
+    """Rows are counted ``ROWS_AT_ONCE``, which bounds the arrays that a batch of them needs."""
+    return pa.concat_arrays([_some_counts(words.slice(i, ROWS_AT_ONCE)) for i in range(0, max(len(words), 1), ROWS_AT_ONCE)])
+
+
+def _some_counts(words: pa.Array) -> pa.Array:
     """Each row's words as numbers in their order; repeats of a number in a row are one sort of all rows' numbers."""
     lists, places = pc.list_flatten(words), pc.list_parent_indices(words)
     known = lists.is_valid()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators import cleaning, lookup, terms
-from lectern.sources.scratch import scratch_path
+from lectern.sources.scratch import drop_shuffles, scratch_path
 from lectern.sources.tables import scan_table, table_state
 
 # Documents to a file, where a query reads files whole.
@@ -153,16 +153,21 @@ def kept_terms(spark: SparkSession, sf_dir: str) -> terms.TermIndex:
 
 
 def kept_weights(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    """Term weights with the words' numbers, written once for all queries that pass over them."""
+    """Term weights with the words' numbers, written once for all queries that pass over them.
+
+    ``tfidf``, which takes as much space as all other columns, is multiplied again as they are read.
+    """
 
     def write(path: str) -> None:
         if key == "doc_id":
             weights = terms.tf_idf_of(kept_terms(spark, sf_dir), with_index=True)
         else:
             weights = terms.tf_idf(kept_tokens(spark, sf_dir, key), key, with_index=True)
-        weights.write.parquet(path)
+        with drop_shuffles(spark):
+            weights.drop("tfidf").write.option("compression", "zstd").parquet(path)
 
-    return scan_table(spark, kept(spark, sf_dir, f"weights-{key}", write))
+    kept_columns = scan_table(spark, kept(spark, sf_dir, f"weights-{key}", write))
+    return kept_columns.select(key, "word", "doc_freq", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"), "index")
 
 
 def kept_lookup(spark: SparkSession, sf_dir: str) -> lookup.LookupIndex:

@@ -1,11 +1,13 @@
 import itertools
 import math
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import similarity, terms
+from lectern.operators import blocks, similarity, terms
+from lectern.sources import scratch
 
 
 @pytest.fixture(autouse=True)
@@ -288,3 +290,33 @@ def test_few_documents_need_no_bounds(weights, brute, monkeypatch):
         assert want.keys() == {pair for pair, value in brute.items() if round(value, 4) >= least}
     assert similarity.most_similar_pairs(weights, "doc", 9).collect() == top
     assert tuple(similarity.similarity_stats(weights, "doc").first()) == pytest.approx(tuple(stats))
+
+
+@pytest.mark.parametrize("docs, words", [(1000, 10**6), (7, 10**6), (1000, 90)])
+def test_blocks_leave_hardly_any_pair_that_falls_short(spark, docs, words):
+    """What is found does not depend on the blocks, and neither vectors nor pairs are kept on disk for it."""
+    chance = random.Random(13)
+    texts = [chance.sample([f"w{i}" for i in range(150)], 30) for _ in range(40)]
+    texts += [text[:-1] + ["other"] for text in texts[:15]]
+    frame = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "doc bigint, filtered_words array<string>")
+    weights = terms.tf_idf(frame, "doc", with_index=True).persist()
+    units = {}
+    for r in similarity._unit_weights(weights, "doc").collect():
+        units.setdefault(r.doc, {})[r.word] = r.unit
+    want = {
+        (a, b) for a, b in itertools.combinations(sorted(units), 2) if sum(v * units[b].get(w, 0) for w, v in units[a].items()) >= 0.8
+    }
+    postings = weights.where("tfidf != 0").withColumnRenamed("index", "number")
+    found = blocks.near_pairs(blocks.vectors(postings, "doc"), "doc", 0.8, docs, words)
+    got = [tuple(r) for r in found.collect()]
+    assert want <= set(got) and len(got) == len(set(got)) <= 1.2 * len(want) and len(want) >= 10
+    files = " ".join(found.inputFiles())
+    assert "vectors" not in files and not [p for p in scratch._handed_out[spark.sparkContext.applicationId] if "/vectors-" in p]
+
+
+def test_jobs_that_write_a_table_leave_no_shuffle_files(spark):
+    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = {p for p in local.rglob("shuffle_*.data")}
+    rows = scratch.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert {p for p in local.rglob("shuffle_*.data")} <= before
+    assert rows.count() == 7
