@@ -200,3 +200,13 @@ def test_the_query_makes_every_edge(spark, sf_dir):
     made = edges.agg(F.count("*").alias("pairs"), F.sum("edges").alias("edges")).first()
     counted = QUERIES["influence_classes"](spark, sf_dir).agg(F.sum("pairs").alias("pairs"), F.sum("edges").alias("edges")).first()
     assert made == counted and made.pairs > 1000
+
+
+def test_edges_are_spread_over_tasks(spark, monkeypatch):
+    """The sides of the join are small, but what they make is not left to a few tasks."""
+    rows = [(f"a{i:03d}", datetime.date(1950 + i % 5, 1, 1)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "author string, date date")
+    monkeypatch.setattr(network, "EDGES_PER_TASK", 2000)
+    edges = network.influence_edges(frame, authors_per_salt=20)
+    made = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 10 * 80 * 80 and len(made) > 15 and max(made) < 0.2 * sum(made)
